@@ -22,21 +22,27 @@ def _times(items: Column, item: Column) -> Column:
 
 def f1_of_words(p: Column, g: Column) -> Column:
     """Token F1 of two word lists: multiset overlap, harmonic mean."""
-    same = F.aggregate(
+    overlap = F.aggregate(
         F.array_intersect(p, g),
         F.lit(0),
         lambda total, w: total + F.least(_times(p, w), _times(g, w)),
     ).cast("double")
-    precision, recall = F.try_divide(same, F.size(p)), F.try_divide(same, F.size(g))
-    return (
-        F.when((F.size(p) == 0) & (F.size(g) == 0), F.lit(1.0))
-        .when((F.size(p) == 0) | (F.size(g) == 0) | (same == 0), F.lit(0.0))
-        .otherwise(2 * precision * recall / (precision + recall))
-    )
+
+    def harmonic(same):
+        precision, recall = F.try_divide(same, F.size(p)), F.try_divide(same, F.size(g))
+        return (
+            F.when((F.size(p) == 0) & (F.size(g) == 0), F.lit(1.0))
+            .when(same == 0, F.lit(0.0))
+            .otherwise(2 * precision * recall / (precision + recall))
+        )
+
+    return let(overlap, harmonic)
 
 
 def token_f1(predicted: Column, gold: Column) -> Column:
-    return f1_of_words(answer_words(predicted), answer_words(gold))
+    return let(
+        answer_words(predicted), lambda p: let(answer_words(gold), lambda g: f1_of_words(p, g))
+    )
 
 
 def best_exact_match(predicted: Column, golds: Column) -> Column:
@@ -46,15 +52,15 @@ def best_exact_match(predicted: Column, golds: Column) -> Column:
     return F.coalesce(hit, F.lit(False)).cast("int")
 
 
-def best_f1(predicted_words: Column, golds: Column) -> Column:
-    """Highest token F1 over all accepted answers.
+def best_f1(predicted: Column, golds: Column) -> Column:
+    """Highest token F1 over all accepted answers; the prediction is split once."""
 
-    Takes `answer_words(predicted)` as a projected column so that the
-    prediction is normalised once and not once per accepted answer.
-    """
-    return F.array_max(
-        F.transform(golds, lambda g: f1_of_words(predicted_words, answer_words(g)))
-    )
+    def against(said):
+        return F.array_max(
+            F.transform(golds, lambda g: let(answer_words(g), lambda w: f1_of_words(said, w)))
+        )
+
+    return let(answer_words(predicted), against)
 
 
 def mentions_any(passage: Column, aliases: Column) -> Column:

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
+from dataclasses import dataclass
+from typing import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 # Separators, punctuation and articles of the answer metrics.
@@ -51,13 +55,51 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, UNICODE_BLANK_RUN, " "))
 
 
+def strip(text: Column) -> Column:
+    """Remove whitespace at both ends."""
+    return F.regexp_replace(text, rf"\A{UNICODE_BLANK_RUN}|{UNICODE_BLANK_RUN}\z", "")
+
+
 def windows(items: Column, size: Column | int, step: Column | int) -> Column:
     """Overlapping slices that start at 0, step, 2*step, ... below the length."""
     n = F.size(items)
     starts = F.sequence(F.lit(0), n - 1, step if isinstance(step, Column) else F.lit(step))
-    return F.when(
-        n > 0, F.transform(starts, lambda s: F.slice(items, s + 1, size))
-    ).otherwise(F.array().cast("array<array<string>>"))
+    return F.when(n > 0, F.transform(starts, lambda s: F.slice(items, s + 1, size)))
+
+
+@dataclass(frozen=True)
+class Tokenizer:
+    """Text to a token array and back, both as column functions."""
+
+    encode: Callable[[Column], Column]
+    decode: Callable[[Column], Column]
+
+
+BLANK_TOKENIZER = Tokenizer(tokens, lambda items: F.array_join(items, " "))
+
+
+def model_tokenizer(
+    factory: Callable[[], tuple[Callable[[list[str]], list], Callable[[list], list[str]]]],
+) -> Tokenizer:
+    """Tokenizer of a model.
+
+    `factory` is picklable; each task calls it once and gets back two
+    functions on batches: texts to lists of ids, and lists of ids to texts.
+    """
+
+    @F.pandas_udf("array<int>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        to_ids, _ = factory()
+        for texts in batches:
+            yield pd.Series(to_ids(texts.fillna("").tolist()))
+
+    @F.pandas_udf("string")
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        _, to_text = factory()
+        for ids in batches:
+            yield pd.Series(to_text([[int(i) for i in row] for row in ids]))
+
+    return Tokenizer(encode, lambda ids: strip(decode(ids)))
 
 
 def title_or_default(title: Column) -> Column:
@@ -77,8 +119,7 @@ def normalize_answer(text: Column) -> Column:
 
 def normalize_vote(text: Column) -> Column:
     """Key under which sampled answers are counted as the same answer."""
-    edges = r"\A[\x09-\x0d\x1c-\x20\x85\p{Z}]+|[\x09-\x0d\x1c-\x20\x85\p{Z}]+\z"
-    bare = F.lower(F.btrim(F.regexp_replace(text, edges, ""), F.lit(QUOTES)))
+    bare = F.lower(F.btrim(strip(text), F.lit(QUOTES)))
     bare = F.regexp_replace(bare, VOTE_TRAILING, "")
     return squeeze(F.regexp_replace(bare, VOTE_ARTICLE, ""))
 

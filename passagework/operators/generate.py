@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from .. import settings
 from ..functions import text as tx
 from ..functions.binding import let
+from ..runtime import spread
 from .prompt import chat_messages, text_prompt
 
 _SENTENCE_END = "[.!?]+"
@@ -86,6 +87,7 @@ class ModelGenerator:
     max_prompt_tokens: int = settings.MAX_PROMPT_TOKENS
     temperature: float = settings.SAMPLE_TEMPERATURE
     top_p: float = settings.SAMPLE_TOP_P
+    tasks: int | None = None
 
     def __post_init__(self):
         if self.form not in ("text", "chat"):
@@ -129,9 +131,8 @@ class ModelGenerator:
                         [*kept.schema.names, "answer"],
                     )
 
-        answered = asked.mapInArrow(run, schema)
-        trimmed = F.regexp_replace("answer", r"\A[\x09-\x0d\x1c-\x20\x85\p{Z}]+|[\x09-\x0d\x1c-\x20\x85\p{Z}]+\z", "")
-        return answered.withColumn("answer", trimmed)
+        answered = spread(asked, self.tasks, "qid", "sample_idx").mapInArrow(run, schema)
+        return answered.withColumn("answer", tx.strip(F.col("answer")))
 
 
 def generate(asked: DataFrame, generator, n_samples: int = 1, vote: bool = False) -> DataFrame:

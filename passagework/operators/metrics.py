@@ -55,11 +55,9 @@ def score_answers(predictions: DataFrame) -> DataFrame:
     Input: predicted STRING, golds ARRAY<STRING>. The two scores are
     maximised independently of each other.
     """
-    return (
-        predictions.withColumn("_said", an.answer_words(F.col("predicted")))
-        .withColumn("exact_match", an.best_exact_match(F.col("predicted"), F.col("golds")))
-        .withColumn("f1", an.best_f1(F.col("_said"), F.col("golds")))
-        .drop("_said")
+    said, golds = F.col("predicted"), F.col("golds")
+    return predictions.withColumns(
+        {"exact_match": an.best_exact_match(said, golds), "f1": an.best_f1(said, golds)}
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,13 +12,21 @@ from ..runtime import staged
 _ROW_BITS = 33
 
 
-def assign_positions(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+def assign_positions(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    name: str,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Add `name`: 0, 1, 2, ... along `order`, which must identify each row.
 
     Rows are range-partitioned and sorted inside their partition, written
     once together with (partition, row) and numbered by adding the row to the
     count of all earlier partitions. Only one count per partition reaches the
     driver, so its size is set by the shuffle width and not by the data.
+
+    `prepare` may add columns row by row (an encoder, say) to the sorted rows:
+    they are stored by the same write.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     slotted = (
@@ -26,7 +34,7 @@ def assign_positions(df: DataFrame, order: Sequence[str | Column], name: str) ->
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    table = staged(slotted, "positions")
+    table = staged(prepare(slotted) if prepare else slotted, "positions")
     part = F.shiftright("_slot", _ROW_BITS)
     counts = sorted(table.groupBy(part.alias("p")).count().collect())
     before = dict(zip((c["p"] for c in counts), accumulate((c["count"] for c in counts), initial=0)))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import settings
 from ..functions import text as tx
 from ..functions.binding import sequence_key, split_key
+from .encode import encode
 from .numbering import assign_positions
 
 _CHUNKS_PER_PAGE = 10**9
@@ -33,17 +34,16 @@ def unnest_pages(examples: DataFrame) -> DataFrame:
 
 
 def chunk_pages(
-    pages: DataFrame, chunking: settings.Chunking = settings.Chunking(), tokenizer=tx.tokens
+    pages: DataFrame, chunking: settings.Chunking = settings.Chunking(), tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER
 ) -> DataFrame:
     """Overlapping token windows, each prefixed with its page title.
 
-    `tokenizer` maps a text column to array<string>; the default is a JVM
-    expression, a model tokenizer comes in as a pandas UDF of that type.
+    The default tokenizer is a JVM expression; `model_tokenizer` wraps others.
     """
-    return _cut(_tokenized(pages, tokenizer), chunking.tokens, chunking.step)
+    return _cut(_tokenized(pages, tokenizer), chunking.tokens, chunking.step, tokenizer)
 
 
-def chunk_sweep(pages: DataFrame, settings_list, tokenizer=tx.tokens) -> DataFrame:
+def chunk_sweep(pages: DataFrame, settings_list, tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER) -> DataFrame:
     """Chunks for several settings at once; `run` numbers them from 1.
 
     A page is read and tokenised once and then cut per setting.
@@ -58,24 +58,24 @@ def chunk_sweep(pages: DataFrame, settings_list, tokenizer=tx.tokens) -> DataFra
         for run, c in enumerate(settings_list, 1)
     ])
     per_run = _tokenized(pages, tokenizer).select("*", F.inline(runs))
-    return _cut(per_run, F.col("chunk_tokens"), F.col("_step")).drop("_step")
+    return _cut(per_run, F.col("chunk_tokens"), F.col("_step"), tokenizer).drop("_step")
 
 
 def _tokenized(pages: DataFrame, tokenizer) -> DataFrame:
     return pages.select(
         *[c for c in pages.columns if c not in ("text", "title")],
         tx.title_or_default(F.col("title")).alias("title"),
-        tokenizer(F.col("text")).alias("_tokens"),
+        tokenizer.encode(F.col("text")).alias("_tokens"),
     )
 
 
-def _cut(tokenized: DataFrame, size, step) -> DataFrame:
+def _cut(tokenized: DataFrame, size, step, tokenizer: tx.Tokenizer) -> DataFrame:
     chunks = tokenized.select(
         "*",
         F.posexplode(tx.windows(F.col("_tokens"), size, step)).alias("chunk_pos", "_chunk"),
     )
     return chunks.select(
-        "*", F.concat("title", F.lit(": "), F.array_join("_chunk", " ")).alias("passage")
+        "*", F.concat("title", F.lit(": "), tokenizer.decode(F.col("_chunk"))).alias("passage")
     ).drop("_tokens", "_chunk")
 
 
@@ -113,3 +113,18 @@ def dedup_passages(chunks: DataFrame, *by: str) -> DataFrame:
 def number_passages(passages: DataFrame) -> DataFrame:
     """Dense passage ids along corpus order."""
     return assign_positions(passages, ["corpus_order"], "passage_id").select("passage_id", "passage")
+
+
+def number_and_encode(passages: DataFrame, encoder, *by: str) -> DataFrame:
+    """Dense passage ids and unit vectors, stored by one write.
+
+    Encoding is the dearest step, so its result is a table before anything
+    reads it: a lost executor or a second scan does not encode again.
+    """
+    numbered = assign_positions(
+        passages.drop("copies"),
+        [*by, "corpus_order"],
+        "passage_id",
+        prepare=lambda rows: encode(rows, "passage", encoder),
+    )
+    return numbered.drop("corpus_order")

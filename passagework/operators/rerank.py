@@ -9,9 +9,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from .. import settings
 from ..functions import text as tx
+from ..runtime import spread, staged
+from .encode import encode
+from .search import search
 from ..runtime import staged
 
+# Question vocabularies up to this size are shipped to the tasks, about 50 MB.
+_SHIPPED_WORDS = 500_000
 # Weights are whole millionths, so that a sum does not depend on its order.
 _WEIGHT_UNIT = 1_000_000
 
@@ -29,17 +35,21 @@ class IdfOverlapScorer:
         """Per question its distinct words with weight ln(1 + N / df).
 
         Document frequencies are counted per task before the shuffle, so a
-        word that is in every passage is one row per task.
+        word that is in every passage is one row per task. A vocabulary whose
+        counted size allows it is shipped first, and other words are dropped
+        where they are read; a larger one meets the finished counts.
         """
         total = passages.agg(F.count(F.lit(1)).cast("double")).scalar()
         asked = questions.select(
             "qid", F.explode(F.array_distinct(tx.words(F.col("question")))).alias("word")
         )
-        frequency = (
-            passages.select(F.explode(F.array_distinct(tx.words(F.col("passage")))).alias("word"))
-            .groupBy("word")
-            .agg(F.count(F.lit(1)).alias("df"))
+        read = passages.select(
+            F.explode(F.array_distinct(tx.words(F.col("passage")))).alias("word")
         )
+        vocabulary = staged(asked.select("word").distinct(), "vocabulary")
+        if vocabulary.count() <= _SHIPPED_WORDS:
+            read = read.join(F.broadcast(vocabulary), "word", "left_semi")
+        frequency = read.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
         weight = F.round(F.ln(1 + total / F.col("df")) * _WEIGHT_UNIT).cast("bigint")
         return (
             asked.join(frequency, "word")
@@ -62,6 +72,7 @@ class PairScorer:
     """A model that scores (question, passage) pairs, built once per task."""
 
     factory: Callable[[], Callable[[list[tuple[str, str]]], Sequence[float]]]
+    tasks: int | None = None
 
     def score(self, pairs: DataFrame, questions: DataFrame, passages: DataFrame) -> DataFrame:
         factory = self.factory
@@ -79,7 +90,7 @@ class PairScorer:
                     [*batch.columns, scores], [*batch.schema.names, "rerank_score"]
                 )
 
-        return pairs.mapInArrow(run, schema)
+        return spread(pairs, self.tasks, "qid", "passage_id").mapInArrow(run, schema)
 
 
 def rerank(
@@ -108,16 +119,13 @@ def retrieve(
     index: DataFrame,
     encoder,
     scorer=None,
-    candidates: int = 100,
-    k: int | None = 3,
+    candidates: int = settings.CANDIDATES,
+    k: int | None = settings.RERANK_TOP,
 ) -> DataFrame:
     """Encode, search, fetch and rerank for all questions in one job.
 
     `questions`: qid, question. `index`: passage_id, passage, embedding.
     """
-    from .encode import encode
-    from .search import search
-
     asked = questions.select("qid", "question")
     vectors = encode(asked, "question", encoder)
     hits = search(vectors, index, candidates)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import settings
-from ..runtime import is_wide, staging_path
+from ..runtime import is_wide, staged, staging_path
 from .numbering import assign_positions
 
 # Scores keep the digits that float32 unit vectors carry. Summation order then
@@ -125,13 +125,13 @@ def _floor(index: DataFrame, block: pa.Table, n: int, fraction: float) -> np.nda
 
 def _blocks(questions: DataFrame, rows: int) -> Iterator[pa.Table]:
     """Question blocks of at most `rows` rows, fetched one at a time."""
-    first = questions.limit(rows + 1).toArrow()
-    if first.num_rows <= rows:
-        yield first
+    table = staged(questions, "questions")
+    total = table.count()
+    if total <= rows:
+        yield table.toArrow()
         return
-    numbered = assign_positions(questions, ["qid"], "pos")
-    last = numbered.agg(F.max("pos")).first()[0]
-    for start in range(0, last + 1, rows):
+    numbered = assign_positions(table, ["qid"], "pos")
+    for start in range(0, total, rows):
         inside = (F.col("pos") >= start) & (F.col("pos") < start + rows)
         yield numbered.where(inside).select("qid", "embedding").toArrow()
 

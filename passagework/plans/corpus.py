@@ -10,25 +10,31 @@ from .. import settings
 from ..functions import text as tx
 from ..operators.encode import encode
 from ..operators.numbering import assign_positions
-from ..operators.pages import chunk_pages, chunk_sweep, dedup_passages, number_passages
-from ..runtime import staged, staging_path
+from ..operators.pages import (
+    chunk_pages,
+    chunk_sweep,
+    dedup_passages,
+    number_and_encode,
+    number_passages,
+)
 from ..sources import artifacts
 
 
 def build_passages(
-    pages: DataFrame, chunking: settings.Chunking = settings.Chunking(), tokenizer=tx.tokens
+    pages: DataFrame, chunking: settings.Chunking = settings.Chunking(), tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER
 ) -> DataFrame:
     """Chunk, drop copies, number along corpus order: passage_id, passage."""
     return number_passages(dedup_passages(chunk_pages(pages, chunking, tokenizer)))
 
 
-def build_index(passages: DataFrame, encoder) -> DataFrame:
-    """Written table of passages with their unit vectors.
-
-    Encoding is the dearest step, so its result is a table before anything
-    reads it: a lost executor or a second scan does not encode again.
-    """
-    return staged(encode(passages, "passage", encoder), "index")
+def build_index(
+    pages: DataFrame,
+    encoder,
+    chunking: settings.Chunking = settings.Chunking(),
+    tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER,
+) -> DataFrame:
+    """Written table of passages with ids and unit vectors."""
+    return number_and_encode(dedup_passages(chunk_pages(pages, chunking, tokenizer)), encoder)
 
 
 def ensure_index(
@@ -39,7 +45,7 @@ def ensure_index(
     chunking: settings.Chunking = settings.Chunking(),
     recompute_passages: bool = False,
     recompute_index: bool = False,
-    tokenizer=tx.tokens,
+    tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER,
 ) -> DataFrame:
     """Reuse or build the passage and index tables under `root`.
 
@@ -58,26 +64,37 @@ def ensure_index(
     return artifacts.read_index(spark, path)
 
 
-def sweep_passages(pages: DataFrame, sweep: Sequence[settings.Chunking]) -> DataFrame:
-    """Passages of several chunk settings in one table, ids dense per run."""
-    chunks = chunk_sweep(pages, sweep)
-    kept = dedup_passages(chunks, "run", "chunk_tokens", "chunk_overlap")
-    numbered = assign_positions(kept, ["run", "corpus_order"], "passage_id")
+_RUN = ("run", "chunk_tokens", "chunk_overlap")
+
+
+def _ids_per_run(numbered: DataFrame) -> DataFrame:
+    """Restart the ids at 0 in every run."""
     # One row per setting, and the settings are an argument.
     first = numbered.groupBy("run").agg(F.min("passage_id").alias("_first"))
-    return numbered.join(F.broadcast(first), "run").select(
-        "run",
-        "chunk_tokens",
-        "chunk_overlap",
-        (F.col("passage_id") - F.col("_first")).alias("passage_id"),
-        "passage",
+    return (
+        numbered.join(F.broadcast(first), "run")
+        .withColumn("passage_id", F.col("passage_id") - F.col("_first"))
+        .drop("_first", "corpus_order", "copies")
     )
 
 
-def sweep_index(pages: DataFrame, sweep: Sequence[settings.Chunking], encoder, path=None) -> DataFrame:
-    """Index of several chunk settings, one partition directory per run."""
-    spark = pages.sparkSession
-    path = path or staging_path(spark, "sweep")
-    built = encode(sweep_passages(pages, sweep), "passage", encoder)
+def sweep_passages(pages: DataFrame, sweep: Sequence[settings.Chunking]) -> DataFrame:
+    """Passages of several chunk settings in one table, ids dense per run."""
+    kept = dedup_passages(chunk_sweep(pages, sweep), *_RUN)
+    return _ids_per_run(assign_positions(kept, ["run", "corpus_order"], "passage_id"))
+
+
+def sweep_index(
+    pages: DataFrame, sweep: Sequence[settings.Chunking], encoder, path: str | None = None
+) -> DataFrame:
+    """Index of several chunk settings; under `path`, one directory per run.
+
+    Without a path the rows stay in the written table they were encoded into,
+    which is sorted by run, so a filter on `run` skips the other row groups.
+    """
+    kept = dedup_passages(chunk_sweep(pages, sweep), *_RUN)
+    built = _ids_per_run(number_and_encode(kept, encoder, "run"))
+    if path is None:
+        return built
     built.write.partitionBy("run").parquet(path)
-    return spark.read.schema(built.schema).parquet(path)
+    return pages.sparkSession.read.schema(built.schema).parquet(path)

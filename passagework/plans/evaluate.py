@@ -13,6 +13,7 @@ from ..operators.generate import generate
 from ..operators.prompt import with_passages
 from ..operators.rerank import retrieve
 from ..operators.vote import vote
+from ..runtime import staged
 from .corpus import sweep_index
 
 
@@ -76,16 +77,19 @@ def answer(
     consensus: bool = False,
     n_samples: int = settings.VOTE_SAMPLES,
 ) -> DataFrame:
-    """Answer every question: the input columns plus passages and answer."""
+    """Answer every question: the input columns plus passages and answer.
+
+    Contexts and answers are written tables: generation is dear, and votes,
+    scores and logs must all see the same samples.
+    """
     ranked = retrieve(questions, index, encoder, scorer, candidates, k)
-    asked = with_passages(questions, ranked)
+    asked = staged(with_passages(questions, ranked), "contexts")
     if not consensus:
-        return generate(asked, generator).drop("sample_idx", "do_sample")
-    samples = generate(asked, generator, n_samples, vote=True)
-    # Every sample row carries its passages; one row per question keeps them.
-    contexts = samples.where(F.col("sample_idx") == 0).drop("answer", "sample_idx", "do_sample")
-    voted = vote(samples.select("qid", "sample_idx", "answer"), contexts)
-    return contexts.join(voted.select("qid", "answer"), "qid")
+        n_samples = 1
+    generated = generate(asked, generator, n_samples, vote=consensus)
+    samples = staged(generated.select("qid", "sample_idx", "answer"), "answers")
+    final = vote(samples, asked) if consensus else samples
+    return asked.join(final.select("qid", "answer"), "qid")
 
 
 def evaluate_answers(

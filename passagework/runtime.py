@@ -42,6 +42,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Hash rows over `tasks` tasks, all cores by default.
+
+    For few rows that each take long, such as calls of a model: splits and
+    adaptive coalescing go by bytes and would leave them to a task or two.
+    """
+    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def is_wide(spark: SparkSession) -> bool:
     """True on clusters where per-task results must be pruned before a shuffle."""
     return spark.sparkContext.defaultParallelism > 64

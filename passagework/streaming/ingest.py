@@ -33,7 +33,8 @@ def ingest_passages(
 ) -> DataFrame:
     """Chunk a stream of pages and append the passages not seen before.
 
-    State holds one 256-bit digest per distinct passage instead of its text.
+    State holds one 256-bit digest per distinct passage instead of its text
+    and grows with the corpus; long-lived streams want the RocksDB state store.
     Which copy survives is not defined here, so rows carry no order. Returns
     the written table after all files that were present have been read.
     """
@@ -55,9 +56,9 @@ def stream_shards(
 ) -> DataFrame:
     """Append a stream as numbered shards of `shard_rows` rows each.
 
-    A micro-batch continues at the position after the earlier batches, which
-    is their row count on disk. Each batch overwrites its own folder, so a
-    batch that is run again after a failure gives the same rows once.
+    A micro-batch continues after the rows of the batches before it, whose
+    total the previous batch left behind. A batch overwrites its own folders,
+    so running it again after a failure gives the same rows once.
     """
     schema = T.StructType(
         [*rows.schema.fields, T.StructField("pos", T.LongType()), T.StructField("shard", T.IntegerType())]
@@ -65,13 +66,18 @@ def stream_shards(
 
     def append(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        earlier = [f"{out}/epoch={e}" for e in range(epoch)]
-        start = spark.read.schema(schema).parquet(*earlier).count() if earlier else 0
+        start = 0
+        if epoch:
+            start = spark.read.schema("total long").parquet(f"{out}/_totals/{epoch - 1}").first()[0]
         placed = assign_positions(batch, order, "pos").withColumn("pos", F.col("pos") + start)
         shard = F.floor(F.col("pos") / shard_rows).cast("int")
-        placed.withColumn("shard", shard).select(*schema.names).write.mode("overwrite").parquet(
-            f"{out}/epoch={epoch}"
+        target = f"{out}/epoch={epoch}"
+        placed.withColumn("shard", shard).select(*schema.names).write.mode("overwrite").parquet(target)
+        written = spark.read.schema(schema).parquet(target)
+        written.agg((F.count(F.lit(1)) + start).alias("total")).write.mode("overwrite").parquet(
+            f"{out}/_totals/{epoch}"
         )
 
     _drain(rows.writeStream.foreachBatch(append), checkpoint)
-    return rows.sparkSession.read.schema(T.StructType([*schema.fields, T.StructField("epoch", T.IntegerType())])).parquet(out)
+    stored = T.StructType([*schema.fields, T.StructField("epoch", T.IntegerType())])
+    return rows.sparkSession.read.schema(stored).parquet(out)

@@ -67,7 +67,7 @@ def questions(spark, sf_dir) -> DataFrame:
 
 def answer_pairs(spark, sf_dir) -> DataFrame:
     """Each user turn as prediction for the assistant turn that follows it."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations", "conv_id")
     asked = turns.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("predicted")
     )

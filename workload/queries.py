@@ -39,7 +39,7 @@ def _passages(spark, sf_dir):
 
 
 def _index(spark, sf_dir):
-    return corpus.build_index(_passages(spark, sf_dir), ENCODER)
+    return corpus.build_index(inputs.pages(spark, sf_dir), ENCODER)
 
 
 def _six(column):
