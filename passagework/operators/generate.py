@@ -101,7 +101,7 @@ class ModelGenerator:
 
     def generate(self, samples: DataFrame, vote: bool) -> DataFrame:
         key = "prompt" if self.form == "text" else "messages"
-        slot, size = self, self.batch
+        slot, size, names = self, self.batch, samples.columns
         asked = samples.withColumn("_request", self._request(vote)).withColumn(
             "_seed", F.xxhash64("qid", "sample_idx")
         )
@@ -125,7 +125,7 @@ class ModelGenerator:
                         }
                         for r in rows
                     ])
-                    kept = batch.select(samples.columns)
+                    kept = batch.select(names)
                     yield pa.RecordBatch.from_arrays(
                         [*kept.columns, pa.array(answers, pa.string())],
                         [*kept.schema.names, "answer"],

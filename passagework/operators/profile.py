@@ -159,7 +159,7 @@ def length_histogram(lengths: DataFrame, bins: int = _BINS) -> DataFrame:
     width = high - low
 
     def edge(i):
-        return F.when(i == bins, F.lit(high)).otherwise(F.lit(low) + i * F.lit(width) / F.lit(bins))
+        return F.when(i == bins, F.lit(high)).otherwise(i * F.lit(width / bins) + F.lit(low))
 
     x = F.col("n_words").cast("double")
     rough = F.least(

@@ -448,8 +448,8 @@ UNION ALL SELECT round(avg({_word_count('text')}), 6) FROM documents""",
 WITH l AS (SELECT {_word_count('text')} AS n FROM documents),
 r AS (SELECT CASE WHEN min(n) = max(n) THEN min(n) - 0.5 ELSE min(n) END::DOUBLE AS lo,
              CASE WHEN min(n) = max(n) THEN max(n) + 0.5 ELSE max(n) END::DOUBLE AS hi FROM l),
-e AS (SELECT b::INTEGER AS bin, lo + b * (hi - lo) / 30 AS low,
-             CASE WHEN b = 29 THEN hi ELSE lo + (b + 1) * (hi - lo) / 30 END AS high
+e AS (SELECT b::INTEGER AS bin, lo + b * ((hi - lo) / 30) AS low,
+             CASE WHEN b = 29 THEN hi ELSE lo + (b + 1) * ((hi - lo) / 30) END AS high
       FROM r CROSS JOIN (SELECT unnest(range(30)) AS b))
 SELECT bin, round(low, 6) AS low, round(high, 6) AS high,
        (SELECT count(*) FROM l WHERE n >= low AND (n < high OR bin = 29))::BIGINT AS n_rows FROM e""",
