@@ -15,20 +15,37 @@ from .numbering import assign_positions
 # Scores keep the digits that float32 unit vectors carry. Summation order then
 # cannot decide a rank, so results do not depend on the partitioning.
 SCORE_DIGITS = 7
-# Questions per pass. At 1,024 dimensions one pass ships 32 MB to a task.
-BLOCK_ROWS = 8192
-_TILE_CELLS = 2_000_000
+# Questions shipped to the tasks in one pass, as float32.
+BLOCK_BYTES = 32 * 2**20
+_TILE_CELLS = 4_000_000
+# Survivors per question and tile above which the floor is worth raising.
+_MANY = 8
+# Scoring one gathered pair costs about this many cells of a matrix product.
+_GATHER_COST = 25
 _SLACK = 10.0**-SCORE_DIGITS
 _HITS = "qid long, passage_id long, score double"
 _RANKED = _HITS + ", rank int"
 
 
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64))
+
+
 class _Best:
-    """Running best `n` per question over all vectors a task has seen."""
+    """Running best `n` per question over all vectors a task has seen.
+
+    A float32 product sorts out nearly all pairs; its rounding error is
+    bounded, and pairs within that bound of the n-th best are scored in
+    double. The outcome is the same as scoring every pair in double.
+    """
 
     def __init__(self, questions: np.ndarray, n: int, floor: np.ndarray):
         self.questions, self.n = questions, n
         self.floor = floor.copy()
+        # Error of a float32 sum of d products: below d * 2^-24 * |q| * |v|.
+        self.unit_error = _lengths(questions) * (questions.shape[1] + 2) * 2.0**-23
+        self.longest = 0.0
+        self.top = np.full((len(questions), n), -np.inf, dtype=np.float32)
         self.parts: list[tuple] = []
         self.held = 0
         self.room = max(4 * n * len(questions), 1_000_000)
@@ -36,20 +53,46 @@ class _Best:
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         tile = max(1, _TILE_CELLS // len(self.questions))
         for start in range(0, len(ids), tile):
-            some = ids[start : start + tile]
-            scores = self.questions @ vectors[start : start + tile].T
-            near = scores >= (self.floor - _SLACK)[:, None]
-            if len(some) >= self.n and near.sum() > 2 * self.n * len(self.questions):
-                # The n-th best of any subset bounds the n-th best of all.
-                cut = len(some) - self.n
-                nth = np.round(np.partition(scores, cut, axis=1)[:, cut], SCORE_DIGITS)
-                np.maximum(self.floor, nth, out=self.floor)
-                near = scores >= (self.floor - _SLACK)[:, None]
-            q, v = np.nonzero(near)
-            self.parts.append((q, some[v], np.round(scores[q, v], SCORE_DIGITS)))
-            self.held += len(q)
-            if self.held > self.room:
-                self._compact()
+            self._add_tile(ids[start : start + tile], vectors[start : start + tile])
+
+    def _add_tile(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.longest = max(self.longest, _lengths(vectors).max())
+        rough = self.questions @ vectors.T
+        near = self._near(rough)
+        if near.sum() > _MANY * len(self.questions):
+            self._raise_floor(rough)
+            near = self._near(rough)
+        q, v = np.nonzero(near)
+        scores = np.round(self._exact(q, v, vectors), SCORE_DIGITS)
+        kept = scores >= self.floor[q]
+        self.parts.append((q[kept], ids[v[kept]], scores[kept]))
+        self.held += int(kept.sum())
+        if self.held > self.room:
+            self._compact()
+
+    def _near(self, rough: np.ndarray) -> np.ndarray:
+        least = self.floor - self.unit_error * self.longest - _SLACK
+        # Rounded down, so that float32 comparison lets no pair slip.
+        return rough >= np.nextafter(least.astype(np.float32), np.float32(-np.inf))[:, None]
+
+    def _raise_floor(self, rough: np.ndarray) -> None:
+        """The n-th best of any vectors seen bounds the n-th best of all."""
+        both = np.concatenate([self.top, rough], axis=1)
+        self.top = np.partition(both, rough.shape[1], axis=1)[:, rough.shape[1] :]
+        nth = self.top.min(axis=1) - self.unit_error * self.longest
+        np.maximum(self.floor, np.round(nth, SCORE_DIGITS), out=self.floor)
+
+    def _exact(self, q: np.ndarray, v: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        if len(q) * _GATHER_COST > len(self.questions) * len(vectors):
+            wide = self.questions.astype(np.float64) @ vectors.T.astype(np.float64)
+            return wide[q, v]
+        scores = np.empty(len(q))
+        pairs = max(1, _TILE_CELLS // vectors.shape[1])
+        for start in range(0, len(q), pairs):
+            part = slice(start, start + pairs)
+            left = self.questions[q[part]].astype(np.float64)
+            scores[part] = np.einsum("ij,ij->i", left, vectors[v[part]].astype(np.float64))
+        return scores
 
     def _compact(self) -> tuple:
         q, ids, scores = (np.concatenate(c) for c in zip(*self.parts))
@@ -68,7 +111,7 @@ class _Best:
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
+    return np.asarray(column.flatten(), dtype=np.float32).reshape(-1, dim)
 
 
 def _task_best(index: DataFrame, block: pa.Table, n: int, floor: np.ndarray) -> DataFrame:
@@ -78,14 +121,14 @@ def _task_best(index: DataFrame, block: pa.Table, n: int, floor: np.ndarray) ->
     shipped = index.sparkSession.sparkContext.broadcast(
         (
             block.column("qid").to_numpy(),
-            np.asarray(questions.flatten(), dtype=np.float32).reshape(-1, dim),
+            _matrix(questions, dim),
             floor,
         )
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, matrix, least = shipped.value
-        best = _Best(matrix.astype(np.float64), n, least)
+        best = _Best(matrix, n, least)
         for batch in batches:
             if batch.num_rows:
                 best.add(batch.column(0).to_numpy(), _matrix(batch.column(1), dim))
@@ -123,10 +166,11 @@ def _floor(index: DataFrame, block: pa.Table, n: int, fraction: float) -> np.nda
     return floor
 
 
-def _blocks(questions: DataFrame, rows: int) -> Iterator[pa.Table]:
-    """Question blocks of at most `rows` rows, fetched one at a time."""
+def _blocks(questions: DataFrame, rows: int | None) -> Iterator[pa.Table]:
+    """Question blocks of a bounded size, fetched one at a time."""
     table = staged(questions, "questions")
-    total = table.count()
+    total, dim = table.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    rows = rows or max(1, BLOCK_BYTES // (4 * (dim or 1)))
     if total <= rows:
         yield table.toArrow()
         return
@@ -140,14 +184,15 @@ def search(
     questions: DataFrame,
     index: DataFrame,
     n: int = settings.CANDIDATES,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     floor_fraction: float | None = None,
 ) -> DataFrame:
     """Best `n` passages per question: qid, passage_id, score, rank from 1.
 
     `questions` has unique qid and embedding, `index` passage_id and embedding.
     Ties are ordered by passage_id; fewer than `n` vectors give fewer rows.
-    Each pass ships one bounded block of questions and scans the index where
+    Each pass ships one bounded block of questions (`block_rows` rows, or as
+    many as fit the byte limit) and scans the index where
     it lies: vectors are never shuffled and no question-passage pair leaves a
     task unless it is among the task's best. A pass is written before the
     next block is fetched. The result being a table, a join with it is

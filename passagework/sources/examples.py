@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -106,34 +108,55 @@ def source_order() -> list:
     return [F.col("split"), shard_name(), F.col("pos")]
 
 
+def _leading_names(sizes: DataFrame, per_split: int) -> DataFrame:
+    """The first `per_split` rows of (split, shard, ...) per split in name order.
+
+    The rank filter runs in each task before the shuffle, so the number of
+    shards does not matter.
+    """
+    names = Window.partitionBy("split").orderBy(shard_name())
+    return sizes.withColumn("_n", F.row_number().over(names)).where(F.col("_n") <= per_split)
+
+
+def _only(df: DataFrame, shards: DataFrame) -> DataFrame:
+    """Rows of the given few shards, as a filter that skips all other folders."""
+    kept: dict[str, list[int]] = {}
+    for row in shards.select("split", "shard").collect():
+        kept.setdefault(row["split"], []).append(row["shard"])
+    wanted = [(F.col("split") == s) & F.col("shard").isin(n) for s, n in kept.items()]
+    return df.where(reduce(or_, wanted)) if wanted else df.where(F.lit(False))
+
+
+def _leading_shards(df: DataFrame, rows: int) -> DataFrame:
+    """Shards that hold the first `rows` rows of each split.
+
+    Sizes come from file footers. A shard holds a row at least, so `rows`
+    names per split are enough to add up, and no more come to the driver.
+    """
+    sizes = df.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("split").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    named = _leading_names(sizes, rows).withColumn("_before", before)
+    return _only(df, named.where(F.col("_before") < rows))
+
+
 def head(df: DataFrame, rows: int) -> DataFrame:
     """First `rows` examples of a sharded table, across its shards in name order."""
-    return df.orderBy(*source_order()).limit(rows)
+    return _leading_shards(df, rows).orderBy(*source_order()).limit(rows)
 
 
 def head_per_split(df: DataFrame, rows: int) -> DataFrame:
-    """First `rows` examples of every split.
-
-    The rank filter is applied before the shuffle (window group limit), so at
-    most `rows` rows per split leave each task.
-    """
+    """First `rows` examples of every split."""
     ranked = Window.partitionBy("split").orderBy(shard_name(), F.col("pos"))
-    return df.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= rows).drop("_n")
+    numbered = _leading_shards(df, rows).withColumn("_n", F.row_number().over(ranked))
+    return numbered.where(F.col("_n") <= rows).drop("_n")
 
 
 def first_shards(df: DataFrame, per_split: int | None) -> DataFrame:
     """Keep the first `per_split` shards of each split in name order; None or 0 keeps all."""
     if not per_split:
         return df
-    names = Window.partitionBy("split").orderBy(shard_name())
-    kept = (
-        df.select("split", "shard")
-        .distinct()
-        .withColumn("_n", F.row_number().over(names))
-        .where(F.col("_n") <= per_split)
-        .drop("_n")
-    )
-    return df.join(kept, ["split", "shard"], "left_semi")
+    return _only(df, _leading_names(df.select("split", "shard").distinct(), per_split))
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

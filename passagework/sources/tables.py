@@ -20,6 +20,8 @@ def read_table(spark: SparkSession, path: str, spread_by: str | None = None) ->
     if spread_by is None:
         return df
     cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > 4 * cores:
+        return df
     # Only file lengths are read here, not the files.
     size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
     return df.repartition(cores, spread_by) if size < cores * _SMALL_BYTES_PER_CORE else df

@@ -36,7 +36,7 @@ def rows_of(df):
     return {(r["qid"], r["passage_id"], r["score"], r["rank"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("n,block,fraction", [(10, 8192, 0.0), (10, 7, 0.0), (3, 16, 0.3), (1, 8192, 0.5), (400, 16, 0.2)])
+@pytest.mark.parametrize("n,block,fraction", [(10, None, 0.0), (10, 7, 0.0), (3, 16, 0.3), (1, None, 0.5), (400, 16, 0.2)])
 def test_search_equals_brute_force(spark, n, block, fraction):
     rng = np.random.default_rng(5)
     questions = rng.normal(size=(40, 12)).astype(np.float32)
@@ -45,11 +45,33 @@ def test_search_equals_brute_force(spark, n, block, fraction):
     assert rows_of(got) == brute(questions, vectors, n)
 
 
+def test_blocks_follow_the_byte_limit(spark, monkeypatch):
+    from passagework.operators import search as module
+
+    monkeypatch.setattr(module, "BLOCK_BYTES", 4 * 8 * 9)
+    rng = np.random.default_rng(7)
+    questions, vectors = (rng.normal(size=(n, 8)).astype(np.float32) for n in (40, 60))
+    asked = table(spark, "qid", questions)
+    assert [b.num_rows for b in module._blocks(asked, None)] == [9, 9, 9, 9, 4]
+    assert rows_of(search(asked, table(spark, "passage_id", vectors), 4)) == brute(questions, vectors, 4)
+
+
+def test_near_ties_are_ranked_in_double(spark):
+    """Scores that float32 sums cannot tell apart, at length 768."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=768)
+    vectors = np.stack([base + rng.normal(size=768) * 1e-6 for _ in range(400)])
+    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    questions = np.concatenate([vectors[:5], -vectors[:5], 1000 * vectors[:5]])
+    got = search(table(spark, "qid", questions), table(spark, "passage_id", vectors, 3), 20)
+    assert rows_of(got) == brute(questions, vectors, 20)
+
+
 def test_ties_and_zero_vectors(spark):
     questions = np.array([[1, 0], [0, 0]], dtype=np.float32)
     vectors = np.array([[1, 0]] * 50 + [[0, 0]] * 50 + [[-1, 0]] * 5, dtype=np.float32)
     for fraction in (0.0, 0.5):
-        got = search(table(spark, "qid", questions), table(spark, "passage_id", vectors, 9), 60, 8192, fraction)
+        got = search(table(spark, "qid", questions), table(spark, "passage_id", vectors, 9), 60, None, fraction)
         assert rows_of(got) == brute(questions, vectors, 60)
 
 
@@ -60,10 +82,10 @@ def test_small_tiles_keep_a_running_best(spark, monkeypatch):
     rng = np.random.default_rng(6)
     questions = rng.integers(-2, 3, size=(20, 4)).astype(np.float32)
     vectors = rng.integers(-2, 3, size=(500, 4)).astype(np.float32)
-    best = module._Best(questions.astype(np.float64), 5, np.full(20, -np.inf))
+    best = module._Best(questions, 5, np.full(20, -np.inf))
     best.room = 150
     for start in range(0, 500, 90):
-        best.add(np.arange(start, min(start + 90, 500)), vectors[start : start + 90].astype(np.float64))
+        best.add(np.arange(start, min(start + 90, 500)), vectors[start : start + 90])
     q, ids, scores = best.result()
     expected = {(a, b, c) for a, b, c, _ in brute(questions, vectors, 5)}
     assert set(zip(q.tolist(), ids.tolist(), scores.tolist())) == expected

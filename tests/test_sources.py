@@ -75,6 +75,14 @@ def test_head_follows_shard_names_as_text(spark, shards):
     assert {r["split"]: r["count"] for r in per_split} == {"train": 11, "validation": 11, "test": 11}
 
 
+def test_head_reads_the_leading_shards_only(spark, shards):
+    rows = ex._leading_shards(ex.read_shards(spark, shards), 11).select(F.input_file_name().alias("f"))
+    folders = {"/".join(r["f"].split("/")[-3:-1]) for r in rows.collect()}
+    plan = ex.head(ex.read_shards(spark, shards, ["train"]), 11)._jdf.queryExecution().executedPlan().toString()
+    assert "shard" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert folders == {f"split={s}/shard={n}" for s in ("train", "validation", "test") for n in (0, 1)}
+
+
 @pytest.mark.parametrize("limit,kept", [(2, {0, 1}), (3, {0, 1, 10}), (0, set(range(13))), (None, set(range(13)))])
 def test_first_shards(spark, shards, limit, kept):
     train = ex.read_shards(spark, shards, ["train", "absent"])
