@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import settings
 from ..functions import text as tx
@@ -16,8 +16,9 @@ from ..operators.pages import (
     dedup_passages,
     number_and_encode,
     number_passages,
+    unnest_pages,
 )
-from ..sources import artifacts
+from ..sources import artifacts, examples as ex
 
 
 def build_passages(
@@ -98,3 +99,20 @@ def sweep_index(
         return built
     built.write.partitionBy("run").parquet(path)
     return pages.sparkSession.read.schema(built.schema).parquet(path)
+
+
+def pages_of_shards(
+    spark: SparkSession,
+    path: str,
+    splits: Sequence[str] = settings.SPLITS,
+    max_shards: int | None = None,
+    rows: int = settings.SHARD_ROWS,
+) -> DataFrame:
+    """Pages of the examples in a sharded table, in source order.
+
+    Splits that are not there add nothing; `max_shards` keeps the first shards
+    of each split. Fails if no row is left.
+    """
+    sharded = ex.first_shards(ex.read_shards(spark, path, splits), max_shards)
+    examples = ex.in_source_order(ex.require_rows(sharded, path), splits, rows)
+    return unnest_pages(examples)

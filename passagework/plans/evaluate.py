@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import settings
 from ..operators import metrics
@@ -14,6 +14,7 @@ from ..operators.prompt import with_passages
 from ..operators.rerank import retrieve
 from ..operators.vote import vote
 from ..runtime import staged
+from ..sources import artifacts, examples as ex
 from .corpus import sweep_index
 
 
@@ -100,6 +101,49 @@ def evaluate_answers(
     return metrics.eval_log(answered.withColumnRenamed("answer", "predicted"))
 
 
+def run_recall(
+    spark: SparkSession,
+    shards: str,
+    index: DataFrame,
+    encoder,
+    scorer=None,
+    sample_limit: int = settings.EVAL_ROWS,
+    candidates: int = settings.CANDIDATES,
+    ks: Sequence[int] = settings.RECALL_AT,
+    splits: Sequence[str] = settings.SPLITS,
+    rows: int = settings.SHARD_ROWS,
+) -> DataFrame:
+    """Recall@K on the first `sample_limit` examples of each split of a sharded table."""
+    first = ex.head_per_split(ex.read_shards(spark, shards, splits), sample_limit)
+    asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), splits, rows))
+    return evaluate_recall(staged(asked, "asked"), index, encoder, scorer, candidates, ks, ["split"])
+
+
+def run_answers(
+    spark: SparkSession,
+    shards: str,
+    index: DataFrame,
+    encoder,
+    generator,
+    scorer=None,
+    max_questions: int = settings.EVAL_ROWS,
+    k: int = settings.RERANK_TOP,
+    save_path: str | None = None,
+    consensus: bool = False,
+    rows: int = settings.SHARD_ROWS,
+) -> DataFrame:
+    """Mean exact match and F1 on the first test examples; the log is saved on request."""
+    first = ex.head(ex.read_shards(spark, shards, ["test"]), max_questions)
+    asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), ["test"], rows))
+    log = evaluate_answers(
+        staged(asked.drop("split"), "asked"), index, encoder, generator, scorer, k=k, consensus=consensus
+    )
+    if save_path is None:
+        return metrics.summarize(log)
+    artifacts.write_log(log.drop("qid"), save_path)
+    return metrics.summarize(artifacts.read_log(spark, save_path))
+
+
 def sweep_recall(
     questions: DataFrame,
     pages: DataFrame,

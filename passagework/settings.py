@@ -8,6 +8,7 @@ from dataclasses import dataclass
 VALIDATION_ROWS = 7900
 SHARD_ROWS = 1000
 SHARD_PREFIX = "shard_"
+SPLITS = ("train", "validation", "test")
 CHUNK_TOKENS = 240
 CHUNK_OVERLAP = 60
 ENCODE_BATCH = 512

@@ -7,10 +7,13 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas, settings
 from ..operators.numbering import assign_positions
+from ..runtime import spread
+
+_SHARD_DIGITS = 10
 
 
 def read_examples(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -57,14 +60,22 @@ def shard_name(shard="shard"):
 
 
 def write_shards(
-    df: DataFrame, path: str, rows: int = settings.SHARD_ROWS, mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    rows: int = settings.SHARD_ROWS,
+    mode: str = "errorifexists",
+    tasks: int | None = None,
 ) -> None:
     """One directory per split and shard.
 
     Positions come range-sorted, so a shard lies in one task or a few and the
-    table is written without a further shuffle.
+    table is written without a further shuffle. `tasks` spreads the shards
+    first, for tables with few bytes and many shards.
     """
-    with_shards(df, rows).write.mode(mode).partitionBy("split", "shard").parquet(path)
+    sharded = with_shards(df, rows)
+    if tasks:
+        sharded = spread(sharded, tasks, "split", "shard")
+    sharded.write.mode(mode).partitionBy("split", "shard").parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -83,6 +94,7 @@ def ensure_shards(
     order: Sequence[str],
     validation_rows: int = settings.VALIDATION_ROWS,
     rows: int = settings.SHARD_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Write the splits that are missing and return the sharded table.
 
@@ -91,9 +103,9 @@ def ensure_shards(
     completed instead of being taken for finished.
     """
     if not any(_exists(spark, f"{path}/split={s}") for s in ("train", "validation")):
-        write_shards(split_by_position(labelled, order, validation_rows), path, rows, "append")
+        write_shards(split_by_position(labelled, order, validation_rows), path, rows, "append", tasks)
     if not _exists(spark, f"{path}/split=test"):
-        write_shards(as_test_split(test, order), path, rows, "append")
+        write_shards(as_test_split(test, order), path, rows, "append", tasks)
     return read_shards(spark, path)
 
 
@@ -159,6 +171,42 @@ def first_shards(df: DataFrame, per_split: int | None) -> DataFrame:
     return _only(df, _leading_names(df.select("split", "shard").distinct(), per_split))
 
 
+def _text_rank(shard: Column) -> Column:
+    """A number that sorts shard numbers like their decimal text: 0, 1, 10, 2.
+
+    Digits become 1 to a and missing ones 0 in base 11, so a prefix comes first.
+    """
+    digits = F.translate(shard.cast("string"), "0123456789", "123456789a")
+    return F.conv(F.rpad(digits, _SHARD_DIGITS, "0"), 11, 10).cast("bigint")
+
+
+def in_source_order(
+    df: DataFrame,
+    splits: Sequence[str] = settings.SPLITS,
+    rows: int = settings.SHARD_ROWS,
+) -> DataFrame:
+    """Set `ord` to sort like split, shard name as text and row.
+
+    `rows` is the shard size the table was written with. The order follows
+    from the folder and position of a row, so nothing is shuffled.
+    """
+    place = F.coalesce(*[F.when(F.col("split") == s, F.lit(i)) for i, s in enumerate(splits)])
+    shard = place.cast("bigint") * 11**_SHARD_DIGITS + _text_rank(F.col("shard"))
+    return df.withColumn("ord", shard * rows + F.col("pos") % rows)
+
+
+def as_questions(examples: DataFrame) -> DataFrame:
+    """Questions with accepted answers: qid, question, aliases, gold and the split, if any."""
+    kept = [c for c in ("split",) if c in examples.columns]
+    return examples.select(
+        F.col("ord").alias("qid"),
+        *kept,
+        "question",
+        F.col("answer.normalized_aliases").alias("aliases"),
+        F.col("answer.normalized_value").alias("gold"),
+    )
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Fail early when a table is empty."""
     if df.isEmpty():

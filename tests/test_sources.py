@@ -89,6 +89,30 @@ def test_first_shards(spark, shards, limit, kept):
     assert {r["shard"] for r in ex.first_shards(train, limit).select("shard").distinct().collect()} == kept
 
 
+def test_source_order_is_split_then_shard_name_then_row(spark):
+    rows = [(s, p // 3, p) for s in settings.SPLITS for p in range(400)]
+    df = spark.createDataFrame(rows, "split string, shard int, pos long")
+    got = ex.in_source_order(df, rows=3).orderBy("ord").collect()
+    place = settings.SPLITS.index
+    expected = sorted(rows, key=lambda r: (place(r[0]), f"shard_{r[1]}", r[2]))
+    assert [tuple(r)[:3] for r in got] == expected and len({r["ord"] for r in got}) == len(rows)
+
+
+def test_shards_of_absent_splits_are_skipped(spark):
+    from passagework.plans import corpus
+
+    path = staging_path(spark, "test")
+    answer = ("v", "v", ["v"], ["v"])
+    rows = [(i, "q", answer, ([f"t{i}"], [f"x{i}"])) for i in range(6)]
+    df = spark.createDataFrame(rows, schemas.EXAMPLES)
+    ex.write_shards(ex.split_by_position(df, ["ord"], 2), path, 2, tasks=3)
+    pages = corpus.pages_of_shards(spark, path, rows=2).orderBy("example_ord")
+    assert [r["title"] for r in pages.collect()] == ["t2", "t3", "t4", "t5", "t0", "t1"]
+    assert corpus.pages_of_shards(spark, path, ("train",), 1, 2).count() == 2
+    with pytest.raises(ValueError):
+        corpus.pages_of_shards(spark, path, ("test",))
+
+
 def test_empty_input_is_reported(spark, shards):
     with pytest.raises(ValueError):
         ex.require_rows(ex.read_shards(spark, shards, ["absent"]), "absent")

@@ -261,6 +261,50 @@ sharded AS (
 
 
 _SHARDED = _split(300, 50)
+_EXAMPLES = _split(300, 50).replace("FROM labels", "FROM documents")
+
+
+def _head(condition: str) -> str:
+    """`questions` from the first 100 examples per split."""
+    return f"""questions AS (
+  SELECT row_number() OVER (ORDER BY s.split, s.pos) AS qid, s.split, d.text AS question,
+         list_transform(string_split(d.text, chr(10)), lambda l: {_normal('l')}) AS aliases,
+         concat_ws(' ', d.lang, d.source) AS gold
+  FROM (SELECT * FROM sharded WHERE {condition}
+        QUALIFY row_number() OVER (PARTITION BY split ORDER BY 'shard_' || shard, pos) <= 100) s
+  JOIN documents d ON d.doc_id = s.ord)"""
+
+
+def _shard_pages(condition: str) -> tuple[str, ...]:
+    """`chunks` and `kept` of the pages inside the chosen shards."""
+    size, step = settings.CHUNK_TOKENS, settings.CHUNK_TOKENS - settings.CHUNK_OVERLAP
+    return (
+        _EXAMPLES,
+        f"""ordered AS (
+  SELECT ord, row_number() OVER (ORDER BY
+    CASE split WHEN 'train' THEN 0 WHEN 'validation' THEN 1 ELSE 2 END, 'shard_' || shard, pos) AS place
+  FROM sharded WHERE {condition}),
+lined AS (
+  SELECT o.place, d.source, string_split(d.text, chr(10)) AS lines
+  FROM ordered o JOIN documents d ON d.doc_id = o.ord),
+paged AS (
+  SELECT place, i, coalesce(nullif(CASE WHEN i = 1 THEN source ELSE lines[i - 1] END, ''), '{NO_TITLE}') AS title,
+         {_tokens('lines[i]')} AS toks
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM lined)),
+started AS (SELECT *, unnest(range(0, len(toks), {step})) AS st FROM paged),
+chunks AS (
+  SELECT place * 1000000 + i AS doc_id, st AS chunk_pos,
+         title || ': ' || array_to_string(toks[st + 1 : st + {size}], ' ') AS passage FROM started)""",
+        _DEDUP,
+        _PASSAGES,
+    )
+
+
+_TWO_SHARDS = """split <> 'test' AND (split, shard) IN (
+    SELECT (split, shard) FROM (SELECT DISTINCT split, shard FROM sharded)
+    QUALIFY row_number() OVER (PARTITION BY split ORDER BY 'shard_' || shard) <= 2)"""
+
+
 _LINES = r"string_split(text, chr(10))"
 
 _COLUMNS = (
@@ -427,6 +471,17 @@ QUALIFY row_number() OVER (PARTITION BY split ORDER BY 'shard_' || shard, pos) <
     "shard_limit": _with(_SHARDED)
     + """SELECT split, shard, pos, ord FROM sharded
 QUALIFY dense_rank() OVER (PARTITION BY split ORDER BY 'shard_' || shard) <= 2""",
+    "index_from_shards": _with(*_shard_pages(_TWO_SHARDS)) + "SELECT passage_id, passage FROM passages",
+    "passages_from_shards": _with(*_shard_pages("true")) + "SELECT passage_id, passage FROM passages",
+    "recall_from_shards": _with(
+        *_CORPUS, _PASSAGE_VECTORS, _EXAMPLES, _head("true"), _QUESTION_VECTORS, _hits(100), _WEIGHTS
+    )
+    + _recall("ranked", "split"),
+    "answers_from_shards": _with(
+        *_CORPUS, _PASSAGE_VECTORS, _EXAMPLES, _head("split = 'test'"), _QUESTION_VECTORS, _hits(100),
+        _WEIGHTS, *_sentences(3, 1), _log("samples"),
+    )
+    + "SELECT round(avg(exact_match), 6) AS exact_match, round(avg(f1), 6) AS f1, count(*) AS questions FROM log",
     "describe_columns": " UNION ALL ".join(
         f"SELECT count(*) AS n_rows, {i}::INTEGER AS position, '{name}' AS \"column\", '{kind}' AS type FROM documents"
         for i, (name, kind) in enumerate(_COLUMNS)

@@ -324,12 +324,18 @@ def answer_in_context(spark, sf_dir):
 # Splits and shards ----------------------------------------------------------
 
 
+def _cores(spark):
+    return spark.sparkContext.defaultParallelism
+
+
 def _sharded(spark, sf_dir):
     """Documents split and written as shards; labels stand in as test split."""
     path = staging_path(spark, "shards")
     documents = inputs.documents(spark, sf_dir).select(F.col("doc_id").alias("ord"))
     test = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ord"))
-    return ex.ensure_shards(spark, path, documents, test, ["ord"], VALIDATION_ROWS, SHARD_ROWS)
+    return ex.ensure_shards(
+        spark, path, documents, test, ["ord"], VALIDATION_ROWS, SHARD_ROWS, _cores(spark)
+    )
 
 
 def split_shards(spark, sf_dir):
@@ -346,7 +352,7 @@ def _written(spark, sf_dir):
     rows = ex.split_by_position(
         inputs.documents(spark, sf_dir).select(F.col("doc_id").alias("ord")), ["ord"], 100
     )
-    ex.write_shards(rows, path, 20)
+    ex.write_shards(rows, path, 20, tasks=_cores(spark))
     return path
 
 
@@ -360,6 +366,46 @@ def shard_limit(spark, sf_dir):
     return ex.first_shards(_sharded(spark, sf_dir), 2).select("split", "shard", "pos", "ord")
 
 
+def _example_shards(spark, sf_dir):
+    """Examples with pages, sharded; the test split repeats the labelled rows."""
+    path = staging_path(spark, "shards")
+    rows = inputs.examples(spark, sf_dir)
+    ex.ensure_shards(
+        spark, path, rows, rows, ["ord"], VALIDATION_ROWS, SHARD_ROWS, _cores(spark)
+    )
+    return path
+
+
+def index_from_shards(spark, sf_dir):
+    """Train and validation, two shards each, as in a sweep on part of the data."""
+    pages = corpus.pages_of_shards(
+        spark, _example_shards(spark, sf_dir), ("train", "validation"), 2, SHARD_ROWS
+    )
+    return corpus.build_index(pages, ENCODER).select("passage_id", "passage")
+
+
+def passages_from_shards(spark, sf_dir):
+    pages = corpus.pages_of_shards(spark, _example_shards(spark, sf_dir), rows=SHARD_ROWS)
+    return corpus.build_passages(pages)
+
+
+def recall_from_shards(spark, sf_dir):
+    found = evaluate.run_recall(
+        spark, _example_shards(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER, rows=SHARD_ROWS
+    )
+    return found.select("split", "k", _six("recall").alias("recall"), "questions")
+
+
+def answers_from_shards(spark, sf_dir):
+    found = evaluate.run_answers(
+        spark, _example_shards(spark, sf_dir), _index(spark, sf_dir), ENCODER, GENERATOR, SCORER,
+        save_path=staging_path(spark, "log"), rows=SHARD_ROWS,
+    )
+    return found.select(
+        _six("exact_match").alias("exact_match"), _six("f1").alias("f1"), "questions"
+    )
+
+
 # Profiles -------------------------------------------------------------------
 
 
@@ -488,6 +534,10 @@ QUERIES = {
     "head_sample": head_sample,
     "head_per_split": head_per_split,
     "shard_limit": shard_limit,
+    "index_from_shards": index_from_shards,
+    "passages_from_shards": passages_from_shards,
+    "recall_from_shards": recall_from_shards,
+    "answers_from_shards": answers_from_shards,
     "describe_columns": describe_columns,
     "word_stats": word_stats,
     "top_labels": top_labels,
