@@ -95,7 +95,7 @@ class BatchEncoder:
             for big in batches:
                 for start in range(0, big.num_rows, size):
                     batch = big.slice(start, size)
-                    model = model or factory()
+                    model = factory() if model is None else model
                     texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
                     yield _append(batch, "_text", _unit_rows(model(texts)))
 

@@ -112,7 +112,7 @@ class ModelGenerator:
             for big in batches:
                 for start in range(0, big.num_rows, size):
                     batch = big.slice(start, size)
-                    model = model or slot.factory()
+                    model = slot.factory() if model is None else model
                     rows = batch.select(["_request", "_seed", "do_sample"]).to_pylist()
                     answers = model([
                         {

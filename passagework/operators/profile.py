@@ -116,10 +116,9 @@ def common_answers(df: DataFrame, order: str = "ord", n: int = 10) -> DataFrame:
 
 def _field_text(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.ArrayType):
-        first = F.get(value, F.lit(0))
-        inner = first
-        if isinstance(kind.elementType, T.StructType) and "value" in kind.elementType.names:
-            inner = first["value"]
+        inner = F.get(value, F.lit(0))
+        if isinstance(kind.elementType, T.StructType):
+            inner = inner["value"] if "value" in kind.elementType.names else F.to_json(inner)
         return F.when(value.isNull(), "None").when(F.size(value) == 0, "").otherwise(inner)
     if isinstance(kind, T.StructType):
         inner = value["value"] if "value" in kind.names else F.to_json(value)

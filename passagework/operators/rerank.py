@@ -16,8 +16,10 @@ from .encode import encode
 from .search import search
 from ..runtime import staged
 
-# Question vocabularies up to this size are shipped to the tasks, about 50 MB.
-_SHIPPED_WORDS = 500_000
+# Question vocabularies up to this size are shipped to the tasks; a row costs
+# about 64 bytes besides its word.
+_SHIPPED_BYTES = 64 * 2**20
+_ROW_BYTES = 64
 # Weights are whole millionths, so that a sum does not depend on its order.
 _WEIGHT_UNIT = 1_000_000
 
@@ -47,7 +49,8 @@ class IdfOverlapScorer:
             F.explode(F.array_distinct(tx.words(F.col("passage")))).alias("word")
         )
         vocabulary = staged(asked.select("word").distinct(), "vocabulary")
-        if vocabulary.count() <= _SHIPPED_WORDS:
+        size = vocabulary.agg(F.sum(F.octet_length("word") + _ROW_BYTES)).first()[0] or 0
+        if size <= _SHIPPED_BYTES:
             read = read.join(F.broadcast(vocabulary), "word", "left_semi")
         frequency = read.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
         weight = F.round(F.ln(1 + total / F.col("df")) * _WEIGHT_UNIT).cast("bigint")
@@ -81,7 +84,9 @@ class PairScorer:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = None
             for batch in batches:
-                model = model or factory()
+                if batch.num_rows == 0:
+                    continue
+                model = factory() if model is None else model
                 get = batch.schema.get_field_index
                 asked = batch.column(get("question")).to_pylist()
                 found = batch.column(get("passage")).to_pylist()

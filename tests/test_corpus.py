@@ -61,6 +61,21 @@ def test_first_occurrence_survives(spark):
     assert ids == {"t: z": 0, "t: x y": 1}
 
 
+def test_one_text_in_a_third_of_all_pages(spark):
+    pages = spark.range(30_000).select(
+        F.col("id").alias("example_ord"),
+        F.lit(0).alias("page_pos"),
+        F.lit("t").alias("title"),
+        F.when(F.col("id") % 3 == 1, "hot text").otherwise(F.concat(F.lit("n"), "id")).alias("text"),
+    )
+    kept = dedup_passages(chunk_pages(pages))
+    assert kept.count() == 20_001
+    hot = kept.where("passage = 't: hot text'").select("copies", unpack_order(F.col("corpus_order")).alias("o")).first()
+    assert (hot["copies"], hot["o"]["example_ord"]) == (10_000, 1)
+    ids = number_passages(kept).agg(F.min("passage_id"), F.max("passage_id"), F.countDistinct("passage_id")).first()
+    assert tuple(ids) == (0, 20_000, 20_001)
+
+
 def test_corpus_order_sorts_like_its_parts(spark):
     rows = [(o, p, c) for o in (0, 1, 2**62) for p in (0, 7, 10**8) for c in (0, 3, 10**8)]
     df = spark.createDataFrame(rows, "example_ord long, page_pos int, chunk_pos int")

@@ -142,7 +142,7 @@ def test_weights_do_not_depend_on_the_shipping_limit(spark, monkeypatch):
     df = pairs(spark)
     questions, passages = df.select("qid", "question").distinct(), df.select("passage_id", "passage").distinct()
     shipped = sorted(map(str, IdfOverlapScorer().weights(questions, passages).collect()))
-    monkeypatch.setattr(module, "_SHIPPED_WORDS", 0)
+    monkeypatch.setattr(module, "_SHIPPED_BYTES", 0)
     assert {s for s in map(str, IdfOverlapScorer().weights(questions, passages).collect())} == set(shipped)
 
 
