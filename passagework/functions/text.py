@@ -126,7 +126,8 @@ def normalize_vote(text: Column) -> Column:
 
 def clip(text: Column, limit: int) -> Column:
     """Cut to `limit` characters, marking the cut."""
-    return F.when(F.length(text) > limit, F.concat(F.left(text, F.lit(limit)), F.lit("..."))).otherwise(text)
+    cut = F.concat(F.left(text, F.lit(limit)), F.lit("..."))
+    return F.when(F.length(text) > limit, cut).otherwise(text)
 
 
 def one_line(text: Column, limit: int) -> Column:

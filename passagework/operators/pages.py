@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import settings
@@ -34,7 +36,9 @@ def unnest_pages(examples: DataFrame) -> DataFrame:
 
 
 def chunk_pages(
-    pages: DataFrame, chunking: settings.Chunking = settings.Chunking(), tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER
+    pages: DataFrame,
+    chunking: settings.Chunking = settings.Chunking(),
+    tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER,
 ) -> DataFrame:
     """Overlapping token windows, each prefixed with its page title.
 
@@ -43,7 +47,11 @@ def chunk_pages(
     return _cut(_tokenized(pages, tokenizer), chunking.tokens, chunking.step, tokenizer)
 
 
-def chunk_sweep(pages: DataFrame, settings_list, tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER) -> DataFrame:
+def chunk_sweep(
+    pages: DataFrame,
+    sweep: Sequence[settings.Chunking],
+    tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER,
+) -> DataFrame:
     """Chunks for several settings at once; `run` numbers them from 1.
 
     A page is read and tokenised once and then cut per setting.
@@ -55,13 +63,13 @@ def chunk_sweep(pages: DataFrame, settings_list, tokenizer: tx.Tokenizer = tx.BL
             F.lit(c.overlap).alias("chunk_overlap"),
             F.lit(c.step).alias("_step"),
         )
-        for run, c in enumerate(settings_list, 1)
+        for run, c in enumerate(sweep, 1)
     ])
     per_run = _tokenized(pages, tokenizer).select("*", F.inline(runs))
     return _cut(per_run, F.col("chunk_tokens"), F.col("_step"), tokenizer).drop("_step")
 
 
-def _tokenized(pages: DataFrame, tokenizer) -> DataFrame:
+def _tokenized(pages: DataFrame, tokenizer: tx.Tokenizer) -> DataFrame:
     return pages.select(
         *[c for c in pages.columns if c not in ("text", "title")],
         tx.title_or_default(F.col("title")).alias("title"),

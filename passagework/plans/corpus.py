@@ -22,7 +22,9 @@ from ..sources import artifacts, examples as ex
 
 
 def build_passages(
-    pages: DataFrame, chunking: settings.Chunking = settings.Chunking(), tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER
+    pages: DataFrame,
+    chunking: settings.Chunking = settings.Chunking(),
+    tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER,
 ) -> DataFrame:
     """Chunk, drop copies, number along corpus order: passage_id, passage."""
     return number_passages(dedup_passages(chunk_pages(pages, chunking, tokenizer)))

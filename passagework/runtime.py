@@ -28,7 +28,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/passagework/{label}-{uuid.uuid4().hex}"
+    """A new path; all paths of one application share a folder that can be dropped after it."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/passagework/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -454,8 +454,9 @@ def sample_qa(spark, sf_dir):
 def truncate_nested(spark, sf_dir):
     """The clipping of the three-row preview, applied to every row."""
     rows = inputs.examples(spark, sf_dir)
+    limit = settings.PREVIEW_CHARS
     clipped = rows.select(
-        *[tx.clip_nested(F.col(f.name), f.dataType, settings.PREVIEW_CHARS).alias(f.name) for f in rows.schema]
+        *[tx.clip_nested(F.col(f.name), f.dataType, limit).alias(f.name) for f in rows.schema]
     )
     return clipped.select(
         "ord", "question", F.col("answer.value").alias("value"),
