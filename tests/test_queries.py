@@ -4,9 +4,10 @@ import pytest
 
 import compare
 import __spark_entry__ as entry_points
+from workload import oracles as workload_oracles, queries as workload_queries
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = workload_queries.QUERIES
+ORACLES = workload_oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,11 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert compare.differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) is None
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
     assert sorted(r["k"] for r in rows) == [1, 3, 5, 10]
