@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 PORTION_BYTES = 8 << 20
 
@@ -24,7 +25,7 @@ def portions(batch: pa.RecordBatch, column: str, most: int = PORTION_BYTES) -> I
 
 
 def map_portions(
-    df: DataFrame, column: str, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str,
+    df: DataFrame, column: str, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType,
 ) -> DataFrame:
     """`mapInArrow` that hands `work` bounded portions, so that long texts don't add up in a task."""
 

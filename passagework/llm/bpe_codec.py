@@ -9,6 +9,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .batches import map_portions
 from .subword import MEMORY, vocabulary
@@ -176,7 +177,7 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", into: str = "dec
     columns = [f.name for f in encoded.schema.fields]
     if into in columns:
         raise ValueError(f"there is a column {into} already")
-    schema = encoded.schema.add(into, "string")
+    schema = StructType([*encoded.schema.fields, StructField(into, StringType())])
 
     def work(batch: pa.RecordBatch):
         encoder = _encoder(path)
