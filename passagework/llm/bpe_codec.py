@@ -17,7 +17,7 @@ from .subword import MEMORY, vocabulary
 # Where the letters that end a word lie, so that each initial symbol is one letter.
 _END = 0x4000
 # Entries of a worker's table of judged token pairs (about 100 bytes each).
-PAIRS = 1_000_000
+PAIRS = 300_000
 
 
 class BacktrackingEncoder:
@@ -34,7 +34,7 @@ class BacktrackingEncoder:
         self._joined = {(a, b): new for a, b, new in v.merges}
         self._age = {new: i for i, (_, _, new) in enumerate(v.merges)}
         self._parts = {new: (a, b) for a, b, new in v.merges}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._memory: dict[str, bytes] = {}
         self._automaton = ahocorasick.Automaton()
         for token, i in v.ids.items():
@@ -63,7 +63,7 @@ class BacktrackingEncoder:
         just undone, or at the same rank from the left. `made`: the join to leave out of
         account, for a token's own parts.
         """
-        known = self._pairs.get((a, b)) if made is None else None
+        known = self._pairs.get(a << 20 | b) if made is None else None
         if known is not None:
             return known
         age, parts, joined = self._age, self._parts, self._joined
@@ -82,7 +82,7 @@ class BacktrackingEncoder:
             else:
                 right, limit = parts[right][0], older_right + 1
         if made is None and len(self._pairs) < PAIRS:
-            self._pairs[a, b] = result
+            self._pairs[a << 20 | b] = result
         return result
 
     def word(self, letters: str) -> list[int]:

@@ -6,18 +6,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe_codec import decode_ids, encode_texts
+from .fingerprints import fingerprints
+from .packing import pack_documents
+from .quality import classify
 from .token_counts import count_tokens
+from .url_rules import judge_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     decoded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), path), path)
@@ -30,7 +51,11 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op3_url_filter": op3_url_filter,
+    "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op10_bpe_codec": op10_bpe_codec,
 }
 ORACLES: dict[str, str] = {}
