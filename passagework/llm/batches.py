@@ -26,12 +26,13 @@ def portions(batch: pa.RecordBatch, column: str, most: int = PORTION_BYTES) -> I
 
 def map_portions(
     df: DataFrame, column: str, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType,
+    most: int = PORTION_BYTES,
 ) -> DataFrame:
     """`mapInArrow` that hands `work` bounded portions, so that long texts don't add up in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in portions(batch, column):
+            for part in portions(batch, column, most):
                 yield from work(part)
 
     return df.mapInArrow(run, schema)

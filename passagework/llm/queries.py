@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe_codec import decode_ids, encode_texts
 from .fingerprints import fingerprints
+from .jaccard import join_texts
+from .line_dedup import line_report
 from .packing import pack_documents
 from .quality import classify
 from .token_counts import count_tokens
@@ -39,6 +41,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     decoded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), path), path)
@@ -56,6 +66,8 @@ QUERIES = {
     "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe_codec": op10_bpe_codec,
 }
 ORACLES: dict[str, str] = {}
