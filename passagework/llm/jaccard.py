@@ -280,25 +280,10 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def join_texts(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY,
-    recall: float = RECALL, depth: int = DEPTH, small: int = SMALL, block: int = BLOCK,
-) -> DataFrame:
-    """key, class_id and n_links of each row: near duplicates by Jaccard similarity of word shingles.
-
-    Two different texts are linked if their sets of `words`-word shingles (lower-cased) have a
-    similarity of `similarity` or more; n_links counts the different texts that a text is
-    linked to, and class_id is the smallest key among all rows that links and equal texts connect it
-    to. Each of the runs splits all sets by sampled tokens they share, path by path, until
-    buckets are small; there each pair is judged on its samples and then exactly on its sets, in the
-    first run in which it meets. There are as many runs as `recall` needs for pairs just at
-    the threshold; more similar ones are missed far more rarely. Buckets that stay large at the
-    end of the path are compared block by block, so none is left out or held by one task.
-
-    A null text is empty. Texts without words have no links; equal ones are of one class.
-    Keys may be null (a class of nulls alone has a null class_id); repeated rows are equal
-    texts. Other columns are not read.
-    """
+def _classes(
+    docs: DataFrame, key: str, text: str, words: int, similarity: float, recall: float, depth: int, small: int, block: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, tid), and for each text (tid, first, class_id, n_links, keeper)."""
     runs = runs_needed(similarity, recall, depth)
     if runs * depth > SAMPLES:
         raise ValueError(f"{runs} runs of {depth} tokens need more than {SAMPLES} samples")
@@ -370,8 +355,46 @@ def join_texts(
         texts.select("tid", "first").join(roots.withColumnRenamed("node", "tid"), "tid", "left")
         .withColumn("root", F.coalesce("root", "tid"))
     )
-    least = classes.groupBy("root").agg(F.min("first").alias("class_id"))
+    place = F.struct(F.col("first").isNull().alias("none"), "first", "tid")
+    least = classes.groupBy("root").agg(F.min(place).alias("least"))
     result = classes.join(least, "root").join(links, "tid", "left").select(
-        "tid", "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
+        "tid", "first", F.col("least.first").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        (F.col("tid") == F.col("least.tid")).alias("keeper"),
     )
-    return rows.select("key", "tid").join(result, "tid").select(F.col("key").alias(key), "class_id", "n_links")
+    return rows.select("key", "tid"), result
+
+
+def join_texts(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY,
+    recall: float = RECALL, depth: int = DEPTH, small: int = SMALL, block: int = BLOCK,
+) -> DataFrame:
+    """key, class_id and n_links of each row: near duplicates by Jaccard similarity of word shingles.
+
+    Two different texts are linked if their sets of `words`-word shingles (lower-cased) have a
+    similarity of `similarity` or more; n_links counts the different texts that a text is
+    linked to, and class_id is the smallest key among all rows that links and equal texts connect it
+    to. Each of the runs splits all sets by sampled tokens they share, path by path, until
+    buckets are small; there each pair is judged on its samples and then exactly on its sets, in the
+    first run in which it meets. There are as many runs as `recall` needs for pairs just at
+    the threshold; more similar ones are missed far more rarely. Buckets that stay large at the
+    end of the path are compared block by block, so none is left out or held by one task.
+
+    A null text is empty. Texts without words have no links; equal ones are of one class.
+    Keys may be null (a class of nulls alone has a null class_id); repeated rows are equal
+    texts. Other columns are not read.
+    """
+    rows, result = _classes(docs, key, text, words, similarity, recall, depth, small, block)
+    return rows.join(result, "tid").select(F.col("key").alias(key), "class_id", "n_links")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with one row of each class of `join_texts`: that of the smallest key, a null one last.
+
+    Of several such rows with different texts the one whose text has the smallest hash stays, of
+    repeated rows one. Texts without words are equal texts of one class only if equal byte by byte.
+    """
+    _, result = _classes(docs, key, text, WORDS, SIMILARITY, RECALL, DEPTH, SMALL, BLOCK)
+    kept = result.where("keeper").select(F.col("tid").alias("_tid"), F.col("first").alias("_first"))
+    marked = docs.withColumn("_text_id", text_id(F.col(text)))
+    matched = marked.join(kept, (F.col("_text_id") == F.col("_tid")) & F.col(key).eqNullSafe(F.col("_first")))
+    return matched.dropDuplicates(["_tid", "_first"]).drop("_text_id", "_tid", "_first")

@@ -11,6 +11,7 @@ from .jaccard import join_texts
 from .line_dedup import line_report
 from .packing import pack_documents
 from .quality import classify
+from .suffix_dedup import report
 from .token_counts import count_tokens
 from .url_rules import judge_pages
 
@@ -41,6 +42,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe_codec": op10_bpe_codec,
