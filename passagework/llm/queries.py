@@ -9,6 +9,7 @@ from .bpe_codec import decode_ids, encode_texts
 from .fingerprints import fingerprints
 from .jaccard import join_texts
 from .line_dedup import line_report
+from .neighbours import nearest
 from .packing import pack_documents
 from .quality import classify
 from .suffix_dedup import report
@@ -24,6 +25,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -67,6 +72,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_ann_search": op2_ann_search,
     "op3_url_filter": op3_url_filter,
     "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
