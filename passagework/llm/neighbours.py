@@ -89,6 +89,11 @@ def box_distance(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nda
     return (gap * gap).sum(-1)
 
 
+def rounding(projected: np.ndarray) -> float:
+    """What squared projected distances may be off, as equal vectors need not project to equal bits."""
+    return 1e-9 * (1 + float(projected @ projected))
+
+
 class Cell:
     """Vectors of one cell, ready for searches."""
 
@@ -108,13 +113,13 @@ class Cell:
         vector beyond is nearer than that only with the test's small probability. `bound`: a
         distance that the k-th nearest is known not to exceed.
         """
-        tree = self.tree
+        tree, slack = self.tree, rounding(projected)
         best: list[tuple[float, int]] = []
         worst = bound
         queue = [(0.0, 0)]
         while queue:
             gap, node = heapq.heappop(queue)
-            if gap > stop * worst * worst:
+            if gap > stop * worst * worst + slack:
                 break
             child = tree.left[node]
             if child >= 0:
@@ -124,7 +129,7 @@ class Cell:
                 continue
             a, b = tree.begin[node], tree.end[node]
             apart = self.projected[a:b] - projected
-            near = np.flatnonzero(((apart * apart).sum(1) <= stop * worst * worst) & (self.ids[a:b] != own))
+            near = np.flatnonzero(((apart * apart).sum(1) <= stop * worst * worst + slack) & (self.ids[a:b] != own))
             if not len(near):
                 continue
             apart = self.vectors[a + near] - vector
@@ -296,7 +301,7 @@ def nearest(
                 which, cell, shard = [], [], []
                 for i, bound in enumerate(part.column("bound").to_pylist()):
                     gaps = box_distance(projected[i], low, high)
-                    near = gaps <= (math.inf if bound is None else stop * bound * bound)
+                    near = gaps <= (math.inf if bound is None else stop * bound * bound + rounding(projected[i]))
                     for c in cells[near].tolist():
                         which.extend([i] * shards[c])
                         cell.extend([c] * shards[c])
