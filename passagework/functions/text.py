@@ -73,6 +73,8 @@ class Tokenizer:
 
     encode: Callable[[Column], Column]
     decode: Callable[[Column], Column]
+    # Part of the paths of tables that were made with it.
+    name: str = "blank"
 
 
 BLANK_TOKENIZER = Tokenizer(tokens, lambda items: F.array_join(items, " "))
@@ -80,11 +82,13 @@ BLANK_TOKENIZER = Tokenizer(tokens, lambda items: F.array_join(items, " "))
 
 def model_tokenizer(
     factory: Callable[[], tuple[Callable[[list[str]], list], Callable[[list], list[str]]]],
+    name: str,
 ) -> Tokenizer:
     """Tokenizer of a model.
 
     `factory` is picklable; each task calls it once and gets back two
-    functions on batches: texts to lists of ids, and lists of ids to texts.
+    functions on batches: texts to lists of ids, and lists of ids (arrays) to texts.
+    `name` tells tables of different tokenizers apart.
     """
 
     @F.pandas_udf("array<int>")
@@ -97,9 +101,9 @@ def model_tokenizer(
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         _, to_text = factory()
         for ids in batches:
-            yield pd.Series(to_text([[int(i) for i in row] for row in ids]))
+            yield pd.Series(to_text(ids.tolist()))
 
-    return Tokenizer(encode, lambda ids: strip(decode(ids)))
+    return Tokenizer(encode, lambda ids: strip(decode(ids)), name)
 
 
 def title_or_default(title: Column) -> Column:
@@ -107,8 +111,14 @@ def title_or_default(title: Column) -> Column:
 
 
 def first_tokens(text: Column, limit: int) -> Column:
-    """The text up to its `limit`-th token, inner whitespace kept."""
-    return F.regexp_extract(text, rf"^(?:\s*+\S++){{0,{limit}}}+", 0)
+    """The text up to its `limit`-th token as `tokens` cuts them, inner blanks kept."""
+    return F.regexp_extract(text, rf"^(?:[{BLANKS}]*+[^{BLANKS}]++){{0,{limit}}}+", 0)
+
+
+def first_model_tokens(text: Column, limit: int, tokenizer: Tokenizer) -> Column:
+    """The text of the first `limit` tokens of `tokenizer`; a text of no more tokens stays as it is."""
+    items = tokenizer.encode(text)
+    return F.when(F.size(items) <= limit, text).otherwise(tokenizer.decode(F.slice(items, 1, limit)))
 
 
 def normalize_answer(text: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 import pyarrow as pa
@@ -37,7 +37,8 @@ class ExtractiveGenerator:
     then by place. Sample i is the sentence at place i, or "" beyond the last.
     """
 
-    def answer(self, question: Column, passages: Column, sample: Column) -> Column:
+    def answers(self, question: Column, passages: Column, n: int) -> Column:
+        """The first `n` sentences, "" where there are no more; ranked once for all samples."""
         sentences = F.filter(
             F.flatten(
                 F.transform(
@@ -60,12 +61,16 @@ class ExtractiveGenerator:
                 )
             )
 
-        best = let(tx.words(question), ranked)
-        return F.coalesce(F.get(best, sample)["sentence"], F.lit(""))
+        def first(best):
+            places = F.sequence(F.lit(0), F.lit(n - 1))
+            return F.transform(places, lambda i: F.coalesce(F.get(best, i)["sentence"], F.lit("")))
 
-    def generate(self, samples: DataFrame, vote: bool) -> DataFrame:
-        answer = self.answer(F.col("question"), F.col("passages"), F.col("sample_idx"))
-        return samples.withColumn("answer", answer)
+        return let(let(tx.words(question), ranked), first)
+
+    def generate(self, asked: DataFrame, n_samples: int, vote: bool) -> DataFrame:
+        answers = self.answers(F.col("question"), F.col("passages"), max(n_samples, 1))
+        sampled = asked.select("*", F.posexplode(answers).alias("sample_idx", "_answer"))
+        return sampled.withColumn("do_sample", F.col("sample_idx") > 0).withColumnRenamed("_answer", "answer")
 
 
 @dataclass(frozen=True)
@@ -88,6 +93,8 @@ class ModelGenerator:
     temperature: float = settings.SAMPLE_TEMPERATURE
     top_p: float = settings.SAMPLE_TOP_P
     tasks: int | None = None
+    # Cuts text prompts by the model's own tokens.
+    tokenizer: tx.Tokenizer | None = None
 
     def __post_init__(self):
         if self.form not in ("text", "chat"):
@@ -96,12 +103,13 @@ class ModelGenerator:
     def _request(self, vote: bool) -> Column:
         question, passages = F.col("question"), F.col("passages")
         if self.form == "text":
-            return text_prompt(question, passages, vote, self.max_prompt_tokens)
+            return text_prompt(question, passages, vote, self.max_prompt_tokens, self.tokenizer)
         return chat_messages(question, passages, vote)
 
-    def generate(self, samples: DataFrame, vote: bool) -> DataFrame:
+    def generate(self, asked: DataFrame, n_samples: int, vote: bool) -> DataFrame:
+        samples = with_samples(asked, n_samples)
         key = "prompt" if self.form == "text" else "messages"
-        slot, size, names = self, self.batch, samples.columns
+        slot, size, names = replace(self, tokenizer=None), self.batch, samples.columns
         asked = samples.withColumn("_request", self._request(vote)).withColumn(
             "_seed", F.xxhash64("qid", "sample_idx")
         )
@@ -137,4 +145,4 @@ class ModelGenerator:
 
 def generate(asked: DataFrame, generator, n_samples: int = 1, vote: bool = False) -> DataFrame:
     """Add sample_idx, do_sample and answer to qid, question, passages."""
-    return generator.generate(with_samples(asked, n_samples), vote)
+    return generator.generate(asked, n_samples, vote)

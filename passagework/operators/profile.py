@@ -39,6 +39,8 @@ def text_stats(df: DataFrame) -> DataFrame:
     One scan and one aggregation for all columns; nulls are left out.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, mean_words double, min_words int, max_words int")
     counts = df.select(*[tx.word_count(F.col(n)).alias(n) for n in names])
     stats = counts.agg(*[
         F.struct(
@@ -130,10 +132,12 @@ def field_lengths(df: DataFrame, field: str) -> DataFrame:
     """Frequency table (n_words, n_rows) of a field's length in words.
 
     One scan, and as many result rows as there are distinct lengths; means
-    and histograms are computed from it.
+    and histograms are computed from it. A value without a length (the first of a list, or
+    the value of a struct, is null) is left out.
     """
     length = tx.word_count(_field_text(F.col(field), df.schema[field].dataType))
-    return df.select(length.alias("n_words")).groupBy("n_words").agg(
+    known = df.select(length.alias("n_words")).where(F.col("n_words").isNotNull())
+    return known.groupBy("n_words").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
 

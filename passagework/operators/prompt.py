@@ -63,10 +63,13 @@ def text_prompt(
     passages: Column,
     vote: bool = False,
     max_tokens: int = settings.MAX_PROMPT_TOKENS,
+    tokenizer: tx.Tokenizer | None = None,
 ) -> Column:
-    """One string, cut after its first `max_tokens` tokens."""
+    """One string, cut after its first `max_tokens` tokens, blank-separated ones by default."""
     whole = F.concat(F.lit(instruction(vote) + "\n\n"), user_part(question, passages))
-    return tx.first_tokens(whole, max_tokens)
+    if tokenizer is None:
+        return tx.first_tokens(whole, max_tokens)
+    return tx.first_model_tokens(whole, max_tokens, tokenizer)
 
 
 def chat_messages(question: Column, passages: Column, vote: bool = False) -> Column:

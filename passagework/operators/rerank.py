@@ -14,12 +14,7 @@ from ..functions import text as tx
 from ..runtime import spread, staged
 from .encode import encode
 from .search import search
-from ..runtime import staged
 
-# Question vocabularies up to this size are shipped to the tasks; a row costs
-# about 64 bytes besides its word.
-_SHIPPED_BYTES = 64 * 2**20
-_ROW_BYTES = 64
 # Weights are whole millionths, so that a sum does not depend on its order.
 _WEIGHT_UNIT = 1_000_000
 
@@ -37,9 +32,9 @@ class IdfOverlapScorer:
         """Per question its distinct words with weight ln(1 + N / df).
 
         Document frequencies are counted per task before the shuffle, so a
-        word that is in every passage is one row per task. A vocabulary whose
-        counted size allows it is shipped first, and other words are dropped
-        where they are read; a larger one meets the finished counts.
+        word that is in every passage is one row per task. The vocabulary is a written
+        table, so the optimizer knows its size: a small one is shipped, and other
+        words are dropped where they are read.
         """
         total = passages.agg(F.count(F.lit(1)).cast("double")).scalar()
         asked = questions.select(
@@ -49,9 +44,7 @@ class IdfOverlapScorer:
             F.explode(F.array_distinct(tx.words(F.col("passage")))).alias("word")
         )
         vocabulary = staged(asked.select("word").distinct(), "vocabulary")
-        size = vocabulary.agg(F.sum(F.octet_length("word") + _ROW_BYTES)).first()[0] or 0
-        if size <= _SHIPPED_BYTES:
-            read = read.join(F.broadcast(vocabulary), "word", "left_semi")
+        read = read.join(vocabulary, "word", "left_semi")
         frequency = read.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
         weight = F.round(F.ln(1 + total / F.col("df")) * _WEIGHT_UNIT).cast("bigint")
         return (
@@ -72,28 +65,28 @@ class IdfOverlapScorer:
 
 @dataclass(frozen=True)
 class PairScorer:
-    """A model that scores (question, passage) pairs, built once per task."""
+    """A model that scores (question, passage) pairs, built once per task; it sees `batch` pairs a time."""
 
     factory: Callable[[], Callable[[list[tuple[str, str]]], Sequence[float]]]
     tasks: int | None = None
+    batch: int = settings.ENCODE_BATCH
 
     def score(self, pairs: DataFrame, questions: DataFrame, passages: DataFrame) -> DataFrame:
-        factory = self.factory
+        factory, size = self.factory, self.batch
         schema = T.StructType([*pairs.schema.fields, T.StructField("rerank_score", T.DoubleType())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = None
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                model = factory() if model is None else model
-                get = batch.schema.get_field_index
-                asked = batch.column(get("question")).to_pylist()
-                found = batch.column(get("passage")).to_pylist()
-                scores = pa.array(np.asarray(model(list(zip(asked, found))), dtype=np.float64))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, scores], [*batch.schema.names, "rerank_score"]
-                )
+            for big in batches:
+                for start in range(0, big.num_rows, size):
+                    batch = big.slice(start, size)
+                    model = factory() if model is None else model
+                    asked = batch.column("question").to_pylist()
+                    found = batch.column("passage").to_pylist()
+                    scores = pa.array(np.asarray(model(list(zip(asked, found))), dtype=np.float64))
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns, scores], [*batch.schema.names, "rerank_score"]
+                    )
 
         return spread(pairs, self.tasks, "qid", "passage_id").mapInArrow(run, schema)
 

@@ -3,26 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import settings
-from ..runtime import is_wide, staged, staging_path
+from ..runtime import staged, staging_path
 from .numbering import assign_positions
 
-# Scores keep the digits that float32 unit vectors carry. Summation order then
-# cannot decide a rank, so results do not depend on the partitioning.
-SCORE_DIGITS = 7
-# Questions shipped to the tasks in one pass, as float32.
-BLOCK_BYTES = 32 * 2**20
+# A block of questions has at most so many bytes of float32 vectors, and at most
+# as many rows as let a task hold four times `n` hits for each.
+BLOCK_BYTES = 8 * 2**20
+HELD_HITS = 1_000_000
+# Blocks searched by one job; their vectors are on the driver at a time.
+WAVE = 8
 _TILE_CELLS = 4_000_000
 # Survivors per question and tile above which the floor is worth raising.
 _MANY = 8
-# Scoring one gathered pair costs about this many cells of a matrix product.
-_GATHER_COST = 25
-_SLACK = 10.0**-SCORE_DIGITS
+# Cells of the vectors whose scores set the first floor, and rows of a result batch.
+_SAMPLE_CELLS = 2**20
+_SLICE = 50_000
+# Products below the smallest normal float32 lose their digits.
+_TINY = 1e-37
 _HITS = "qid long, passage_id long, score double"
 _RANKED = _HITS + ", rank int"
 
@@ -31,6 +37,23 @@ def _lengths(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64))
 
 
+def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner products of the rows, summed in double with the rounding errors carried along.
+
+    Products of float32 numbers are exact in double. Components are added from the first to
+    the last, so a pair has the same score in any batch, and pairs whose exact scores
+    are equal tie, in whichever components these lie.
+    """
+    total, lost = np.zeros(len(left)), np.zeros(len(left))
+    for i in range(left.shape[1]):
+        term = left[:, i].astype(np.float64) * right[:, i]
+        added = total + term
+        part = added - total
+        lost += (total - (added - part)) + (term - part)
+        total = added
+    return total + lost
+
+
 class _Best:
     """Running best `n` per question over all vectors a task has seen.
 
@@ -48,10 +71,10 @@ class _Best:
         self.top = np.full((len(questions), n), -np.inf, dtype=np.float32)
         self.parts: list[tuple] = []
         self.held = 0
-        self.room = max(4 * n * len(questions), 1_000_000)
+        self.room = max(4 * n * len(questions), HELD_HITS)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        tile = max(1, _TILE_CELLS // len(self.questions))
+        tile = max(self.n, _TILE_CELLS // len(self.questions))
         for start in range(0, len(ids), tile):
             self._add_tile(ids[start : start + tile], vectors[start : start + tile])
 
@@ -63,15 +86,21 @@ class _Best:
             self._raise_floor(rough)
             near = self._near(rough)
         q, v = np.nonzero(near)
-        scores = np.round(self._exact(q, v, vectors), SCORE_DIGITS)
-        kept = scores >= self.floor[q]
-        self.parts.append((q[kept], ids[v[kept]], scores[kept]))
-        self.held += int(kept.sum())
-        if self.held > self.room:
-            self._compact()
+        pairs = max(1, _TILE_CELLS // vectors.shape[1])
+        for start in range(0, len(q), pairs):
+            left, right = q[start : start + pairs], v[start : start + pairs]
+            scores = _products(self.questions[left], vectors[right])
+            kept = scores >= self.floor[left]
+            self.parts.append((left[kept], ids[right[kept]], scores[kept]))
+            self.held += int(kept.sum())
+            if self.held > self.room:
+                self._compact()
+
+    def _error(self) -> np.ndarray:
+        return self.unit_error * self.longest + _TINY
 
     def _near(self, rough: np.ndarray) -> np.ndarray:
-        least = self.floor - self.unit_error * self.longest - _SLACK
+        least = self.floor - self._error()
         # Rounded down, so that float32 comparison lets no pair slip.
         return rough >= np.nextafter(least.astype(np.float32), np.float32(-np.inf))[:, None]
 
@@ -79,20 +108,7 @@ class _Best:
         """The n-th best of any vectors seen bounds the n-th best of all."""
         both = np.concatenate([self.top, rough], axis=1)
         self.top = np.partition(both, rough.shape[1], axis=1)[:, rough.shape[1] :]
-        nth = self.top.min(axis=1) - self.unit_error * self.longest
-        np.maximum(self.floor, np.round(nth, SCORE_DIGITS), out=self.floor)
-
-    def _exact(self, q: np.ndarray, v: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        if len(q) * _GATHER_COST > len(self.questions) * len(vectors):
-            wide = self.questions.astype(np.float64) @ vectors.T.astype(np.float64)
-            return wide[q, v]
-        scores = np.empty(len(q))
-        pairs = max(1, _TILE_CELLS // vectors.shape[1])
-        for start in range(0, len(q), pairs):
-            part = slice(start, start + pairs)
-            left = self.questions[q[part]].astype(np.float64)
-            scores[part] = np.einsum("ij,ij->i", left, vectors[v[part]].astype(np.float64))
-        return scores
+        np.maximum(self.floor, self.top.min(axis=1) - self._error(), out=self.floor)
 
     def _compact(self) -> tuple:
         q, ids, scores = (np.concatenate(c) for c in zip(*self.parts))
@@ -114,17 +130,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float32).reshape(-1, dim)
 
 
-def _task_best(index: DataFrame, block: pa.Table, n: int, floor: np.ndarray) -> DataFrame:
+def _task_best(index: DataFrame, shipped: Broadcast, n: int, dim: int) -> DataFrame:
     """Each task's own best `n` for every question of one block."""
-    questions = block.column("embedding").combine_chunks()
-    dim = len(questions[0])
-    shipped = index.sparkSession.sparkContext.broadcast(
-        (
-            block.column("qid").to_numpy(),
-            _matrix(questions, dim),
-            floor,
-        )
-    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, matrix, least = shipped.value
@@ -133,8 +140,8 @@ def _task_best(index: DataFrame, block: pa.Table, n: int, floor: np.ndarray) ->
             if batch.num_rows:
                 best.add(batch.column(0).to_numpy(), _matrix(batch.column(1), dim))
         found = best.result()
-        if found is not None:
-            q, ids, scores = found
+        for start in range(0, len(found[0]) if found else 0, _SLICE):
+            q, ids, scores = (c[start : start + _SLICE] for c in found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(qids[q]), pa.array(ids), pa.array(scores)],
                 ["qid", "passage_id", "score"],
@@ -149,64 +156,77 @@ def _merge(hits: DataFrame, n: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= n)
 
 
-def _floor(index: DataFrame, block: pa.Table, n: int, fraction: float) -> np.ndarray:
+def _sample(index: DataFrame, n: int, dim: int) -> np.ndarray:
+    """Some vectors of the index, read from its first partitions only."""
+    vectors = index.select("embedding").where(F.col("embedding").isNotNull())
+    rows = vectors.take(max(n, min(20 * n, _SAMPLE_CELLS // dim)))
+    return np.array([r["embedding"] for r in rows], dtype=np.float32).reshape(-1, dim)
+
+
+def _floor(questions: np.ndarray, sample: np.ndarray, n: int) -> np.ndarray:
     """Per question a score that its n-th best hit reaches.
 
-    Any n real hits prove such a bound, so the n-th best of a sample of the
-    index prunes what tasks emit without losing a result: about n / fraction
-    rows per question reach the shuffle instead of n per task.
+    Any n real hits prove such a bound, so the n-th best of a few vectors
+    prunes what tasks emit without losing a result.
     """
-    qids = block.column("qid").to_numpy()
-    floor = np.full(len(qids), -np.inf)
-    if fraction > 0:
-        sampled = index.sample(fraction, seed=17)
-        nth = _merge(_task_best(sampled, block, n, floor), n).where(F.col("rank") == n)
-        known = {r["qid"]: r["score"] for r in nth.select("qid", "score").collect()}
-        floor = np.array([known.get(q, -np.inf) for q in qids])
-    return floor
-
-
-def _blocks(questions: DataFrame, rows: int | None) -> Iterator[pa.Table]:
-    """Question blocks of a bounded size, fetched one at a time."""
-    table = staged(questions, "questions")
-    total, dim = table.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    rows = rows or max(1, BLOCK_BYTES // (4 * (dim or 1)))
-    if total <= rows:
-        yield table.toArrow()
-        return
-    numbered = assign_positions(table, ["qid"], "pos")
-    for start in range(0, total, rows):
-        inside = (F.col("pos") >= start) & (F.col("pos") < start + rows)
-        yield numbered.where(inside).select("qid", "embedding").toArrow()
+    best = _Best(questions, n, np.full(len(questions), -np.inf))
+    if len(sample):
+        best.add(np.arange(len(sample)), sample)
+        best.result()
+    return best.floor if len(sample) >= n else np.full(len(questions), -np.inf)
+
+
+def block_rows(n: int, dim: int) -> int:
+    """Questions of a block: bounded bytes on the driver, bounded hits in a task."""
+    return max(1, min(BLOCK_BYTES // (4 * dim), HELD_HITS // (4 * n)))
+
+
+def _blocks(questions: DataFrame, rows: int) -> Iterator[pa.Table]:
+    """Question blocks of a bounded size, each read from its own folder."""
+    numbered = assign_positions(questions, ["qid"], "pos")
+    blocked = numbered.select("qid", "embedding", F.floor(F.col("pos") / rows).cast("long").alias("block"))
+    path = staging_path(questions.sparkSession, "question-blocks")
+    blocked.write.partitionBy("block").parquet(path)
+    table = questions.sparkSession.read.schema(blocked.schema).parquet(path)
+    last = table.agg(F.max("block")).first()[0]
+    for block in range(0 if last is None else last + 1):
+        yield table.where(F.col("block") == block).select("qid", "embedding").toArrow()
 
 
 def search(
     questions: DataFrame,
     index: DataFrame,
     n: int = settings.CANDIDATES,
-    block_rows: int | None = None,
-    floor_fraction: float | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Best `n` passages per question: qid, passage_id, score, rank from 1.
 
     `questions` has unique qid and embedding, `index` passage_id and embedding.
-    Ties are ordered by passage_id; fewer than `n` vectors give fewer rows.
-    Each pass ships one bounded block of questions (`block_rows` rows, or as
-    many as fit the byte limit) and scans the index where
-    it lies: vectors are never shuffled and no question-passage pair leaves a
-    task unless it is among the task's best. A pass is written before the
-    next block is fetched. The result being a table, a join with it is
-    planned by its true size: a few hits are broadcast to the passages
-    instead of all passages being shuffled to the hits.
+    Scores are inner products in double, and ranks follow from them unrounded; ties are
+    ordered by passage_id; fewer than `n` vectors give fewer rows.
+    A job ships a few bounded blocks of questions (of `rows` rows, or as many as
+    `block_rows` allows) and scans the index where it lies: vectors
+    are never shuffled and no question-passage pair leaves a task unless it is among
+    the task's best and not below what a sample of the index proves. The result being a
+    table, a join with it is planned by its true size: a few hits are broadcast to the
+    passages instead of all passages being shuffled to the hits.
     """
     spark = index.sparkSession
-    if floor_fraction is None:
-        floor_fraction = 0.01 if is_wide(spark) else 0.0
-    questions = questions.select("qid", "embedding").where(F.col("embedding").isNotNull())
+    questions = staged(questions.select("qid", "embedding").where(F.col("embedding").isNotNull()), "questions")
+    dim = questions.agg(F.max(F.size("embedding"))).first()[0]
+    if not dim:
+        return spark.createDataFrame([], _RANKED)
     path = staging_path(spark, "hits")
-    for block in _blocks(questions, block_rows):
-        if block.num_rows == 0:
-            return spark.createDataFrame([], _RANKED)
-        floor = _floor(index, block, n, floor_fraction)
-        _merge(_task_best(index, block, n, floor), n).write.mode("append").parquet(path)
+    sample = _sample(index, n, dim)
+    blocks = _blocks(questions, rows or block_rows(n, dim))
+    while wave := list(islice(blocks, WAVE)):
+        shipped = []
+        for block in wave:
+            matrix = _matrix(block.column("embedding").combine_chunks(), dim)
+            sent = (block.column("qid").to_numpy(), matrix, _floor(matrix, sample, n))
+            shipped.append(spark.sparkContext.broadcast(sent))
+        found = [_task_best(index, s, n, dim) for s in shipped]
+        _merge(reduce(DataFrame.unionByName, found), n).write.mode("append").parquet(path)
+        for s in shipped:
+            s.destroy()
     return spark.read.schema(_RANKED).parquet(path)

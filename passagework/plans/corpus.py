@@ -52,18 +52,22 @@ def ensure_index(
 ) -> DataFrame:
     """Reuse or build the passage and index tables under `root`.
 
-    Paths carry chunk length, overlap and encoder name, so other settings
-    never meet a stale table.
+    Paths carry chunk length, overlap, tokenizer and encoder name, so other settings
+    never meet a stale table. An index remembers the fingerprint of the passages it was made of and is
+    made anew when they have changed, whichever encoder's call changed them.
     """
     spark = pages.sparkSession
-    text_path = artifacts.passages_path(root, chunking)
-    path = artifacts.index_path(root, chunking, encoder_name)
-    if recompute_passages or not artifacts.is_complete(spark, text_path):
+    text_path = artifacts.passages_path(root, chunking, tokenizer.name)
+    path = artifacts.index_path(root, chunking, encoder_name, tokenizer.name)
+    mark = artifacts.read_mark(spark, text_path)
+    if recompute_passages or mark is None:
         build_passages(pages, chunking, tokenizer).write.mode("overwrite").parquet(text_path)
-        recompute_index = True
-    if recompute_index or not artifacts.is_complete(spark, path):
+        mark = artifacts.fingerprint(artifacts.read_passages(spark, text_path))
+        artifacts.write_mark(spark, text_path, mark)
+    if recompute_index or artifacts.read_mark(spark, path) != mark:
         passages = artifacts.read_passages(spark, text_path)
         encode(passages, "passage", encoder).write.mode("overwrite").parquet(path)
+        artifacts.write_mark(spark, path, mark)
     return artifacts.read_index(spark, path)
 
 
@@ -108,7 +112,6 @@ def pages_of_shards(
     path: str,
     splits: Sequence[str] = settings.SPLITS,
     max_shards: int | None = None,
-    rows: int = settings.SHARD_ROWS,
 ) -> DataFrame:
     """Pages of the examples in a sharded table, in source order.
 
@@ -116,5 +119,5 @@ def pages_of_shards(
     of each split. Fails if no row is left.
     """
     sharded = ex.first_shards(ex.read_shards(spark, path, splits), max_shards)
-    examples = ex.in_source_order(ex.require_rows(sharded, path), splits, rows)
+    examples = ex.in_source_order(ex.require_rows(sharded, path), splits)
     return unnest_pages(examples)

@@ -111,11 +111,10 @@ def run_recall(
     candidates: int = settings.CANDIDATES,
     ks: Sequence[int] = settings.RECALL_AT,
     splits: Sequence[str] = settings.SPLITS,
-    rows: int = settings.SHARD_ROWS,
 ) -> DataFrame:
     """Recall@K on the first `sample_limit` examples of each split of a sharded table."""
     first = ex.head_per_split(ex.read_shards(spark, shards, splits), sample_limit)
-    asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), splits, rows))
+    asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), splits))
     return evaluate_recall(staged(asked, "asked"), index, encoder, scorer, candidates, ks, ["split"])
 
 
@@ -130,11 +129,10 @@ def run_answers(
     k: int = settings.RERANK_TOP,
     save_path: str | None = None,
     consensus: bool = False,
-    rows: int = settings.SHARD_ROWS,
 ) -> DataFrame:
     """Mean exact match and F1 on the first test examples; the log is saved on request."""
     first = ex.head(ex.read_shards(spark, shards, ["test"]), max_questions)
-    asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), ["test"], rows))
+    asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), ["test"]))
     log = evaluate_answers(
         staged(asked.drop("split"), "asked"), index, encoder, generator, scorer, k=k, consensus=consensus
     )

@@ -51,8 +51,3 @@ def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
     adaptive coalescing go by bytes and would leave them to a task or two.
     """
     return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
-def is_wide(spark: SparkSession) -> bool:
-    """True on clusters where per-task results must be pruned before a shuffle."""
-    return spark.sparkContext.defaultParallelism > 64

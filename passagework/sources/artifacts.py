@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas, settings
 
@@ -17,12 +17,42 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def passages_path(root: str, chunking: settings.Chunking) -> str:
-    return f"{root}/passages/chunk={chunking.tokens}/overlap={chunking.overlap}"
+def fingerprint(table: DataFrame) -> str:
+    """Row count and two sums of row hashes: equal for equal rows, in whatever order."""
+    columns = [F.col(c) for c in table.columns]
+    # Sums in decimals, which neither overflow nor depend on the order.
+    sums = [F.sum(F.xxhash64(*columns, F.lit(i)).cast("decimal(38,0)")).cast("string") for i in range(2)]
+    empty = F.lit("0")
+    return table.agg(F.concat_ws("-", F.count(F.lit(1)).cast("string"), *(F.coalesce(s, empty) for s in sums))).first()[0]
 
 
-def index_path(root: str, chunking: settings.Chunking, encoder_name: str) -> str:
-    return f"{root}/index/chunk={chunking.tokens}/overlap={chunking.overlap}/encoder={encoder_name}"
+def write_mark(spark: SparkSession, path: str, mark: str) -> None:
+    """Written after the table at `path`, beside it: it vouches for a complete table."""
+    spark.range(1).select(F.lit(mark).alias("mark")).write.mode("overwrite").parquet(f"{path}/_mark")
+
+
+def read_mark(spark: SparkSession, path: str) -> str | None:
+    """The mark of the table at `path`; None if the table or its mark is not complete.
+
+    Overwriting a table removes its mark with it.
+    """
+    if not (is_complete(spark, path) and is_complete(spark, f"{path}/_mark")):
+        return None
+    return spark.read.schema("mark string").parquet(f"{path}/_mark").first()["mark"]
+
+
+def _settings(chunking: settings.Chunking, tokenizer_name: str) -> str:
+    return f"tokenizer={tokenizer_name}/chunk={chunking.tokens}/overlap={chunking.overlap}"
+
+
+def passages_path(root: str, chunking: settings.Chunking, tokenizer_name: str = "blank") -> str:
+    return f"{root}/passages/{_settings(chunking, tokenizer_name)}"
+
+
+def index_path(
+    root: str, chunking: settings.Chunking, encoder_name: str, tokenizer_name: str = "blank"
+) -> str:
+    return f"{root}/index/{_settings(chunking, tokenizer_name)}/encoder={encoder_name}"
 
 
 def read_passages(spark: SparkSession, path: str) -> DataFrame:

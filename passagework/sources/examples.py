@@ -6,14 +6,16 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas, settings
 from ..operators.numbering import assign_positions
-from ..runtime import spread
+from . import artifacts
 
 _SHARD_DIGITS = 10
+# Rows of a shard, and splits in one order, that fit a 64-bit number with the shard's rank.
+_MOST_ROWS = 2**26
+_MOST_SPLITS = 5
 
 
 def read_examples(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -51,8 +53,12 @@ def as_test_split(df: DataFrame, order: Sequence[str], position: str | None = No
 
 
 def with_shards(df: DataFrame, rows: int = settings.SHARD_ROWS) -> DataFrame:
-    """Shard number: `rows` examples per shard, the last one may be short."""
-    return df.withColumn("shard", F.floor(F.col("pos") / F.lit(rows)).cast("int"))
+    """Shard number and the row in it: `rows` examples per shard, the last one may be short."""
+    if not 0 < rows <= _MOST_ROWS:
+        raise ValueError(f"a shard has 1 to {_MOST_ROWS} rows")
+    return df.withColumns({
+        "shard": F.floor(F.col("pos") / F.lit(rows)).cast("int"), "row": F.pmod(F.col("pos"), F.lit(rows)).cast("int")
+    })
 
 
 def shard_name(shard="shard"):
@@ -60,30 +66,18 @@ def shard_name(shard="shard"):
 
 
 def write_shards(
-    df: DataFrame,
-    path: str,
-    rows: int = settings.SHARD_ROWS,
-    mode: str = "errorifexists",
-    tasks: int | None = None,
+    df: DataFrame, path: str, rows: int = settings.SHARD_ROWS, mode: str = "errorifexists"
 ) -> None:
-    """One directory per split and shard.
+    """One directory per split, its rows sorted by shard.
 
-    Positions come range-sorted, so a shard lies in one task or a few and the
-    table is written without a further shuffle. `tasks` spreads the shards
-    first, for tables with few bytes and many shards.
+    Positions come range-sorted, so the table is written without a further shuffle, and a filter
+    on `shard` skips the row groups of all other shards, however many there are.
     """
-    sharded = with_shards(df, rows)
-    if tasks:
-        sharded = spread(sharded, tasks, "split", "shard")
-    sharded.write.mode(mode).partitionBy("split", "shard").parquet(path)
+    with_shards(df, rows).write.mode(mode).partitionBy("split").parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+def _marker(path: str, split: str) -> str:
+    return f"{path}/_splits/{split}"
 
 
 def ensure_shards(
@@ -94,18 +88,25 @@ def ensure_shards(
     order: Sequence[str],
     validation_rows: int = settings.VALIDATION_ROWS,
     rows: int = settings.SHARD_ROWS,
-    tasks: int | None = None,
 ) -> DataFrame:
     """Write the splits that are missing and return the sharded table.
 
-    Train and validation come from one job, so either of them proves that it
-    ran. The test split is looked for on its own; a folder without it is
-    completed instead of being taken for finished.
+    A split is there if its marker is, a table of its row count that is written last; a split
+    that ended halfway, or that was never begun, is written anew, whatever the others are. A
+    split without rows is there with a count of 0.
     """
-    if not any(_exists(spark, f"{path}/split={s}") for s in ("train", "validation")):
-        write_shards(split_by_position(labelled, order, validation_rows), path, rows, "append", tasks)
-    if not _exists(spark, f"{path}/split=test"):
-        write_shards(as_test_split(test, order), path, rows, "append", tasks)
+    missing = [s for s in settings.SPLITS if not artifacts.is_complete(spark, _marker(path, s))]
+    sources = {}
+    if "train" in missing or "validation" in missing:
+        both = split_by_position(labelled, order, validation_rows)
+        sources = {s: both.where(F.col("split") == s) for s in ("train", "validation")}
+    if "test" in missing:
+        sources["test"] = as_test_split(test, order)
+    for split in missing:
+        target = f"{path}/split={split}"
+        with_shards(sources[split].drop("split"), rows).write.mode("overwrite").parquet(target)
+        count = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows"))
+        count.write.mode("overwrite").parquet(_marker(path, split))
     return read_shards(spark, path)
 
 
@@ -131,7 +132,7 @@ def _leading_names(sizes: DataFrame, per_split: int) -> DataFrame:
 
 
 def _only(df: DataFrame, shards: DataFrame) -> DataFrame:
-    """Rows of the given few shards, as a filter that skips all other folders."""
+    """Rows of the given few shards, as a filter that skips all other row groups."""
     kept: dict[str, list[int]] = {}
     for row in shards.select("split", "shard").collect():
         kept.setdefault(row["split"], []).append(row["shard"])
@@ -180,19 +181,17 @@ def _text_rank(shard: Column) -> Column:
     return F.conv(F.rpad(digits, _SHARD_DIGITS, "0"), 11, 10).cast("bigint")
 
 
-def in_source_order(
-    df: DataFrame,
-    splits: Sequence[str] = settings.SPLITS,
-    rows: int = settings.SHARD_ROWS,
-) -> DataFrame:
-    """Set `ord` to sort like split, shard name as text and row.
+def in_source_order(df: DataFrame, splits: Sequence[str] = settings.SPLITS) -> DataFrame:
+    """Set `ord` to sort like split, shard name as text and row, and to differ for all rows.
 
-    `rows` is the shard size the table was written with. The order follows
-    from the folder and position of a row, so nothing is shuffled.
+    The order follows from where a row was written, so nothing is shuffled and nothing about
+    the table has to be told.
     """
+    if len(splits) > _MOST_SPLITS:
+        raise ValueError(f"at most {_MOST_SPLITS} splits")
     place = F.coalesce(*[F.when(F.col("split") == s, F.lit(i)) for i, s in enumerate(splits)])
     shard = place.cast("bigint") * 11**_SHARD_DIGITS + _text_rank(F.col("shard"))
-    return df.withColumn("ord", shard * rows + F.col("pos") % rows)
+    return df.withColumn("ord", shard * _MOST_ROWS + F.col("row"))
 
 
 def as_questions(examples: DataFrame) -> DataFrame:

@@ -2,26 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-# Below this many bytes per core a table tends to be a row group or two.
-_SMALL_BYTES_PER_CORE = 32 * 2**20
 
-
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """Parquet table; `spread_by` names a key to spread a small table by.
-
-    Spark cuts input by row group. A small file is often a single one and
-    would keep one core busy with all text work, so below a size limit its
-    rows are first hashed over all cores. Large tables are read where they
-    are: their row groups already give more tasks than cores.
-    """
-    df = spark.read.parquet(path)
-    if spread_by is None:
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > 4 * cores:
-        return df
-    # Only file lengths are read here, not the files.
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-    return df.repartition(cores, spread_by) if size < cores * _SMALL_BYTES_PER_CORE else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table, read where it lies; a plan that needs its rows spread says so itself."""
+    return spark.read.parquet(path)

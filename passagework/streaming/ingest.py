@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import settings
 from ..operators.numbering import assign_positions
 from ..operators.pages import chunk_pages
+from ..sources.examples import with_shards
 
 
 def read_landing(
@@ -53,15 +54,19 @@ def stream_shards(
     out: str,
     checkpoint: str,
     shard_rows: int = settings.SHARD_ROWS,
+    split: str = "train",
 ) -> DataFrame:
-    """Append a stream as numbered shards of `shard_rows` rows each.
+    """Append a stream as numbered shards of `shard_rows` rows each, as split `split`.
+
+    The table has the layout of `write_shards`, so `read_shards` reads it.
 
     A micro-batch continues after the rows of the batches before it, whose
     total the previous batch left behind. A batch overwrites its own folders,
     so running it again after a failure gives the same rows once.
     """
     schema = T.StructType(
-        [*rows.schema.fields, T.StructField("pos", T.LongType()), T.StructField("shard", T.IntegerType())]
+        [*rows.schema.fields, T.StructField("pos", T.LongType()),
+         T.StructField("shard", T.IntegerType()), T.StructField("row", T.IntegerType())]
     )
 
     def append(batch: DataFrame, epoch: int) -> None:
@@ -70,14 +75,15 @@ def stream_shards(
         if epoch:
             start = spark.read.schema("total long").parquet(f"{out}/_totals/{epoch - 1}").first()[0]
         placed = assign_positions(batch, order, "pos").withColumn("pos", F.col("pos") + start)
-        shard = F.floor(F.col("pos") / shard_rows).cast("int")
-        target = f"{out}/epoch={epoch}"
-        placed.withColumn("shard", shard).select(*schema.names).write.mode("overwrite").parquet(target)
+        target = f"{out}/split={split}/epoch={epoch}"
+        with_shards(placed, shard_rows).select(*schema.names).write.mode("overwrite").parquet(target)
         written = spark.read.schema(schema).parquet(target)
         written.agg((F.count(F.lit(1)) + start).alias("total")).write.mode("overwrite").parquet(
             f"{out}/_totals/{epoch}"
         )
 
     _drain(rows.writeStream.foreachBatch(append), checkpoint)
-    stored = T.StructType([*schema.fields, T.StructField("epoch", T.IntegerType())])
+    stored = T.StructType(
+        [*schema.fields, T.StructField("split", T.StringType()), T.StructField("epoch", T.IntegerType())]
+    )
     return rows.sparkSession.read.schema(stored).parquet(out)

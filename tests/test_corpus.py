@@ -175,9 +175,9 @@ def test_model_tokenizer_slot(spark):
         return to_ids, to_text
 
     pages = pages_of(spark, [(0, 0, "T", "abc de"), (1, 0, "T", None)])
-    got = chunk_pages(pages, settings.Chunking(4, 1), tx.model_tokenizer(factory)).orderBy("chunk_pos")
+    got = chunk_pages(pages, settings.Chunking(4, 1), tx.model_tokenizer(factory, "characters")).orderBy("chunk_pos")
     assert [r["passage"] for r in got.collect()] == ["T: abc", "T: de"]
-    swept = chunk_sweep(pages, [settings.Chunking(4, 1)], tx.model_tokenizer(factory)).orderBy("chunk_pos")
+    swept = chunk_sweep(pages, [settings.Chunking(4, 1)], tx.model_tokenizer(factory, "characters")).orderBy("chunk_pos")
     assert [r["passage"] for r in swept.collect()] == ["T: abc", "T: de"]
 
 
@@ -195,7 +195,13 @@ def test_index_is_reused_per_setting(spark):
     assert texts(changed, encoder, root, "h8") == ["t: a b c d"]
     assert texts(changed, encoder, root, "h8", small) == ["t: e f"]
     assert texts(changed, encoder, root, "h8", recompute_index=True) == ["t: a b c d"]
+    other = HashingEncoder(4)
+    assert texts(first, other, root, "h4") == ["t: a b c d"]
     assert texts(changed, encoder, root, "h8", recompute_passages=True) == ["t: e f"]
+    assert texts(changed, other, root, "h4") == ["t: e f"]
+    pairs = tx.Tokenizer(tx.tokens, lambda items: F.array_join(items, "+"), "plus")
+    assert texts(first, encoder, root, "h8", tokenizer=pairs) == ["t: a+b+c+d"]
+    assert texts(first, encoder, root, "h8") == ["t: e f"]
     assert artifacts.read_passages(spark, artifacts.passages_path(root, small)).count() == 1
     with pytest.raises(AnalysisException):
         artifacts.read_index(spark, f"{root}/absent")

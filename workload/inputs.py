@@ -9,7 +9,9 @@ from passagework.sources.tables import read_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", spread_by)
+    """Table `name`; the test tables are one row group each, so text work on them is spread first."""
+    df = read_table(spark, f"{sf_dir}/{name}.parquet")
+    return df.repartition(spark.sparkContext.defaultParallelism, spread_by) if spread_by else df
 
 
 def _pieces(text: Column, pattern: str) -> Column:

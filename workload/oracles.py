@@ -126,11 +126,12 @@ def _hits(n: int) -> str:
   SELECT qv.id AS qid, pv.id AS passage_id, sum(qv.v::DOUBLE * pv.v::DOUBLE) AS dot
   FROM qv JOIN pv USING (bucket) GROUP BY ALL),
 scored AS (
-  SELECT q.qid, p.passage_id, round(coalesce(d.dot, 0), 7) AS score
+  SELECT q.qid, p.passage_id, coalesce(d.dot, 0) AS dot
   FROM questions q CROSS JOIN passages p LEFT JOIN dots d USING (qid, passage_id)),
 hits AS (
-  SELECT qid, passage_id, score,
-         row_number() OVER (PARTITION BY qid ORDER BY score DESC, passage_id)::INTEGER AS candidate_rank
+  -- Sums in another order differ in the last digits where exact scores are equal.
+  SELECT qid, passage_id, round(dot, 7) AS score,
+         row_number() OVER (PARTITION BY qid ORDER BY round(dot, 13) DESC, passage_id)::INTEGER AS candidate_rank
   FROM scored QUALIFY candidate_rank <= {n})"""
 
 
@@ -353,13 +354,28 @@ def _sweep_recall() -> str:
     return " UNION ALL ".join(parts)
 
 
-_NEAREST = """
-SELECT qid, passage_id, score, rank FROM (
-  SELECT a.vec_id AS qid, b.vec_id AS passage_id,
-    round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 7) AS score,
-    row_number() OVER (PARTITION BY a.vec_id ORDER BY
-      round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 7) DESC, b.vec_id)::INTEGER AS rank
-  FROM embeddings a CROSS JOIN embeddings b) WHERE rank <= 10"""
+
+def _nearest(asked: str = "embedding", indexed: str = "embedding", digits: int = 7) -> str:
+    return f"""
+WITH a AS (SELECT vec_id, ({asked})::DOUBLE[] AS v FROM embeddings),
+b AS (SELECT vec_id, ({indexed})::DOUBLE[] AS v FROM embeddings)
+SELECT qid, passage_id, round(dot, {digits}) AS score, rank FROM (
+  SELECT a.vec_id AS qid, b.vec_id AS passage_id, list_dot_product(a.v, b.v) AS dot,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.v, b.v) DESC, b.vec_id)::INTEGER AS rank
+  FROM a CROSS JOIN b) WHERE rank <= 10"""
+
+
+_LETTER_COUNTS = [f"length(passage) - length(replace(passage, '{x}', ''))" for x in "etnaoi "]
+
+
+def _strip(text: str) -> str:
+    return f"regexp_replace({text}, '^{_UNICODE_BLANKS}|{_UNICODE_BLANKS}$', '', 'g')"
+
+
+_COMPONENTS = "SELECT id AS passage_id, bucket, round(v::DOUBLE, 6) AS value FROM pv"
+_PAYLOAD = """SELECT s.split, s.shard, s.pos, s.ord, d.lang, d.source, d.text
+FROM ({}) s JOIN documents d ON d.doc_id = s.ord"""
+_RETITLED = _chunks().replace(f"coalesce(nullif(source, ''), '{NO_TITLE}')", "'renamed'")
 
 ORACLES = {
     "unnest_pages": f"""
@@ -379,18 +395,47 @@ WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: (x * label)::FLOAT
 n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x::DOUBLE * x::DOUBLE))) AS norm FROM s),
 u AS (SELECT vec_id, list_transform(v, lambda x: (x::DOUBLE / CASE WHEN norm = 0 THEN 1e-10 ELSE norm END)::FLOAT) AS v FROM n)
 SELECT vec_id, (generate_subscripts(v, 1) - 1)::INTEGER AS pos, round(unnest(v)::DOUBLE, 6) AS value FROM u""",
-    "index_reuse": _with(*_CORPUS)
-    + "SELECT passage_id, passage, 256::INTEGER AS dimensions FROM passages",
-    "topk_inner_product": _NEAREST,
-    "topk_blocks": _NEAREST,
+    "index_reuse": _with(*_CORPUS, _PASSAGE_VECTORS) + _COMPONENTS,
+    "index_two_encoders": _with(_RETITLED, _DEDUP, _PASSAGES, _PASSAGE_VECTORS) + _COMPONENTS,
+    "index_two_tokenizers": _with(*_CORPUS) + "SELECT passage_id, passage FROM passages",
+    "model_encoder": _with(
+        *_CORPUS, f"counted AS (SELECT passage_id, [{', '.join(_LETTER_COUNTS)}]::DOUBLE[] AS c FROM passages)"
+    )
+    + """SELECT passage_id, (i - 1)::INTEGER AS pos,
+  round((c[i] / CASE WHEN norm = 0 THEN 1e-10 ELSE norm END)::FLOAT::DOUBLE, 6) AS value
+FROM (SELECT *, sqrt(list_dot_product(c, c)) AS norm, unnest(range(1, 8)) AS i FROM counted)""",
+    "model_tokens": f"""
+SELECT doc_id, (st // 180)::INTEGER AS chunk_pos, source || ': ' || {_strip('substr(text, st + 1, 240)')} AS passage
+FROM (SELECT *, unnest(range(0, length(text), 180)) AS st FROM documents)""",
+    "model_scorer": _with(*_SEARCHED, _hits(100))
+    + """SELECT qid, candidate_rank, rank, rerank_score FROM (
+  SELECT h.qid, candidate_rank, least(400, length(passage) - length(question))::DOUBLE AS rerank_score,
+    row_number() OVER (PARTITION BY h.qid ORDER BY least(400, length(passage) - length(question)) DESC, candidate_rank)::INTEGER AS rank
+  FROM hits h JOIN passages USING (passage_id) JOIN questions q ON q.qid = h.qid)""",
+    "model_answers_text": _with(
+        *_RERANKED, _asked(5), f"whole AS (SELECT qid, {_text(instruction(True))} || '\n\n' || {_USER} AS p FROM asked)",
+        f"cut AS (SELECT qid, CASE WHEN length(p) <= 2048 THEN p ELSE {_strip('left(p, 2048)')} END AS p FROM whole)",
+    )
+    + """SELECT qid, i::INTEGER AS sample_idx, i > 0 AS do_sample,
+  length(p) || ':' || right(p, 12) || ':' || CASE WHEN i > 0 THEN 1 ELSE 0 END AS answer
+FROM cut CROSS JOIN (SELECT unnest([0, 1]) AS i)""",
+    "model_answers_chat": _with(*_RERANKED, _asked(5))
+    + f"""SELECT qid, 0::INTEGER AS sample_idx, false AS do_sample,
+  'system=' || length({_text(instruction(False))}) || ' user=' || length({_USER}) AS answer FROM asked""",
+    "topk_inner_product": _nearest(),
+    "topk_blocks": _nearest(),
+    "topk_scaled": _nearest(
+        "list_transform(embedding, lambda x: (x::DOUBLE * 0.001)::FLOAT)",
+        "list_transform(embedding, lambda y: (y::DOUBLE * label)::FLOAT)", 9,
+    ),
     "topk_underfull": """
 WITH x AS (SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),
 m AS (SELECT label, pos, avg(x)::FLOAT AS x FROM x GROUP BY ALL),
 c AS (SELECT label::BIGINT AS passage_id, list(x ORDER BY pos) AS v FROM m GROUP BY label),
-s AS (SELECT vec_id AS qid, passage_id, round(list_dot_product(embedding::DOUBLE[], v::DOUBLE[]), 7) AS score
+s AS (SELECT vec_id AS qid, passage_id, list_dot_product(embedding::DOUBLE[], v::DOUBLE[]) AS dot
       FROM embeddings CROSS JOIN c)
-SELECT qid, passage_id, score,
-       row_number() OVER (PARTITION BY qid ORDER BY score DESC, passage_id)::INTEGER AS rank FROM s""",
+SELECT qid, passage_id, round(dot, 7) AS score,
+       row_number() OVER (PARTITION BY qid ORDER BY dot DESC, passage_id)::INTEGER AS rank FROM s""",
     "retrieve": _with(*_RERANKED)
     + """SELECT qid, rank, candidate_rank, passage_id, score, rerank_score FROM ranked WHERE rank <= 3""",
     "retrieve_vector_only": _with(*_SEARCHED, _hits(100))
@@ -461,17 +506,21 @@ UNION ALL SELECT qid, 1::INTEGER, 'user', {_USER} FROM asked""",
     + f"""SELECT s.qid, sample_idx, norm <> '' AND len(list_filter(t.passages,
     lambda p: contains({_squeeze('lower(p)')}, norm))) > 0 AS in_context
 FROM (SELECT *, {_vote_key('answer')} AS norm FROM samples) s JOIN turns t USING (qid)""",
-    "split_shards": _with(_SHARDED) + "SELECT split, shard, pos, ord FROM sharded",
+    "split_shards": _with(_SHARDED) + _PAYLOAD.format("SELECT * FROM sharded"),
+    "shards_resume": _with(_SHARDED) + _PAYLOAD.format("SELECT * FROM sharded"),
+    "source_order": _with(_SHARDED)
+    + """SELECT split, shard, pos, row_number() OVER (ORDER BY
+  CASE split WHEN 'train' THEN 0 WHEN 'validation' THEN 1 ELSE 2 END, 'shard_' || shard, pos) - 1 AS place FROM sharded""",
     "head_sample": _with(_split(100, 20))
-    + """SELECT split, shard, pos, ord FROM sharded WHERE split = 'train'
-ORDER BY 'shard_' || shard, pos LIMIT 100""",
+    + _PAYLOAD.format("""SELECT * FROM sharded WHERE split = 'train'
+ORDER BY 'shard_' || shard, pos LIMIT 100"""),
     "head_per_split": _with(_SHARDED)
-    + """SELECT split, shard, pos, ord FROM sharded
-QUALIFY row_number() OVER (PARTITION BY split ORDER BY 'shard_' || shard, pos) <= 100""",
+    + _PAYLOAD.format("""SELECT * FROM sharded
+QUALIFY row_number() OVER (PARTITION BY split ORDER BY 'shard_' || shard, pos) <= 100"""),
     "shard_limit": _with(_SHARDED)
-    + """SELECT split, shard, pos, ord FROM sharded
-QUALIFY dense_rank() OVER (PARTITION BY split ORDER BY 'shard_' || shard) <= 2""",
-    "index_from_shards": _with(*_shard_pages(_TWO_SHARDS)) + "SELECT passage_id, passage FROM passages",
+    + _PAYLOAD.format("""SELECT * FROM sharded
+QUALIFY dense_rank() OVER (PARTITION BY split ORDER BY 'shard_' || shard) <= 2"""),
+    "index_from_shards": _with(*_shard_pages(_TWO_SHARDS), _PASSAGE_VECTORS) + _COMPONENTS,
     "passages_from_shards": _with(*_shard_pages("true")) + "SELECT passage_id, passage FROM passages",
     "recall_from_shards": _with(
         *_CORPUS, _PASSAGE_VECTORS, _EXAMPLES, _head("true"), _QUESTION_VECTORS, _hits(100), _WEIGHTS
@@ -523,6 +572,6 @@ FROM documents ORDER BY doc_id LIMIT 3""",
 SELECT doc_id, replace(left(text, {settings.LOG_PREFIX_CHARS}), chr(10), ' ') AS preview FROM documents""",
     "stream_ingest_dedup": _with(_chunks()) + "SELECT DISTINCT passage FROM chunks",
     "stream_shards": """
-SELECT doc_id, pos, (pos // 50)::INTEGER AS shard
-FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents)""",
+SELECT doc_id, pos, (pos // 50)::INTEGER AS shard, lang, source, text
+FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents)""",
 }

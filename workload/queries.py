@@ -8,15 +8,16 @@ from passagework import settings
 from passagework.functions import answers as an, text as tx
 from passagework.functions.vectors import l2_normalize
 from passagework.operators import metrics, profile, prompt
-from passagework.operators.encode import HashingEncoder, encode
-from passagework.operators.generate import ExtractiveGenerator, generate
+from passagework.operators.encode import BatchEncoder, HashingEncoder, encode
+from passagework.operators.generate import ExtractiveGenerator, ModelGenerator, generate
+from passagework.operators.numbering import assign_positions
 from passagework.operators.pages import (
     chunk_pages,
     dedup_passages,
     unnest_pages,
     unpack_order,
 )
-from passagework.operators.rerank import IdfOverlapScorer, retrieve
+from passagework.operators.rerank import IdfOverlapScorer, PairScorer, retrieve
 from passagework.operators.search import search
 from passagework.operators.vote import vote
 from passagework.plans import corpus, evaluate
@@ -24,7 +25,7 @@ from passagework.runtime import staging_path
 from passagework.sources import artifacts, examples as ex
 from passagework.streaming.ingest import ingest_passages, read_landing, stream_shards
 
-from . import inputs
+from . import inputs, models
 
 ENCODER = HashingEncoder(256)
 SCORER = IdfOverlapScorer()
@@ -70,8 +71,7 @@ def passage_ids(spark, sf_dir):
     return _passages(spark, sf_dir)
 
 
-def hash_embed(spark, sf_dir):
-    vectors = encode(_passages(spark, sf_dir), "passage", ENCODER)
+def _components(vectors):
     return (
         vectors.select("passage_id", F.posexplode("embedding").alias("bucket", "value"))
         .where(F.col("value") != 0)
@@ -79,6 +79,25 @@ def hash_embed(spark, sf_dir):
     )
 
 
+def hash_embed(spark, sf_dir):
+    return _components(encode(_passages(spark, sf_dir), "passage", ENCODER))
+
+
+def model_encoder(spark, sf_dir):
+    vectors = encode(_passages(spark, sf_dir), "passage", BatchEncoder(models.letter_encoder, 33))
+    return vectors.select("passage_id", F.posexplode("embedding").alias("pos", "value")).select(
+        "passage_id", "pos", _six(F.col("value").cast("double")).alias("value")
+    )
+
+
+def model_tokens(spark, sf_dir):
+    """Chunks of 240 code points, cut and put together by a model's tokenizer."""
+    tokenizer = tx.model_tokenizer(models.character_tokenizer, "characters")
+    return chunk_pages(inputs.pages(spark, sf_dir), tokenizer=tokenizer).select(
+        F.col("example_ord").alias("doc_id"), "chunk_pos", "passage"
+    )
+
+
 def unit_vectors(spark, sf_dir):
     scaled = inputs.embeddings(spark, sf_dir).withColumn(
         "embedding", F.transform("embedding", lambda x: (x * F.col("label")).cast("float"))
@@ -94,25 +113,60 @@ def index_reuse(spark, sf_dir):
     root = staging_path(spark, "artifacts")
     pages = inputs.pages(spark, sf_dir)
     corpus.ensure_index(pages, ENCODER, root, "hash256")
-    again = corpus.ensure_index(pages, ENCODER, root, "hash256")
-    return again.select(
-        "passage_id", "passage", F.size("embedding").cast("int").alias("dimensions")
-    )
+    return _components(corpus.ensure_index(pages, ENCODER, root, "hash256"))
+
+
+def index_two_encoders(spark, sf_dir):
+    """Passages made anew through one encoder's call renew the index of the other."""
+    root = staging_path(spark, "artifacts")
+    pages = inputs.pages(spark, sf_dir)
+    retitled = pages.withColumn("title", F.lit("renamed"))
+    other = HashingEncoder(16)
+    corpus.ensure_index(pages, ENCODER, root, "hash256")
+    corpus.ensure_index(pages, other, root, "hash16")
+    corpus.ensure_index(retitled, other, root, "hash16", recompute_passages=True)
+    return _components(corpus.ensure_index(retitled, ENCODER, root, "hash256"))
+
+
+def index_two_tokenizers(spark, sf_dir):
+    """Each tokenizer has its own passages under the same root."""
+    root = staging_path(spark, "artifacts")
+    pages = inputs.pages(spark, sf_dir)
+    characters = tx.model_tokenizer(models.character_tokenizer, "characters")
+    corpus.ensure_index(pages, ENCODER, root, "hash256", tokenizer=characters)
+    return corpus.ensure_index(pages, ENCODER, root, "hash256").select("passage_id", "passage")
 
 
 # Search ---------------------------------------------------------------------
 
 
+def _rounded(hits, digits=7):
+    """Ranks follow from unrounded scores; only what is shown is rounded."""
+    return hits.withColumn("score", F.round("score", digits))
+
+
 def nearest(spark, sf_dir):
     vectors = inputs.embeddings(spark, sf_dir)
-    return search(vectors.withColumnRenamed("passage_id", "qid"), vectors, 10)
+    return _rounded(search(vectors.withColumnRenamed("passage_id", "qid"), vectors, 10))
 
 
 def nearest_blocks(spark, sf_dir):
-    """The same search in several question blocks, pruned by a sampled floor."""
+    """The same search in more blocks of questions than one job takes."""
     vectors = inputs.embeddings(spark, sf_dir)
     asked = vectors.withColumnRenamed("passage_id", "qid")
-    return search(asked, vectors, 10, block_rows=400, floor_fraction=0.1)
+    return _rounded(search(asked, vectors, 10, rows=50))
+
+
+def nearest_scaled(spark, sf_dir):
+    """Vectors far from unit length on both sides."""
+    vectors = inputs.embeddings(spark, sf_dir)
+
+    def times(factor):
+        return F.transform("embedding", lambda x: (x.cast("double") * factor).cast("float"))
+
+    asked = vectors.select(F.col("passage_id").alias("qid"), times(F.lit(1e-3)).alias("embedding"))
+    index = vectors.select("passage_id", times(F.col("label")).alias("embedding"))
+    return _rounded(search(asked, index, 10), 9)
 
 
 def nearest_centroids(spark, sf_dir):
@@ -129,21 +183,29 @@ def nearest_centroids(spark, sf_dir):
             "embedding"
         )
     )
-    return search(vectors.withColumnRenamed("passage_id", "qid"), centroids, 100)
+    return _rounded(search(vectors.withColumnRenamed("passage_id", "qid"), centroids, 100))
 
 
 def retrieved(spark, sf_dir):
     found = retrieve(inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER)
-    return found.select(
+    return _rounded(found).select(
         "qid", "rank", "candidate_rank", "passage_id", "score", "rerank_score"
     )
 
 
+def model_scorer(spark, sf_dir):
+    found = retrieve(
+        inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER,
+        PairScorer(models.length_scorer, batch=7), 100, None,
+    )
+    return found.select("qid", "candidate_rank", "rank", "rerank_score")
+
+
 def retrieved_by_vector(spark, sf_dir):
     found = retrieve(
         inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, None, 100, 10
     )
-    return found.select("qid", "rank", "passage_id", "score", "passage")
+    return _rounded(found).select("qid", "rank", "passage_id", "score", "passage")
 
 
 def reranked_candidates(spark, sf_dir):
@@ -293,6 +355,20 @@ def generate_extractive(spark, sf_dir):
     )
 
 
+def model_answers_text(spark, sf_dir):
+    """A text model whose prompts are cut by its own tokens."""
+    tokenizer = tx.model_tokenizer(models.character_tokenizer, "characters")
+    model = ModelGenerator(models.prompt_reader, batch=5, tokenizer=tokenizer)
+    return generate(_asked(spark, sf_dir, 5), model, 2, vote=True).select(
+        "qid", "sample_idx", "do_sample", "answer"
+    )
+
+
+def model_answers_chat(spark, sf_dir):
+    model = ModelGenerator(models.message_reader, form="chat", batch=5)
+    return generate(_asked(spark, sf_dir, 5), model).select("qid", "sample_idx", "do_sample", "answer")
+
+
 def answer_consensus(spark, sf_dir):
     return evaluate.answer(
         inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, GENERATOR, SCORER,
@@ -324,74 +400,85 @@ def answer_in_context(spark, sf_dir):
 # Splits and shards ----------------------------------------------------------
 
 
-def _cores(spark):
-    return spark.sparkContext.defaultParallelism
+_SHARD_COLUMNS = ("split", "shard", "pos", "ord", "lang", "source", "text")
 
 
-def _sharded(spark, sf_dir):
-    """Documents split and written as shards; labels stand in as test split."""
-    path = staging_path(spark, "shards")
-    documents = inputs.documents(spark, sf_dir).select(F.col("doc_id").alias("ord"))
-    test = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ord"))
+def _rows_to_shard(spark, sf_dir):
+    """Whole documents, and those with a label, which stand in as test split."""
+    documents = inputs.documents(spark, sf_dir).withColumnRenamed("doc_id", "ord")
+    labelled = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ord"))
+    return documents, documents.join(labelled, "ord")
+
+
+def _sharded(spark, sf_dir, path=None):
+    path = path or staging_path(spark, "shards")
     return ex.ensure_shards(
-        spark, path, documents, test, ["ord"], VALIDATION_ROWS, SHARD_ROWS, _cores(spark)
+        spark, path, *_rows_to_shard(spark, sf_dir), ["ord"], VALIDATION_ROWS, SHARD_ROWS
     )
 
 
 def split_shards(spark, sf_dir):
-    return _sharded(spark, sf_dir).select("split", "shard", "pos", "ord")
+    return _sharded(spark, sf_dir).select(*_SHARD_COLUMNS)
+
+
+def shards_resume(spark, sf_dir):
+    """A run that ended while it wrote: its rows count for nothing, and all splits get written."""
+    path = staging_path(spark, "shards")
+    documents, _ = _rows_to_shard(spark, sf_dir)
+    ex.write_shards(ex.split_by_position(documents, ["ord"], 10), path, 7)
+    return _sharded(spark, sf_dir, path).select(*_SHARD_COLUMNS)
+
+
+def source_order(spark, sf_dir):
+    """Places of all rows in source order, which nobody tells the size of the shards."""
+    placed = assign_positions(ex.in_source_order(_sharded(spark, sf_dir)), ["ord"], "place")
+    return placed.select("split", "shard", "pos", "place")
 
 
 def head_sample(spark, sf_dir):
     train = ex.read_shards(spark, _written(spark, sf_dir), ["train"])
-    return ex.head(train, settings.EVAL_ROWS).select("split", "shard", "pos", "ord")
+    return ex.head(train, settings.EVAL_ROWS).select(*_SHARD_COLUMNS)
 
 
 def _written(spark, sf_dir):
     path = staging_path(spark, "shards")
-    rows = ex.split_by_position(
-        inputs.documents(spark, sf_dir).select(F.col("doc_id").alias("ord")), ["ord"], 100
-    )
-    ex.write_shards(rows, path, 20, tasks=_cores(spark))
+    documents, _ = _rows_to_shard(spark, sf_dir)
+    ex.write_shards(ex.split_by_position(documents, ["ord"], 100), path, 20)
     return path
 
 
 def head_per_split(spark, sf_dir):
-    return ex.head_per_split(_sharded(spark, sf_dir), settings.EVAL_ROWS).select(
-        "split", "shard", "pos", "ord"
-    )
+    return ex.head_per_split(_sharded(spark, sf_dir), settings.EVAL_ROWS).select(*_SHARD_COLUMNS)
 
 
 def shard_limit(spark, sf_dir):
-    return ex.first_shards(_sharded(spark, sf_dir), 2).select("split", "shard", "pos", "ord")
+    return ex.first_shards(_sharded(spark, sf_dir), 2).select(*_SHARD_COLUMNS)
 
 
 def _example_shards(spark, sf_dir):
     """Examples with pages, sharded; the test split repeats the labelled rows."""
     path = staging_path(spark, "shards")
     rows = inputs.examples(spark, sf_dir)
-    ex.ensure_shards(
-        spark, path, rows, rows, ["ord"], VALIDATION_ROWS, SHARD_ROWS, _cores(spark)
-    )
+    ex.ensure_shards(spark, path, rows, rows, ["ord"], VALIDATION_ROWS, SHARD_ROWS)
     return path
 
 
 def index_from_shards(spark, sf_dir):
     """Train and validation, two shards each, as in a sweep on part of the data."""
     pages = corpus.pages_of_shards(
-        spark, _example_shards(spark, sf_dir), ("train", "validation"), 2, SHARD_ROWS
+        spark, _example_shards(spark, sf_dir), ("train", "validation"), 2
     )
-    return corpus.build_index(pages, ENCODER).select("passage_id", "passage")
+    return _components(corpus.build_index(pages, ENCODER))
 
 
 def passages_from_shards(spark, sf_dir):
-    pages = corpus.pages_of_shards(spark, _example_shards(spark, sf_dir), rows=SHARD_ROWS)
+    pages = corpus.pages_of_shards(spark, _example_shards(spark, sf_dir))
     return corpus.build_passages(pages)
 
 
 def recall_from_shards(spark, sf_dir):
     found = evaluate.run_recall(
-        spark, _example_shards(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER, rows=SHARD_ROWS
+        spark, _example_shards(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER
     )
     return found.select("split", "k", _six("recall").alias("recall"), "questions")
 
@@ -399,7 +486,7 @@ def recall_from_shards(spark, sf_dir):
 def answers_from_shards(spark, sf_dir):
     found = evaluate.run_answers(
         spark, _example_shards(spark, sf_dir), _index(spark, sf_dir), ENCODER, GENERATOR, SCORER,
-        save_path=staging_path(spark, "log"), rows=SHARD_ROWS,
+        save_path=staging_path(spark, "log"),
     )
     return found.select(
         _six("exact_match").alias("exact_match"), _six("f1").alias("f1"), "questions"
@@ -490,10 +577,10 @@ def stream_ingest_dedup(spark, sf_dir):
 
 
 def stream_sharded(spark, sf_dir):
-    rows = _landing(spark, sf_dir).select("doc_id")
     root = staging_path(spark, "stream")
-    return stream_shards(rows, ["doc_id"], f"{root}/out", f"{root}/checkpoint", SHARD_ROWS).select(
-        "doc_id", "pos", "shard"
+    stream_shards(_landing(spark, sf_dir), ["doc_id"], f"{root}/out", f"{root}/checkpoint", SHARD_ROWS)
+    return ex.read_shards(spark, f"{root}/out", ["train"]).select(
+        "doc_id", "pos", "shard", "lang", "source", "text"
     )
 
 
@@ -505,6 +592,16 @@ QUERIES = {
     "hash_embed": hash_embed,
     "l2_normalize": unit_vectors,
     "index_reuse": index_reuse,
+    "index_two_encoders": index_two_encoders,
+    "index_two_tokenizers": index_two_tokenizers,
+    "model_encoder": model_encoder,
+    "model_tokens": model_tokens,
+    "model_scorer": model_scorer,
+    "model_answers_text": model_answers_text,
+    "model_answers_chat": model_answers_chat,
+    "topk_scaled": nearest_scaled,
+    "shards_resume": shards_resume,
+    "source_order": source_order,
     "topk_inner_product": nearest,
     "topk_blocks": nearest_blocks,
     "topk_underfull": nearest_centroids,
