@@ -144,7 +144,7 @@ def test_odd_urls(spark):
 def test_mined_rules(spark):
     rows = [(i, f"https://b{i % 7}.example.org/{'casino' if i % 3 == 0 else 'news'}/{i}?ref=1") for i in range(600)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
-    labelled = pages.where("page_id < 400").withColumn("bad", F.col("url").contains("casino") & (F.col("page_id") % 7 < 3)).select("url", "bad")
+    labelled = pages.where("page_id < 500").withColumn("bad", F.col("url").contains("casino") & (F.col("page_id") % 7 < 3)).select("url", "bad")
     mined = {tuple(r.tokens): r for r in url_rules.mine(labelled, 0.01, 0.9).collect()}
     # Brute force over all sets of tokens.
     tokens = [(set(r.t), r.bad) for r in labelled.select(url_rules.tokens_of(F.col("url")).alias("t"), "bad").collect()]
