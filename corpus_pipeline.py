@@ -17,7 +17,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept; fitted on the labelled ones not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~quality.in_fold(F.col("doc_id")))
     model = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
-    return quality.score(docs, model).where("predicted = 1").select(docs.columns)
+    return quality.accepted(docs, model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

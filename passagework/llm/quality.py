@@ -135,17 +135,29 @@ def in_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
-    """`docs` with columns score and predicted; null texts count as empty."""
-    kept = docs.columns
+def _judged(docs: DataFrame, model: RuleModel, text: str) -> DataFrame:
+    """Each row as `_row`, whatever its columns are called, with its `_score`; null texts count as empty."""
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    found = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), *(c.alias(n) for n, c in statistics(plain).items()))
-    scored = found.select("_row", model.score().alias("_score"))
-    return scored.select(*(F.col("_row").getField(c).alias(c) for c in kept), F.col("_score").alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    found = docs.select(row, *(c.alias(n) for n, c in statistics(plain).items()))
+    return found.select("_row", model.score().alias("_score"))
+
+
+def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
+    """`docs` with columns score and predicted, which take the place of columns of these names."""
+    kept = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("score", "predicted")]
+    value = F.col("_score")
+    return _judged(docs, model, text).select(
+        *kept, value.alias("score"), (value >= 0.5).cast("int").alias("predicted")
     )
 
 
+def accepted(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
+    """The rows of `docs`, with their columns, that score 0.5 or more."""
+    kept = [F.col("_row").getField(c).alias(c) for c in docs.columns]
+    return _judged(docs, model, text).where(F.col("_score") >= 0.5).select(*kept)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of each document, fitted on the rows not held out."""
     shown = labels.where(~in_fold(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))

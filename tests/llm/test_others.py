@@ -38,10 +38,12 @@ def test_quality_without_use(spark):
 
 
 def test_quality_keeps_columns(spark):
-    docs = odd_docs(spark).drop("score")
+    docs = odd_docs(spark)
     model = quality.RuleModel({quality.Rule((("words", False, 3.0),)): 2.0}, -1.0)
     scored = quality.score(docs, model)
-    assert scored.columns == [*docs.columns, "score", "predicted"]
+    assert scored.columns == [*docs.drop("score").columns, "score", "predicted"]
+    assert quality.accepted(docs, model).columns == docs.columns
+    assert quality.accepted(docs, model).count() == scored.where("predicted = 1").count()
     for r in scored.collect():
         assert r.predicted == int(len((r.text or "").replace("\n", " ").split(" ")) - (r.text or "").replace("\n", " ").split(" ").count("") > 3)
 
