@@ -25,8 +25,9 @@ def assign_positions(
     count of all earlier partitions. Only one count per partition reaches the
     driver, so its size is set by the shuffle width and not by the data.
 
-    `prepare` may add columns row by row (an encoder, say) to the sorted rows:
-    they are stored by the same write.
+    `prepare` may add columns row by row (an encoder, say). The numbered rows are then written
+    once more, in order and without a shuffle, together with these columns: a filter on
+    `name` skips row groups of that table, and nothing is computed again.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     slotted = (
@@ -34,18 +35,20 @@ def assign_positions(
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    table = staged(prepare(slotted) if prepare else slotted, "positions")
+    table = staged(slotted, "positions")
     part = F.shiftright("_slot", _ROW_BITS)
     counts = sorted(table.groupBy(part.alias("p")).count().collect())
     before = dict(zip((c["p"] for c in counts), accumulate((c["count"] for c in counts), initial=0)))
     row = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     if not before:
-        return table.withColumn("_slot", F.lit(0).cast("bigint")).withColumnRenamed("_slot", name)
+        numbered = table.withColumn(name, F.col("_slot")).drop("_slot")
+        return staged(prepare(numbered), name) if prepare else numbered
     offsets = df.sparkSession.createDataFrame(list(before.items()), "_part long, _before long")
     # One row per shuffle partition: the broadcast side cannot grow with the data.
-    return (
+    numbered = (
         table.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + row)
         .drop("_part", "_before", "_slot")
     )
+    return staged(prepare(numbered), name) if prepare else numbered

@@ -124,7 +124,7 @@ def number_passages(passages: DataFrame) -> DataFrame:
 
 
 def number_and_encode(passages: DataFrame, encoder, *by: str) -> DataFrame:
-    """Dense passage ids and unit vectors, stored by one write.
+    """Dense passage ids and unit vectors, stored in order of the ids.
 
     Encoding is the dearest step, so its result is a table before anything
     reads it: a lost executor or a second scan does not encode again.

@@ -33,6 +33,14 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/passagework/{application}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; results that read them end with it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/passagework/{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and go on from the table.
 

@@ -23,6 +23,12 @@ def index(spark, sf_dir):
     return corpus.build_index(inputs.pages(spark, sf_dir), HashingEncoder(64))
 
 
+def test_index_rows_are_found_by_id(spark, index):
+    text = plan(index.where("passage_id = 3"))
+    assert "EqualTo(passage_id,3)" in text and "Exchange" not in text and "Join" not in text
+    assert index.where("passage_id = 3").count() == 1
+
+
 def checked(text):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     for spec in re.findall(r"windowspecdefinition\(([^)]*)\)", text):

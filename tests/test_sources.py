@@ -162,6 +162,26 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == named.rstrip("/") if named else shared_folder(spark)
 
 
+def test_staged_tables_can_be_dropped():
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import os, tempfile
+from pyspark.sql import SparkSession
+from passagework.runtime import drop_staged, staged
+folder = tempfile.mkdtemp()
+spark = SparkSession.builder.master("local[1]").config("spark.checkpoint.dir", folder).config("spark.ui.enabled", "false").getOrCreate()
+assert staged(spark.range(3), "x").count() == 3
+assert os.listdir(f"{folder}/passagework")
+drop_staged(spark)
+assert not os.listdir(f"{folder}/passagework")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=200)
+
+
 def test_stream_dedup_and_shards_over_several_batches(spark):
     path = staging_path(spark, "landing")
     pages = spark.range(200).select(
