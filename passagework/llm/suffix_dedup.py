@@ -16,8 +16,8 @@ LENGTH = 100
 # Length of the strings whose smallest hash in a window decides where equal windows meet.
 ANCHOR = 24
 # Bytes of text whose transforms are merged by one task, and shards it is cut into.
-BUCKET_BYTES = 4 << 20
-SHARDS = 4
+BUCKET_BYTES = 1 << 19
+SHARDS = 2
 _PORTION = 1 << 20
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _BASE = 0x9E3779B97F4A7C15
@@ -233,21 +233,20 @@ def merge_transforms(shards: list[ShardTransform], depth: int) -> tuple[np.ndarr
     # The marks come first, in order of shards and strings; no round moves them.
     head = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.count for s in shards])
     source = np.concatenate([head, np.repeat(np.arange(len(shards), dtype=np.uint8), [n - s.count for n, s in zip(sizes, shards)])])
-    block = np.zeros(len(source), np.int64)  # before the first round, all are alike
+    block = np.zeros(len(source), np.int32)  # before the first round, all are alike
+    heads = np.arange(marks, dtype=np.int32)
     before = np.empty(len(source), np.int16)
     for _ in range(depth):
         for i, shard in enumerate(shards):
             before[source == i] = shard.transform
-        kept = np.flatnonzero(before >= 0)
-        letters = before[kept].astype(np.uint8)
-        order = np.argsort(letters, kind="stable")
-        moved = kept[order]
-        letters, was = letters[order], block[moved]
+        # 16-bit letters are dealt out by counting; those of string starts (-1) come first.
+        moved = np.argsort(before, kind="stable")[marks:]
+        letters, was = before[moved], block[moved]
         source = np.concatenate([head, source[moved]])
         splits = np.empty(len(was), bool)
         splits[:1] = True
         splits[1:] = (letters[1:] != letters[:-1]) | (was[1:] != was[:-1])
-        new = np.concatenate([np.arange(marks), marks - 1 + np.cumsum(splits)])
+        new = np.concatenate([heads, np.cumsum(splits, dtype=np.int32) + np.int32(marks - 1)])
         done = new[-1] == len(new) - 1 if len(new) else True
         block = new
         if done:
