@@ -92,7 +92,7 @@ class ModelGenerator:
     max_prompt_tokens: int = settings.MAX_PROMPT_TOKENS
     temperature: float = settings.SAMPLE_TEMPERATURE
     top_p: float = settings.SAMPLE_TOP_P
-    tasks: int | None = None
+    task_rows: int = settings.TASK_ROWS
     # Cuts text prompts by the model's own tokens.
     tokenizer: tx.Tokenizer | None = None
 
@@ -139,7 +139,7 @@ class ModelGenerator:
                         [*kept.schema.names, "answer"],
                     )
 
-        answered = spread(asked, self.tasks, "qid", "sample_idx").mapInArrow(run, schema)
+        answered = spread(asked, self.task_rows, "qid", "sample_idx").mapInArrow(run, schema)
         return answered.withColumn("answer", tx.strip(F.col("answer")))
 
 

@@ -68,7 +68,7 @@ class PairScorer:
     """A model that scores (question, passage) pairs, built once per task; it sees `batch` pairs a time."""
 
     factory: Callable[[], Callable[[list[tuple[str, str]]], Sequence[float]]]
-    tasks: int | None = None
+    task_rows: int = settings.TASK_ROWS
     batch: int = settings.ENCODE_BATCH
 
     def score(self, pairs: DataFrame, questions: DataFrame, passages: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ class PairScorer:
                         [*batch.columns, scores], [*batch.schema.names, "rerank_score"]
                     )
 
-        return spread(pairs, self.tasks, "qid", "passage_id").mapInArrow(run, schema)
+        return spread(pairs, self.task_rows, "qid", "passage_id").mapInArrow(run, schema)
 
 
 def rerank(
@@ -112,6 +112,12 @@ def rerank(
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
+def encode_questions(questions: DataFrame, encoder) -> DataFrame:
+    """qid, question and embedding of each question, encoded in parallel and written once."""
+    asked = spread(questions.select("qid", "question"), settings.TASK_ROWS, "qid")
+    return staged(encode(asked, "question", encoder), "question-vectors")
+
+
 def retrieve(
     questions: DataFrame,
     index: DataFrame,
@@ -119,13 +125,16 @@ def retrieve(
     scorer=None,
     candidates: int = settings.CANDIDATES,
     k: int | None = settings.RERANK_TOP,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
-    """Encode, search, fetch and rerank for all questions in one job.
+    """Encode, search, fetch and rerank for all questions.
 
-    `questions`: qid, question. `index`: passage_id, passage, embedding.
+    `questions`: qid, question. `index`: passage_id, passage, embedding. `vectors`: what
+    `encode_questions` gave, for several searches with the same questions.
     """
     asked = questions.select("qid", "question")
-    vectors = encode(asked, "question", encoder)
+    if vectors is None:
+        vectors = encode_questions(questions, encoder)
     hits = search(vectors, index, candidates)
     pairs = fetch_passages(hits, index).join(asked, "qid")
     return rerank(pairs, asked, index, scorer, k)

@@ -11,7 +11,7 @@ from .. import settings
 from ..operators import metrics
 from ..operators.generate import generate
 from ..operators.prompt import with_passages
-from ..operators.rerank import retrieve
+from ..operators.rerank import encode_questions, retrieve
 from ..operators.vote import vote
 from ..runtime import staged
 from ..sources import artifacts, examples as ex
@@ -25,9 +25,10 @@ def ranked_for_recall(
     scorer=None,
     candidates: int = settings.CANDIDATES,
     ks: Sequence[int] = settings.RECALL_AT,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Reranked candidates; at least as many as the largest k asks for."""
-    return retrieve(questions, index, encoder, scorer, max(candidates, max(ks)), max(ks))
+    return retrieve(questions, index, encoder, scorer, max(candidates, max(ks)), max(ks), vectors)
 
 
 def evaluate_recall(
@@ -153,11 +154,12 @@ def sweep_recall(
 ) -> DataFrame:
     """Recall@K and corpus size per chunk setting."""
     index = sweep_index(pages, sweep, encoder)
+    vectors = encode_questions(questions, encoder)
     size = index.groupBy("run").agg(F.count(F.lit(1)).alias("passages"))
     per_run = []
     for run, chunking in enumerate(sweep, 1):
         ranked = ranked_for_recall(
-            questions, index.where(F.col("run") == run), encoder, scorer, candidates, ks
+            questions, index.where(F.col("run") == run), encoder, scorer, candidates, ks, vectors
         )
         first = metrics.first_hits(ranked, questions)
         per_run.append(

@@ -52,10 +52,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
-    """Hash rows over `tasks` tasks, all cores by default.
+def spread(df: DataFrame, task_rows: int, *keys: str) -> DataFrame:
+    """Write `df` and hash its rows over as many tasks as have `task_rows` rows each.
 
     For few rows that each take long, such as calls of a model: splits and
-    adaptive coalescing go by bytes and would leave them to a task or two.
+    adaptive coalescing go by bytes and would leave them to a task or two. The width follows from
+    the rows alone, not from the cores that happen to be there.
     """
-    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, *keys)
+    table = staged(df, "spread")
+    return table.repartition(max(1, -(-table.count() // task_rows)), *keys)

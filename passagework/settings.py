@@ -26,6 +26,9 @@ LOG_PREFIX_CHARS = 200
 PREVIEW_CHARS = 50
 SWEEP = ((160, 40), (200, 50), (240, 60))
 
+# Questions, pairs or prompts that a task hands to a model.
+TASK_ROWS = 256
+
 
 @dataclass(frozen=True)
 class Chunking:
