@@ -120,58 +120,77 @@ def _runs(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     return map_portions(rows, "text", work, schema, _PORTION)
 
 
-def split_run(data: bytes, length: int, anchor: int):
-    """Windows of a run by anchor and side: (key, begin, end) of parts that may hold equal windows.
+def split_runs(runs: list[bytes], length: int, anchor: int):
+    """Windows of runs by anchor and side: (run, key, begin, end) of parts that may hold equal windows.
 
     A window has at least half of its other bytes after its first anchor or before it; these
     bytes and the anchor name the part. Equal windows are in parts of equal names, and few others are.
+    Parts come in order of run and begin.
     """
-    hashes = Hashes(data)
-    starts = np.arange(len(data) - anchor + 1)
-    grams = _mix(hashes.at(starts, starts + anchor))
-    anchors = np.flatnonzero(grams == grams.min())
+    sizes = np.array([len(r) for r in runs])
+    starts = np.cumsum(sizes) - sizes
+    hashes = Hashes(b"".join(runs))
+    # Anchors: of each run, the places of its smallest hash.
+    counts = sizes - anchor + 1
+    firsts = np.cumsum(counts) - counts
+    owner = np.repeat(np.arange(len(runs)), counts)
+    at = np.arange(counts.sum()) - firsts[owner]
+    places = starts[owner] + at
+    grams = _mix(hashes.at(places, places + anchor))
+    least = np.minimum.reduceat(grams, firsts)
+    hit = grams == least[owner]
+    run, a = owner[hit], at[hit]
+    before = np.concatenate([[-1], a[:-1]])
+    before[np.concatenate([[True], run[1:] != run[:-1]])] = -1
+    last = sizes[run] - length
     half = (length - anchor + 1) // 2
-    before = np.concatenate([[-1], anchors[:-1]])
-    last = len(data) - length
+    # Windows from here on have `half` bytes after the anchor, those before it have them in front.
+    turn = a + anchor + half - length
     out = []
-    # Windows from a on have `half` bytes after the anchor up to this start, the others before it.
-    turn = anchors + anchor + half - length
-    for side, low, high in ((1, np.maximum(before + 1, turn), anchors), (0, before + 1, np.minimum(anchors, turn - 1))):
+    for side, low, high in ((1, np.maximum(before + 1, turn), a), (0, before + 1, np.minimum(a, turn - 1))):
         low, high = np.maximum(low, 0), np.minimum(high, last)
         some = low <= high
-        a, low, high = anchors[some], low[some], high[some]
-        begin, end = (a + anchor, a + anchor + half) if side else (a - half, a)
-        key = _mix(hashes.at(begin, end) ^ _mix(grams[a] + np.uint64(side)))
-        out.append((key, low, high + length))
-    return tuple(np.concatenate(c) for c in zip(*out))
+        r, x, low, high = run[some], a[some], low[some], high[some]
+        begin, end = (x + anchor, x + anchor + half) if side else (x - half, x)
+        key = _mix(hashes.at(starts[r] + begin, starts[r] + end) ^ _mix(least[r] + np.uint64(side)))
+        out.append((r, key, low, high + length))
+    r, key, low, high = (np.concatenate(c) for c in zip(*out))
+    order = np.lexsort((low, r))
+    return r[order], key[order], low[order], high[order]
 
 
 def _parts(fetched: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(key, doc, row, start, content, covered) of the parts of fetched runs.
+    """(key, doc, row, start, size, content) of the parts of fetched runs.
 
-    A part that repeats within its own run is covered as a whole and not passed on again.
+    A part that repeats within its own run is covered as a whole: its content is null.
     """
 
     def work(batch: pa.RecordBatch):
-        out: dict[str, list] = {c: [] for c in ("key", "doc", "row", "start", "size", "content")}
+        pieces, docs, rows, starts = [], [], [], []
         columns = (batch.column(c).to_pylist() for c in ("doc", "row", "text", "wanted"))
         for doc, row, text, wanted in zip(*columns):
             data = text.encode()
             for run in wanted:
-                at = run["start"]
-                piece = data[at : at + run["size"]]
-                seen = set()
-                key, begins, ends = split_run(piece, length, anchor)
-                for k, a, b in sorted(zip(key.view(np.int64).tolist(), begins.tolist(), ends.tolist()), key=lambda x: x[1]):
-                    content = piece[a:b]
-                    again = content in seen
-                    seen.add(content)
-                    for name, value in zip(out, (k, doc, row, at + a, b - a, None if again else content)):
-                        out[name].append(value)
+                pieces.append(data[run["start"] : run["start"] + run["size"]])
+                docs.append(doc)
+                rows.append(row)
+                starts.append(run["start"])
+        if not pieces:
+            return
+        run, key, begin, end = split_runs(pieces, length, anchor)
+        contents, seen, now = [], set(), -1
+        for r, x, y in zip(run.tolist(), begin.tolist(), end.tolist()):
+            if r != now:
+                seen, now = set(), r
+            content = pieces[r][x:y]
+            contents.append(None if content in seen else content)
+            seen.add(content)
+        arrays = [
+            key.view(np.int64), np.array(docs)[run], np.array(rows)[run],
+            (np.array(starts)[run] + begin).astype(np.int32), (end - begin).astype(np.int32),
+        ]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out["key"], pa.int64()), pa.array(out["doc"], pa.int64()), pa.array(out["row"], pa.int64()),
-             pa.array(out["start"], pa.int32()), pa.array(out["size"], pa.int32()), pa.array(out["content"], pa.binary())],
-            list(out),
+            [*map(pa.array, arrays), pa.array(contents, pa.binary())], ["key", "doc", "row", "start", "size", "content"]
         )
 
     return map_portions(fetched, "text", work, "key long, doc long, row long, start int, size int, content binary", _PORTION)
@@ -352,8 +371,8 @@ def covered(
     Windows of `length` bytes are dealt out in runs by their smallest anchor hash, so that all
     places of a repeated string meet. Runs that are equal as a whole are settled there: all but the earliest are
     covered. The earliest ones of different runs that meet, and runs that may repeat
-    inside, are cut up by their bytes around the anchor; where such parts meet, their transforms are merged shard by
-    shard, which shows all common prefixes of `length` bytes and so the repeated
+    inside, are cut up by their bytes around the anchor; where different parts meet, their transforms are merged shard
+    by shard, which shows all common prefixes of `length` bytes and so the repeated
     windows. Spans may overlap.
     """
     rows = _rows(docs, key, text)
@@ -379,9 +398,16 @@ def covered(
     fetched = rows.join(wanted, ["doc", "row"]).select("doc", "row", "text", "wanted").dropDuplicates(["doc", "row"])
     parts = staged(_parts(fetched, length, anchor), "parts")
     inner = parts.where("content IS NULL").select("doc", "row", "start", "size")
-    met = parts.where("content IS NOT NULL").withColumn("often", F.count("*").over(Window.partitionBy("key")))
-    met = staged(met.where(F.col("often") > 1).drop("often", "size"), "met-parts")
-    return whole.unionByName(inner).unionByName(_merged(met, length, bytes_per_task))
+    # Parts that are equal as a whole are settled like runs: their first one goes on, if others meet it.
+    by_key = Window.partitionBy("key")
+    in_order = Window.partitionBy("key", "content").orderBy("doc", "row", "start")
+    met = parts.where("content IS NOT NULL").withColumns({
+        "low": F.min("content").over(by_key), "high": F.max("content").over(by_key), "nth": F.row_number().over(in_order),
+    }).withColumn("other", F.col("low") != F.col("high")).where("nth > 1 OR other")
+    met = staged(met.select("key", "doc", "row", "start", "size", "content", "nth", "other"), "met-parts")
+    again = met.where("nth > 1").select("doc", "row", "start", "size")
+    different = met.where("nth = 1 AND other").select("key", "doc", "row", "start", "content")
+    return whole.unionByName(inner).unionByName(again).unionByName(_merged(different, length, bytes_per_task))
 
 
 def _spans(found: list | None, n: int) -> list[tuple[int, int]]:
