@@ -82,4 +82,46 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe_codec": op10_bpe_codec,
 }
-ORACLES: dict[str, str] = {}
+# What SQL can say of these. The others depend on trained rules, vocabularies, random projections
+# or edit distances of code points, and are held against brute force in the tests.
+ORACLES = {
+    "op7_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d),
+s AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte,
+         CASE WHEN 2 * i + 200 <= length(h) THEN md5(substr(h, 2 * i + 1, 200)) END AS gram FROM b),
+r AS (
+  SELECT *, gram IS NOT NULL AND row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) > 1 AS again FROM s),
+c AS (
+  SELECT *, max(again::INTEGER) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) = 1 AS gone FROM r),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM c),
+t AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS removed, count(*) FILTER (begins) AS spans,
+         string_agg(CASE WHEN gone THEN '' ELSE byte END, '' ORDER BY i) AS kept
+  FROM e GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)""",
+    "op9_jaccard_join": """
+WITH RECURSIVE texts AS (
+  SELECT coalesce(text, '') AS t, min(doc_id) AS id FROM documents GROUP BY ALL),
+w AS (
+  SELECT id, list_filter(string_split_regex(lower(t), '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '') AS w FROM texts),
+runs AS (
+  SELECT DISTINCT id, array_to_string(w[i : i + 4], ' ') AS run
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM w)),
+sizes AS (SELECT id, count(*) AS n FROM runs GROUP BY id),
+both_ AS (
+  SELECT a.id AS x, b.id AS y, count(*) AS m FROM runs a JOIN runs b ON a.run = b.run AND a.id <> b.id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM both_ JOIN sizes p ON p.id = x JOIN sizes q ON q.id = y WHERE m >= 0.8 * (p.n + q.n - m)),
+reached(id, other) AS (
+  SELECT id, id FROM texts UNION SELECT r.id, y FROM reached r JOIN links ON x = other),
+classes AS (SELECT id, min(other) AS class_id FROM reached GROUP BY id),
+counts AS (SELECT x AS id, count(*) AS n_links FROM links GROUP BY x)
+SELECT d.doc_id, c.class_id, coalesce(n_links, 0) AS n_links
+FROM documents d JOIN texts t ON t.t = coalesce(d.text, '') JOIN classes c ON c.id = t.id
+LEFT JOIN counts k ON k.id = t.id""",
+}
