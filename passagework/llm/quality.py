@@ -136,11 +136,13 @@ def in_fold(doc_id: Column) -> Column:
 
 
 def _judged(docs: DataFrame, model: RuleModel, text: str) -> DataFrame:
-    """Each row as `_row`, whatever its columns are called, with its `_score`; null texts count as empty."""
+    """Each row as `_row`, whatever its columns are called, with its `_score` and `_place`; null texts count as empty."""
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     found = docs.select(row, *(c.alias(n) for n, c in statistics(plain).items()))
-    return found.select("_row", model.score().alias("_score"))
+    # Rows are numbered so that a filter on the score stays above it: pushed below, it would work
+    # out the statistics again for each bound of each rule.
+    return found.select("_row", model.score().alias("_score"), F.monotonically_increasing_id().alias("_place"))
 
 
 def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
@@ -155,7 +157,7 @@ def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
 def accepted(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
     """The rows of `docs`, with their columns, that score 0.5 or more."""
     kept = [F.col("_row").getField(c).alias(c) for c in docs.columns]
-    return _judged(docs, model, text).where(F.col("_score") >= 0.5).select(*kept)
+    return _judged(docs, model, text).where((F.col("_score") >= 0.5) & (F.col("_place") >= 0)).select(*kept)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
