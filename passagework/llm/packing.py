@@ -21,6 +21,8 @@ from .subword import MEMORY, single_blanks
 GROUP = 20_000
 # Exchanges that local search may try for each bin of a group.
 TRIES = 40
+# What an exchange may leave of a gap.
+_NEARLY = 16
 
 
 class IdCache:
@@ -165,14 +167,23 @@ def _best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 def pack_lengths(lengths: list[int], capacity: int, tries: int = TRIES) -> list[list[int]]:
     """Bins of positions in `lengths`, each of a total of `capacity` at most.
 
-    Best fit, then local search: the emptiest bin gives its items away. An item moves to the
-    bin that it fills best; where none has room, one or two items of the bin are exchanged
-    for a shorter one of a fuller bin, the exchange that fills most. Each such step
-    increases the sum of squared fills, so the search ends; it also ends when no exchange is
-    left or after `tries` steps for each bin.
+    Best fit over falling lengths, then `improve`.
+    """
+    return improve(_best_fit(lengths, capacity), lengths, capacity, tries)
+
+
+def improve(
+    items: list[list[int]], lengths: list[int], capacity: int, tries: int = TRIES
+) -> list[list[int]]:
+    """Fewer bins by local search: one after the other, the emptiest bin gives its items away.
+
+    An item moves to the bin that it fills best; where none has room, one or two items of the
+    bin are exchanged for a shorter one of a fuller bin, one that fills it up or nearly so. Each
+    such step increases the sum of squared fills, so the search ends; it also ends when no
+    exchange is left or after `tries` steps for each bin.
     """
     bins = _Bins(capacity)
-    bins.items = _best_fit(lengths, capacity)
+    bins.items = [list(b) for b in items]
     bins.gap = [capacity - sum(lengths[i] for i in b) for b in bins.items]
     for b in range(len(bins.items)):
         bins._index(b, lengths)
@@ -218,9 +229,15 @@ def _exchange(bins: _Bins, donor: int, lengths: list[int]) -> bool:
     for g in gaps:  # the largest gap that an exchange closes
         for total, items in offers.items():
             if total > g and (found := bins.holding.get((g, total - g))):
-                b = next(iter(found))
-                _give(bins, donor, b, items, total - g, lengths)
+                _give(bins, donor, next(iter(found)), items, total - g, lengths)
                 return True
+    single = [(lengths[i], [i]) for i in few[:4]]
+    for g in gaps:  # or nearly closes
+        for fill in range(g - 1, max(0, g - _NEARLY), -1):
+            for total, items in single:
+                if total > fill and (found := bins.holding.get((g, total - fill))):
+                    _give(bins, donor, next(iter(found)), items, total - fill, lengths)
+                    return True
     return False
 
 
