@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-PORTION_BYTES = 8 << 20
+PORTION_BYTES = 1 << 20
 
 
 def portions(batch: pa.RecordBatch, column: str, most: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ BLOCK = 512
 # pair is compared exactly: five standard deviations below the similarity asked for.
 SAMPLES = 40
 _LEAST_EQUAL = 0.48
-_PORTION = 2 << 20
+_PORTION = 1 << 20
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[9, 10, 11, 12, 13, 32]] = True

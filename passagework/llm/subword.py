@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 # Entries of a worker's memory of finished pieces (200 to 250 bytes each). Frequent pieces come
 # early in a stream of texts, so a full memory is kept as it is and later pieces are worked out anew.
-MEMORY = 600_000
+MEMORY = 400_000
 # How byte-level splitting cuts words; fixed value.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LOOSE_BLANK = re.compile(r" (?=\s|$)")

@@ -19,6 +19,8 @@ ANCHOR = 24
 BUCKET_BYTES = 1 << 19
 SHARDS = 2
 _PORTION = 1 << 20
+# Runs overlap, and each of their bytes takes about 80 while they are split.
+_SPLIT_PORTION = 1 << 18
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -193,7 +195,7 @@ def _parts(fetched: DataFrame, length: int, anchor: int) -> DataFrame:
             [*map(pa.array, arrays), pa.array(contents, pa.binary())], ["key", "doc", "row", "start", "size", "content"]
         )
 
-    return map_portions(fetched, "text", work, "key long, doc long, row long, start int, size int, content binary", _PORTION)
+    return map_portions(fetched, "text", work, "key long, doc long, row long, start int, size int, content binary", _SPLIT_PORTION)
 
 
 class ShardTransform:
