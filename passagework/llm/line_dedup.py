@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import staged
-from .batches import map_portions
+from .batches import map_portions, portions
 
 THRESHOLD = 2
 # Shorter lines are only compared as a whole: two edits would make many of them equal.
 SHORTEST = 20
+# Lines of a list that are compared with each other in one task; twice as many if the list has more.
+BLOCK = 512
 _PORTION = 1 << 20
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -176,53 +179,106 @@ def _keys(docs: DataFrame, text: str, threshold: int, shortest: int) -> DataFram
     return map_portions(docs.select(plain.alias("text")), "text", work, "key long, name binary, probe boolean", _PORTION)
 
 
-def near_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, shortest: int = SHORTEST,
-    lines: DataFrame | None = None,
+def _late(groups: list[dict[str, list]], threshold: int) -> set[bytes]:
+    """Names of lines that are within `threshold` edits of an earlier line of their group.
+
+    A group's lines come in order of their first places. Each one is compared with those
+    before it, a few at a time and many lines at once, until one is near enough.
+    """
+    open_: list[tuple[dict[str, list], int, np.ndarray]] = []
+    for group in groups:
+        sizes = np.array([len(x) for x in group["content"]])
+        probe, side = np.array(group["probe"]), np.array(group["side"])
+        for j in range(1, len(sizes)):
+            fits = (np.abs(sizes[:j] - sizes[j]) <= threshold) & ~(probe[:j] & probe[j])
+            fits &= (side[:j] != side[j]) | (side[j] == 0)
+            earlier = np.flatnonzero(fits)
+            if len(earlier):
+                open_.append((group, j, earlier))
+    late: set[bytes] = set()
+    at, width = 0, 2
+    while open_:
+        pairs = [
+            (group["content"][i], group["content"][j], group["name"][j])
+            for group, j, earlier in open_
+            for i in earlier[at : at + width]
+            if group["name"][i] != group["name"][j]
+        ]
+        # Pairs of about one length together, so that a long one doesn't widen the columns of all.
+        pairs.sort(key=lambda p: len(p[0]))
+        for start in range(0, len(pairs), 512):
+            part = pairs[start : start + 512]
+            near = within([p[0] for p in part], [p[1] for p in part], threshold)
+            late.update(p[2] for p, good in zip(part, near) if good)
+        at, width = at + width, width * 4
+        open_ = [(g, j, e) for g, j, e in open_ if at < len(e) and g["name"][j] not in late]
+    return late
+
+
+def late_lines(
+    docs: DataFrame, lines: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,
+    shortest: int = SHORTEST, block: int = BLOCK,
 ) -> DataFrame:
-    """(left, right): names of different lines within `threshold` edits, each pair once.
+    """Names of `lines` that have a different line within `threshold` edits at an earlier first place.
 
     Lines are cut into threshold + 1 segments and listed under each; a line probes the lists of
     its own and all shorter lengths in reach. Lists without two lines are dropped where they
-    meet; the rest are pairs, whose texts are fetched and verified.
+    meet; texts are fetched for the rest and compared list by list, in one task each.
+    A list of more than `block` lines is compared by pairs of blocks. No pair leaves a task, so a large group of
+    lines that are all near each other costs comparisons but no rows.
     """
-    lines = line_table(docs, key, text) if lines is None else lines
     by_key = Window.partitionBy("key")
     met = _keys(docs, text, threshold, shortest).withColumns({
         "low": F.min("name").over(by_key), "high": F.max("name").over(by_key), "listed": F.min("probe").over(by_key),
     }).where("low <> high AND NOT listed")
     met = staged(met.select("key", "name", "probe").distinct(), "line-keys")
-    listed = met.where("NOT probe").select("key", F.col("name").alias("left"))
-    looking = met.select("key", F.col("name").alias("right"), "probe")
-    pairs = listed.join(looking, "key").where("left <> right AND (probe OR left < right)")
-    pairs = staged(pairs.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct(), "line-pairs")
     # One place where each line stands, then its text from there.
-    wanted = pairs.select(F.col("left").alias("name")).unionByName(pairs.select(F.col("right").alias("name"))).distinct()
-    places = lines.join(wanted, "name").groupBy("name").agg(F.min(F.struct("doc", "row", "line")).alias("at"))
+    places = lines.join(met.select("name").distinct(), "name").groupBy("name").agg(F.min(F.struct("doc", "row", "line")).alias("at"))
     at_docs = places.select("name", "at.doc", "at.row", "at.line").groupBy("doc", "row").agg(
         F.collect_list(F.struct("line", "name")).alias("wanted")
     )
     whole = docs.select(F.col(key).cast("long").alias("_doc"), _row_id(F.col(text)).alias("_row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     held = whole.join(at_docs, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_row") == F.col("row")))
-    texts = held.select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w")).select(
-        F.col("w.name").alias("name"), F.col("lines")[F.col("w.line")].alias("content")
+    texts = held.select("doc", "row", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w")).select(
+        F.col("w.name").alias("name"), "doc", "row", F.col("w.line").alias("line"), F.col("lines")[F.col("w.line")].alias("content")
     )
     texts = staged(texts.dropDuplicates(["name"]), "line-texts")
-    both = pairs.join(texts.select(F.col("name").alias("left"), F.col("content").alias("a")), "left").join(
-        texts.select(F.col("name").alias("right"), F.col("content").alias("b")), "right"
+    blocks = F.ceil(F.col("company") / block).cast("int")
+    dealt = met.join(met.groupBy("key").agg(F.count("*").alias("company")), "key").select(
+        "key", "name", "probe", F.pmod(F.xxhash64("name"), blocks).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
     )
-
-    def verify(batch: pa.RecordBatch):
-        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-        # Pairs of about one length together, so that a long one doesn't widen the columns of all.
-        order = sorted(range(len(a)), key=lambda i: len(a[i]))
-        good = np.zeros(len(a), bool)
-        for start in range(0, len(order), 512):
-            part = order[start : start + 512]
-            good[part] = within([a[i] for i in part], [b[i] for i in part], threshold)
-        yield batch.select(["left", "right"]).filter(pa.array(good))
-
-    return map_portions(both.select("left", "right", "a", "b"), "a", verify, "left binary, right binary", _PORTION)
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    rows = dealt.select(
+        "name", "probe", F.xxhash64("key", low, high).alias("gid"),
+        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") == low, 1).otherwise(2).alias("side"),
+    ).join(texts, "name")
+    columns = ["gid", "name", "probe", "side", "content"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: list[dict[str, list]] = []
+        held = 0
+
+        def flush():
+            found = _late(groups, threshold)
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary())], ["name"])
+
+        for batch in batches:
+            for part in portions(batch, "content", _PORTION):
+                for values in zip(*(part.column(c).to_pylist() for c in columns)):
+                    if not groups or groups[-1]["gid"][-1] != values[0]:
+                        if held > _PORTION:
+                            yield flush()
+                            groups, held = [], 0
+                        groups.append({c: [] for c in columns})
+                    for c, v in zip(columns, values):
+                        groups[-1][c].append(v)
+                    held += len(values[-1])
+        if groups:
+            yield flush()
+
+    ordered = rows.repartition("gid").sortWithinPartitions("gid", "doc", "row", "line").select(*columns)
+    return ordered.mapInArrow(run, "name binary").distinct()
 
 
 def removed_lines(
@@ -234,13 +290,7 @@ def removed_lines(
     """
     lines = staged(line_table(docs, key, text), "lines")
     firsts = lines.groupBy("name").agg(F.min(F.struct("doc", "row", "line")).alias("first"), F.count("*").alias("often"))
-    pairs = staged(near_lines(docs, key, text, threshold, shortest, lines), "near-lines")
-    ends = pairs.select("left", "right").unionByName(pairs.select(F.col("right").alias("left"), F.col("left").alias("right")))
-    first = firsts.select("name", "first")
-    ordered = ends.join(first.select(F.col("name").alias("left"), F.col("first").alias("mine")), "left").join(
-        first.select(F.col("name").alias("right"), F.col("first").alias("other")), "right"
-    )
-    late = ordered.where("other < mine").select(F.col("left").alias("name"), F.lit(True).alias("late")).distinct()
+    late = late_lines(docs, lines, key, text, threshold, shortest).withColumn("late", F.lit(True))
     concerned = firsts.join(late, "name", "left").where("often > 1 OR late").select(
         "name", "first", F.coalesce("late", F.lit(False)).alias("late")
     )
