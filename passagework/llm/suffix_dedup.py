@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -123,11 +124,12 @@ def _runs(rows: DataFrame, length: int, anchor: int) -> DataFrame:
 
 
 def split_runs(runs: list[bytes], length: int, anchor: int):
-    """Windows of runs by anchor and side: (run, key, begin, end) of parts that may hold equal windows.
+    """Windows of runs by anchor and side: (run, key, begin, end, lead, near, far) of parts that may hold equal windows.
 
     A window has at least half of its other bytes after its first anchor or before it; these
     bytes and the anchor name the part. Equal windows are in parts of equal names, and few others are.
-    Parts come in order of run and begin.
+    Parts come in order of run and begin. The anchor is `lead` bytes behind the part's begin; parts of
+    this side hold windows with `near` to `far` bytes before the anchor.
     """
     sizes = np.array([len(r) for r in runs])
     starts = np.cumsum(sizes) - sizes
@@ -155,14 +157,15 @@ def split_runs(runs: list[bytes], length: int, anchor: int):
         r, x, low, high = run[some], a[some], low[some], high[some]
         begin, end = (x + anchor, x + anchor + half) if side else (x - half, x)
         key = _mix(hashes.at(starts[r] + begin, starts[r] + end) ^ _mix(least[r] + np.uint64(side)))
-        out.append((r, key, low, high + length))
-    r, key, low, high = (np.concatenate(c) for c in zip(*out))
-    order = np.lexsort((low, r))
-    return r[order], key[order], low[order], high[order]
+        near, far = (0, length - anchor - half) if side else (length - anchor - half + 1, length - anchor)
+        out.append((r, key, low, high + length, x - low, np.full(len(r), near), np.full(len(r), far)))
+    columns = [np.concatenate(c) for c in zip(*out)]
+    order = np.lexsort((columns[2], columns[0]))
+    return tuple(c[order] for c in columns)
 
 
 def _parts(fetched: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(key, doc, row, start, size, content) of the parts of fetched runs.
+    """(key, doc, row, start, size, lead, near, far, content) of the parts of fetched runs.
 
     A part that repeats within its own run is covered as a whole: its content is null.
     """
@@ -179,7 +182,7 @@ def _parts(fetched: DataFrame, length: int, anchor: int) -> DataFrame:
                 starts.append(run["start"])
         if not pieces:
             return
-        run, key, begin, end = split_runs(pieces, length, anchor)
+        run, key, begin, end, lead, near, far = split_runs(pieces, length, anchor)
         contents, seen, now = [], set(), -1
         for r, x, y in zip(run.tolist(), begin.tolist(), end.tolist()):
             if r != now:
@@ -190,12 +193,65 @@ def _parts(fetched: DataFrame, length: int, anchor: int) -> DataFrame:
         arrays = [
             key.view(np.int64), np.array(docs)[run], np.array(rows)[run],
             (np.array(starts)[run] + begin).astype(np.int32), (end - begin).astype(np.int32),
+            *(c.astype(np.int32) for c in (lead, near, far)),
         ]
         yield pa.RecordBatch.from_arrays(
-            [*map(pa.array, arrays), pa.array(contents, pa.binary())], ["key", "doc", "row", "start", "size", "content"]
+            [*map(pa.array, arrays), pa.array(contents, pa.binary())],
+            ["key", "doc", "row", "start", "size", "lead", "near", "far", "content"],
         )
 
-    return map_portions(fetched, "text", work, "key long, doc long, row long, start int, size int, content binary", _SPLIT_PORTION)
+    schema = "key long, doc long, row long, start int, size int, lead int, near int, far int, content binary"
+    return map_portions(fetched, "text", work, schema, _SPLIT_PORTION)
+
+
+def _halved(parts: DataFrame, length: int) -> DataFrame:
+    """`parts` cut in two by how many bytes their windows have before the anchor, under longer names.
+
+    All windows of a half hold the anchor, as many bytes before it as the one that has fewest, and as many after
+    it as the one that has most before; these bytes name the half. Equal windows stay together.
+    Once `near` equals `far`, a part is one window, named by all its bytes.
+    """
+    middle = F.floor((F.col("near") + F.col("far")) / 2).cast("int")
+    halves = parts.withColumn("half", F.explode(F.array(
+        F.struct(F.col("near").alias("near"), middle.alias("far")), F.struct((middle + 1).alias("near"), F.col("far").alias("far"))
+    ))).withColumns({
+        # Bytes before the anchor in the half's first and last window.
+        "most": F.least("lead", "half.far"), "fewest": F.greatest(F.col("lead") - F.col("size") + length, F.col("half.near")),
+    }).where("fewest <= most AND half.near <= half.far").withColumns({
+        "begin": F.col("lead") - F.col("most"), "wide": F.col("most") - F.col("fewest") + length,
+    })
+    named = F.substring("content", F.col("lead") - F.col("half.near") + 1, length - F.col("half.far") + F.col("half.near"))
+    return halves.select(
+        F.xxhash64("key", "half.near", named).alias("key"), "doc", "row", (F.col("start") + F.col("begin")).alias("start"),
+        F.col("wide").alias("size"), F.col("most").alias("lead"), "half.near", "half.far",
+        F.substring("content", F.col("begin") + 1, F.col("wide")).alias("content"),
+    )
+
+
+def _within_tasks(parts: DataFrame, length: int, bytes_per_task: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Different parts whose keys fit a task, with the bytes of their key, and covered spans found on the way.
+
+    Keys of more bytes than a task takes are split by longer names until they fit. A name that
+    is a whole window has equal parts only, so this ends, and no key is merged above the limit.
+    """
+    place = F.struct("doc", "row", "start")
+    columns = ["key", "doc", "row", "start", "size", "lead", "near", "far", "content", "total"]
+    fits = (F.col("total") <= bytes_per_task) | (F.col("near") == F.col("far"))
+    ready, spans, large = [parts.where(fits)], [], parts.where(~fits)
+    while not large.isEmpty():
+        halves = staged(_halved(large, length), "halved-parts")
+        firsts = halves.groupBy("key", "content").agg(
+            F.min(place).alias("first"), *(F.first(c).alias(c) for c in ("size", "lead", "near", "far")), F.count("*").alias("often")
+        )
+        firsts = staged(firsts, "first-halves")
+        copies = firsts.where("often > 1").select("key", "content", "first")
+        spans.append(halves.join(copies, ["key", "content"]).where(F.col("first") != place).select("doc", "row", "start", "size"))
+        totals = firsts.groupBy("key").agg(F.sum(F.length("content")).alias("total"), F.count("*").alias("different"))
+        met = firsts.join(totals.where("different > 1"), "key").select("*", "first.doc", "first.row", "first.start").select(*columns)
+        met = staged(met, "met-halves")
+        ready.append(met.where(fits))
+        large = met.where(~fits)
+    return ready, spans
 
 
 class ShardTransform:
@@ -319,7 +375,7 @@ def repeated(strings: list[bytes], owners: np.ndarray, length: int, shards: int
 
 
 def _merged(parts: DataFrame, length: int, bytes_per_task: int) -> DataFrame:
-    """(doc, row, start, size): covered bytes found in the parts of equal keys."""
+    """(doc, row, start, size): covered bytes found in the parts of equal keys, of which each has `total` bytes."""
     total = parts.agg(F.sum(F.length("content"))).first()[0] or 0
     buckets = max(1, -(-total // bytes_per_task))
     dealt = parts.withColumn("bucket", F.pmod("key", F.lit(buckets))).repartition(buckets, "bucket")
@@ -341,26 +397,28 @@ def _merged(parts: DataFrame, length: int, bytes_per_task: int) -> DataFrame:
                 ["doc", "row", "start", "size"],
             )
 
-        # Sorted by key: a full task may be worked off between two keys.
+        # Sorted by key: what is held is worked off before a key that it has no room for.
         last = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            keys = table.column("key").to_numpy()
+            keys, totals = table.column("key").to_numpy(), table.column("total").to_numpy()
             cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
             begin = 0
-            for a, b in zip(cuts, cuts[1:]):
-                if held > bytes_per_task and keys[a] != last:
+            for a in cuts[:-1]:
+                if keys[a] == last:
+                    continue
+                if held and held + totals[a] > bytes_per_task:
                     waiting.append(table.slice(begin, a - begin))
                     begin = a
                     yield flush()
                     waiting, held = [], 0
-                held += table.column("content").slice(a, b - a).nbytes
+                held += totals[a]
                 last = keys[a]
             waiting.append(table.slice(begin))
         if any(t.num_rows for t in waiting):
             yield flush()
 
-    columns = dealt.select("bucket", "key", "doc", "row", "start", "content").sortWithinPartitions("key", "doc", "row", "start")
+    columns = dealt.select("bucket", "key", "doc", "row", "start", "content", "total").sortWithinPartitions("key", "doc", "row", "start")
     return columns.mapInArrow(run, "doc long, row long, start int, size int")
 
 
@@ -373,7 +431,8 @@ def covered(
     Windows of `length` bytes are dealt out in runs by their smallest anchor hash, so that all
     places of a repeated string meet. Runs that are equal as a whole are settled there: all but the earliest are
     covered. The earliest ones of different runs that meet, and runs that may repeat
-    inside, are cut up by their bytes around the anchor; where different parts meet, their transforms are merged shard
+    inside, are cut up by their bytes around the anchor, by more of them where more than `bytes_per_task` would meet; where
+    different parts meet, their transforms are merged shard
     by shard, which shows all common prefixes of `length` bytes and so the repeated
     windows. Spans may overlap.
     """
@@ -405,11 +464,13 @@ def covered(
     in_order = Window.partitionBy("key", "content").orderBy("doc", "row", "start")
     met = parts.where("content IS NOT NULL").withColumns({
         "low": F.min("content").over(by_key), "high": F.max("content").over(by_key), "nth": F.row_number().over(in_order),
-    }).withColumn("other", F.col("low") != F.col("high")).where("nth > 1 OR other")
-    met = staged(met.select("key", "doc", "row", "start", "size", "content", "nth", "other"), "met-parts")
+    }).withColumn("total", F.sum(F.when(F.col("nth") == 1, F.length("content"))).over(by_key))
+    met = met.withColumn("other", F.col("low") != F.col("high")).where("nth > 1 OR other")
+    met = staged(met.drop("low", "high"), "met-parts")
     again = met.where("nth > 1").select("doc", "row", "start", "size")
-    different = met.where("nth = 1 AND other").select("key", "doc", "row", "start", "content")
-    return whole.unionByName(inner).unionByName(again).unionByName(_merged(different, length, bytes_per_task))
+    ready, spans = _within_tasks(met.where("nth = 1 AND other").drop("nth", "other"), length, bytes_per_task)
+    merged = _merged(reduce(DataFrame.unionByName, ready), length, bytes_per_task)
+    return reduce(DataFrame.unionByName, [whole, inner, again, *spans, merged])
 
 
 def _spans(found: list | None, n: int) -> list[tuple[int, int]]:

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from odd import PASSAGE, none, odd_docs, rows_of
 from passagework.llm import jaccard, line_dedup, queries, suffix_dedup
@@ -107,6 +108,32 @@ def test_overlaps_and_hot_passages(spark):
     assert small > 0
 
 
+@pytest.mark.parametrize("passage", [80, 300])
+def test_passage_with_many_surroundings(spark, monkeypatch, passage):
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared, ends = text(passage), [text(50) for _ in range(12)]
+    rows = [(i, text(60) + (ends[i % 12] if i % 3 else "") + shared + (ends[i % 5] if i % 2 else "") + text(60)) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    limit, largest, merged = 2000, [], suffix_dedup._merged
+
+    def watched(parts, length, bytes_per_task):
+        keys = parts.groupBy("key").agg(F.sum(F.length("content")).alias("bytes"))
+        largest.append(keys.agg(F.max("bytes")).first()[0])
+        return merged(parts, length, bytes_per_task)
+
+    monkeypatch.setattr(suffix_dedup, "_merged", watched)
+    found = {}
+    for r in suffix_dedup.covered(docs, bytes_per_task=limit).collect():
+        found.setdefault(r.doc, []).append((r.start, r.start + r.size))
+    for (i, t), mask in brute_bytes(rows).items():
+        got = np.zeros(len(t), bool)
+        for a, b in found.get(i, []):
+            got[a:b] = True
+        assert (got == mask).all()
+    assert 0 < largest[0] <= limit
+
+
 def test_registered_bytes(spark, sf_dir):
     check_bytes(rows_of(spark.read.parquet(f"{sf_dir}/documents.parquet")), queries.op7_suffix_dedup(spark, sf_dir).collect())
 
