@@ -255,9 +255,11 @@ def nearest(
     vectors are separate candidates and queries. Without candidates there are no rows. `score` is finite
     unless squares overflow.
     """
-    clean = usable(vectors, key, vector).withColumn("kept", F.row_number().over(Window.partitionBy("v").orderBy("id")))
-    copies = staged(clean.where(F.col("kept") <= k + 1).drop("kept").distinct(), "vectors")
-    queries = staged(usable(vectors, key, vector).where(F.pmod("id", F.lit(every)) == 0).distinct(), "queries")
+    # Repeated rows go before the places are given out, else they would take those of other keys.
+    clean = usable(vectors, key, vector).distinct()
+    kept = clean.withColumn("kept", F.row_number().over(Window.partitionBy("v").orderBy("id")))
+    copies = staged(kept.where(F.col("kept") <= k + 1).drop("kept"), "vectors")
+    queries = staged(clean.where(F.pmod("id", F.lit(every)) == 0), "queries")
     sample = copies.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("v").collect()
     schema = f"query_id long, rank int, {key} long, score double"
     if not sample:

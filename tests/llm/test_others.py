@@ -97,6 +97,17 @@ def test_odd_vectors(spark):
     assert sorted((r.query_id, r.rank) for r in few) == [(0, 1), (0, 2)]
 
 
+def test_copies_given_many_times(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(100, 200)]
+    rows += [(i, [1.0] * 6) for i in range(1, 21) for _ in range(12)] + [(i, [2.0] * 6) for i in range(200, 221) for _ in range(2)]
+    want = brute_neighbours(dict(rows).items(), every=20)
+    found = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4), every=20, confidence=0.999999).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.score, r.vec_id))
+    assert {q: [(s, v) for _, s, v in sorted(f)] for q, f in found.items()} == want
+
+
 def test_quantile():
     # Fixed values of chi-square tables.
     assert neighbours.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
