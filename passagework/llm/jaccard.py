@@ -15,7 +15,7 @@ from .components import components
 
 WORDS = 5
 SIMILARITY = 0.8
-RECALL = 0.99
+RECALL = 0.9999
 # Tokens on a path; a set that still has much company at its end is compared in blocks.
 DEPTH = 3
 # A bucket of at most so many sets is not split further.

@@ -304,6 +304,11 @@ def test_runs_reach_recall():
     assert 1 - (1 - 0.8**jaccard.DEPTH) ** jaccard.runs_needed() >= jaccard.RECALL
 
 
+def test_few_pairs_at_the_threshold_are_missed():
+    assert (1 - 0.8**jaccard.DEPTH) ** jaccard.runs_needed() <= 1e-4
+    assert jaccard.runs_needed() * jaccard.DEPTH <= jaccard.SAMPLES
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(f"n{i}", f"n{i + 1}") for i in range(60)] + [("hub", f"m{i}") for i in range(80)] + [("z", "z"), ("a", None)]
