@@ -22,10 +22,8 @@ DEPTH = 3
 SMALL = 128
 # Sets of one block: two blocks meet in a task at most.
 BLOCK = 512
-# Sampled tokens of a set (the paths use the first ones), and the share of equal ones from which a
-# pair is compared exactly: five standard deviations below the similarity asked for.
+# Sampled tokens of a set; the paths use the first ones.
 SAMPLES = 40
-_LEAST_EQUAL = 0.48
 _PORTION = 1 << 20
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _BLANKS = np.zeros(256, bool)
@@ -41,6 +39,11 @@ def runs_needed(similarity: float = SIMILARITY, recall: float = RECALL, depth: i
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity**depth))
 
 
+def least_equal(similarity: float, samples: int = SAMPLES) -> float:
+    """Share of equal samples from which a pair is compared exactly: five standard deviations below `similarity`."""
+    return max(0.0, similarity - 5 * math.sqrt(similarity * (1 - similarity) / samples))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _K[1]
     x = (x ^ (x >> np.uint64(29))) * _K[0]
@@ -232,7 +235,7 @@ def _candidates(group: dict[str, list], similarity: float) -> tuple[np.ndarray,
         others = others[(ratio >= similarity) & ((side[others] != side[i]) | (side[i] == 0))]
         if not len(others):
             continue
-        others = others[(picked[others] == picked[i]).mean(1) >= _LEAST_EQUAL]
+        others = others[(picked[others] == picked[i]).mean(1) >= least_equal(similarity)]
         if run and len(others):
             met = (earlier[others] == earlier[i]) & (earlier[others] != np.array(None))
             others = others[~met.any(1)]

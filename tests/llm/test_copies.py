@@ -309,6 +309,18 @@ def test_few_pairs_at_the_threshold_are_missed():
     assert jaccard.runs_needed() * jaccard.DEPTH <= jaccard.SAMPLES
 
 
+def test_pairs_at_a_low_threshold_are_compared():
+    rng = np.random.default_rng(5)
+    found = 0
+    for _ in range(300):
+        tokens = rng.integers(1, 2**63, 120, dtype=np.uint64)
+        sets = [np.unique(tokens[:90]), np.unique(np.concatenate([tokens[30:90], tokens[90:]]))]
+        samples = [s.tobytes() for s in jaccard.sampled(sets)]
+        group = {"size": [90, 90], "side": [0, 0], "run": [0, 0], "samples": samples, "paths": [[1], [1]]}
+        found += jaccard._candidates(group, 0.5) is not None
+    assert found >= 299
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(f"n{i}", f"n{i + 1}") for i in range(60)] + [("hub", f"m{i}") for i in range(80)] + [("z", "z"), ("a", None)]
