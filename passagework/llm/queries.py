@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe_codec import decode_ids, encode_texts
+from .collocations import collocations
+from .conversations import damaged, repair
 from .fingerprints import fingerprints
 from .jaccard import join_texts
 from .line_dedup import line_report
 from .neighbours import nearest
 from .packing import pack_documents
+from .phrase_dedup import phrase_report
 from .quality import classify
 from .suffix_dedup import report
 from .token_counts import count_tokens
@@ -70,6 +73,18 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_report(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ann_search": op2_ann_search,
@@ -81,6 +96,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_collocations": op11_collocations,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 # What SQL can say of these. The others depend on trained rules, vocabularies, random projections
 # or edit distances of code points, and are held against brute force in the tests.
@@ -124,4 +142,44 @@ counts AS (SELECT x AS id, count(*) AS n_links FROM links GROUP BY x)
 SELECT d.doc_id, c.class_id, coalesce(n_links, 0) AS n_links
 FROM documents d JOIN texts t ON t.t = coalesce(d.text, '') JOIN classes c ON c.id = t.id
 LEFT JOIN counts k ON k.id = t.id""",
+    "op11_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS m FROM i),
+f AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS a FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 100),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (
+  SELECT k.lang, k.phrase, k.a, k.k, x.a AS l, y.a AS r, n,
+         (1000::HUGEINT * k.a * n) // (x.a::HUGEINT * y.a) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1 : k.k], ' ')
+  JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1 :], ' ')
+  JOIN t ON t.lang = k.lang),
+least_ AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+j AS (SELECT lang, a, w, m, unnest(range(2, m)) AS q FROM c),
+b AS (SELECT lang, a, w, q, unnest(range(1, m - q + 2)) AS b FROM j),
+inner_ AS (SELECT lang, array_to_string(w[b : b + q - 1], ' ') AS phrase, max(a) AS around FROM b GROUP BY ALL),
+o AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM least_ LEFT JOIN inner_ USING (lang, phrase) WHERE around IS NULL OR 100 * around < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM o WHERE rank <= 2000""",
+    "op12_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\r\f\v]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i + 19 <= len(w) THEN md5(array_to_string(w[i : i + 19], ' ')) END AS run FROM b),
+r AS (SELECT *, run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1 AS again FROM g),
+c AS (
+  SELECT *, max(again::INTEGER) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 1 AS gone FROM r),
+t AS (
+  SELECT doc_id, count(*) FILTER (gone) AS removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)""",
 }
