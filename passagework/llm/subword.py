@@ -5,7 +5,10 @@ from __future__ import annotations
 import functools
 import json
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
@@ -35,6 +38,33 @@ def single_blanks(text: str) -> bool:
     return _LOOSE_BLANK.search(text) is None
 
 
+class BlankPieces:
+    """Texts cut before each of their blanks: distinct pieces (each beginning with its blank), and each text's own by number.
+
+    `firsts` has what stands before a text's first blank, or the whole of a text that must not be cut.
+    """
+
+    def __init__(self, texts: list[str]):
+        cut = [t if single_blanks(t) else None for t in texts]
+        self.firsts = [t if c is None else c.partition(" ")[0] for t, c in zip(texts, cut)]
+        rests = [None if c is None else c[len(f) :].encode() for c, f in zip(cut, self.firsts)]
+        data = b"".join(r for r in rests if r)
+        places = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+        offsets = pa.py_buffer(np.append(places, len(data)).astype(np.int32))
+        coded = pa.BinaryArray.from_buffers(pa.binary(), len(places), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        self.pieces: list[bytes] = coded.dictionary.to_pylist()
+        self.codes = coded.indices.to_numpy().astype(np.int64)
+        ends = np.searchsorted(places, np.cumsum([len(r or b"") for r in rests]))
+        self._ends = [None if r is None else e for r, e in zip(rests, ends.tolist())]
+
+    def rows(self) -> Iterator[np.ndarray | None]:
+        """Numbers of each text's pieces after the first; None for a text that is not cut."""
+        begin = 0
+        for end in self._ends:
+            yield None if end is None else self.codes[begin:end]
+            begin = begin if end is None else end
+
+
 class Vocabulary:
     """A byte-level BPE file of the tokenizers library: its ids, merges and way of splitting.
 
@@ -57,6 +87,8 @@ class Vocabulary:
         letters = byte_letters()
         self._shown = {b: letters[b] for b in range(128)}
         self._ascii = _ascii_rule(content)
+        # Split by the byte-level pattern alone, with nothing lower-cased.
+        self.plain = self._ascii is not None and not self._ascii[1]
 
     def words(self, piece: str) -> list[str | int]:
         """Words of a piece in byte letters; a special string gives its id."""

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import functools
 import heapq
+import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .batches import map_portions
-from .subword import MEMORY, single_blanks, vocabulary
+from .subword import BlankPieces, vocabulary
 
+# Entries of a worker's memory of counts (some 170 bytes each), first come, first kept.
+COUNTS = 1_500_000
+_PORTION = 4 << 20
+_MARKED = re.compile(rb"[A-Za-z][.,;:!?]\Z")
 _POSITION_BITS = 32
 _SYMBOL_BITS = 20
 
@@ -23,7 +29,8 @@ class MergeCounter:
         merges = self._vocabulary.merges
         self._rank = {a << _SYMBOL_BITS | b: rank for rank, (a, b, _) in enumerate(merges)}
         self._made = [new for _, _, new in merges]
-        self._memory: dict[str, int] = {}
+        self._memory: dict[bytes, int] = {}
+        self._marks_apart = self._vocabulary.plain
 
     def merges(self, symbols: list[int]) -> int:
         """How many merges `symbols` undergo, always the lowest rank first, ties from the left.
@@ -69,18 +76,29 @@ class MergeCounter:
                 count += len(symbols) - self.merges(symbols)
         return count
 
+    def _known(self, piece: bytes) -> int:
+        """Tokens of a piece that begins with a blank, kept in the memory.
+
+        A mark after a letter is a word of its own and one token, so pieces with and without it share an entry.
+        """
+        if self._marks_apart and _MARKED.search(piece):
+            return self._known(piece[:-1]) + 1
+        n = self._memory.get(piece)
+        if n is None:
+            n = self._piece(piece.decode())
+            if len(self._memory) < COUNTS:
+                self._memory[piece] = n
+        return n
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of each text; a distinct piece between blanks is worked out once."""
+        cut = BlankPieces(texts)
+        values = np.fromiter(map(self._known, cut.pieces), np.int64, len(cut.pieces))
+        firsts = map(self._piece, cut.firsts)
+        return [n if codes is None else n + int(values[codes].sum()) for n, codes in zip(firsts, cut.rows())]
+
     def count(self, text: str) -> int:
-        if not single_blanks(text):
-            return self._piece(text)
-        first, *rest = text.split(" ")
-        counts = list(map(self._memory.get, rest))
-        if None in counts:
-            for i, n in enumerate(counts):
-                if n is None:
-                    counts[i] = n = self._piece(" " + rest[i])
-                    if len(self._memory) < MEMORY:
-                        self._memory[rest[i]] = n
-        return sum(counts) + self._piece(first)
+        return self.counts([text])[0]
 
 
 @functools.lru_cache(maxsize=2)
@@ -99,7 +117,7 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
 
     def work(batch: pa.RecordBatch):
         counter = _counter(path)
-        counts = [counter.count(t) if t else 0 for t in batch.column("text").to_pylist()]
+        counts = counter.counts([t or "" for t in batch.column("text").to_pylist()])
         yield pa.RecordBatch.from_arrays(
             [batch.column("key"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
             ["key", "n_bytes", "n_tokens"],
@@ -110,5 +128,5 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         F.col(text).cast("string").alias("text"),
     )
-    counted = map_portions(rows, "text", work, f"key {kind}, n_bytes long, n_tokens long")
+    counted = map_portions(rows, "text", work, f"key {kind}, n_bytes long, n_tokens long", _PORTION)
     return counted.withColumnRenamed("key", key)
