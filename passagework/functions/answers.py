@@ -16,32 +16,52 @@ def exact_match(predicted: Column, gold: Column) -> Column:
     return (normalize_answer(predicted) == normalize_answer(gold)).cast("int")
 
 
-def _times(items: Column, item: Column) -> Column:
-    return F.size(F.filter(items, lambda x: x == item))
+def counted(items: Column) -> Column:
+    """Distinct words in order, each with how often it is there, by one sort."""
 
+    def of_sorted(words):
+        begins = F.filter(
+            F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))),
+            lambda e: (e["at"] == 0) | (F.get(words, e["at"] - 1) != e["word"]),
+        )
+        return let(begins, lambda found: F.transform(found, lambda e, i: F.struct(
+            e["word"].alias("word"), (F.coalesce(F.get(found, i + 1)["at"], F.size(words)) - e["at"]).alias("n")
+        )))
+
+    return let(F.array_sort(items), of_sorted)
+
+
+def f1_of_counted(p: Column, g: Column) -> Column:
+    """Token F1 of two lists of counted words: multiset overlap, harmonic mean.
 
-def f1_of_words(p: Column, g: Column) -> Column:
-    """Token F1 of two word lists: multiset overlap, harmonic mean."""
-    overlap = F.aggregate(
-        F.array_intersect(p, g),
-        F.lit(0),
-        lambda total, w: total + F.least(_times(p, w), _times(g, w)),
-    ).cast("double")
+    Both lists are sorted together, where a common word stands beside itself; so long answers cost
+    what a sort does.
+    """
+
+    def shared(both):
+        pairs = F.transform(both, lambda e, i: F.when(
+            F.get(both, i - 1)["word"] == e["word"], F.least(F.get(both, i - 1)["n"], e["n"])
+        ).otherwise(0))
+        return F.aggregate(pairs, F.lit(0), lambda total, n: total + n).cast("double")
 
     def harmonic(same):
-        precision, recall = F.try_divide(same, F.size(p)), F.try_divide(same, F.size(g))
+        precision, recall = F.try_divide(same, _total(p)), F.try_divide(same, _total(g))
         return (
             F.when((F.size(p) == 0) & (F.size(g) == 0), F.lit(1.0))
             .when(same == 0, F.lit(0.0))
             .otherwise(2 * precision * recall / (precision + recall))
         )
 
-    return let(overlap, harmonic)
+    return let(let(F.array_sort(F.concat(p, g)), shared), harmonic)
+
+
+def _total(words: Column) -> Column:
+    return F.aggregate(words, F.lit(0), lambda total, e: total + e["n"])
 
 
 def token_f1(predicted: Column, gold: Column) -> Column:
     return let(
-        answer_words(predicted), lambda p: let(answer_words(gold), lambda g: f1_of_words(p, g))
+        counted(answer_words(predicted)), lambda p: let(counted(answer_words(gold)), lambda g: f1_of_counted(p, g))
     )
 
 
@@ -53,14 +73,14 @@ def best_exact_match(predicted: Column, golds: Column) -> Column:
 
 
 def best_f1(predicted: Column, golds: Column) -> Column:
-    """Highest token F1 over all accepted answers; the prediction is split once."""
+    """Highest token F1 over all accepted answers; the prediction is split and counted once."""
 
     def against(said):
         return F.array_max(
-            F.transform(golds, lambda g: let(answer_words(g), lambda w: f1_of_words(said, w)))
+            F.transform(golds, lambda g: let(counted(answer_words(g)), lambda w: f1_of_counted(said, w)))
         )
 
-    return let(answer_words(predicted), against)
+    return let(counted(answer_words(predicted)), against)
 
 
 def mentions_any(passage: Column, aliases: Column) -> Column:

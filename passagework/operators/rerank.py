@@ -17,50 +17,70 @@ from .search import search
 
 # Weights are whole millionths, so that a sum does not depend on its order.
 _WEIGHT_UNIT = 1_000_000
+_WORDS = "_passage_words"
 
 
-def fetch_passages(hits: DataFrame, passages: DataFrame) -> DataFrame:
-    """Add the passage text of each hit; the optimizer sizes the join."""
-    return hits.join(passages.select("passage_id", "passage"), "passage_id")
+def fetch_passages(hits: DataFrame, passages: DataFrame, *others: str, by: Sequence[str] = ()) -> DataFrame:
+    """Add the passage text of each hit, and `others`; the optimizer sizes the join."""
+    keys = [*by, "passage_id"]
+    return hits.join(passages.select(*keys, "passage", *others), keys)
+
+
+def word_frequencies(passages: DataFrame, *by: str) -> DataFrame:
+    """(by, word, df): how many passages have each word; the row of the null word counts all passages.
+
+    A word that is in every passage is one row per task, since counts are partial before
+    the shuffle. Written once beside an index, it serves every search in it.
+    """
+    distinct = F.concat(F.array_distinct(tx.words(F.col("passage"))), F.array(F.lit(None).cast("string")))
+    read = passages.where(F.col("passage").isNotNull()).select(*by, F.explode(distinct).alias("word"))
+    return read.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("df"))
 
 
 @dataclass(frozen=True)
 class IdfOverlapScorer:
-    """Sum of idf weights of the distinct question words found in the passage."""
+    """Sum of idf weights of the distinct question words found in the passage.
 
-    def weights(self, questions: DataFrame, passages: DataFrame) -> DataFrame:
-        """Per question its distinct words with weight ln(1 + N / df).
+    `frequencies` is what `word_frequencies` gave for the index; without it, each call counts the words of the
+    passages anew.
+    """
 
-        Document frequencies are counted per task before the shuffle, so a
-        word that is in every passage is one row per task. The vocabulary is a written
-        table, so the optimizer knows its size: a small one is shipped, and other
-        words are dropped where they are read.
-        """
-        total = passages.agg(F.count(F.lit(1)).cast("double")).scalar()
+    frequencies: DataFrame | None = None
+
+    @classmethod
+    def on(cls, index: DataFrame, *by: str) -> IdfOverlapScorer:
+        """Scorer for an index whose word frequencies are counted and written here."""
+        return cls(staged(word_frequencies(index, *by), "word-frequencies"))
+
+    def weights(self, questions: DataFrame, passages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """Per question its distinct words with weight ln(1 + N / df), in each of the `by` groups."""
+        known = word_frequencies(passages, *by) if self.frequencies is None else self.frequencies
         asked = questions.select(
             "qid", F.explode(F.array_distinct(tx.words(F.col("question")))).alias("word")
         )
-        read = passages.select(
-            F.explode(F.array_distinct(tx.words(F.col("passage")))).alias("word")
-        )
-        vocabulary = staged(asked.select("word").distinct(), "vocabulary")
-        read = read.join(vocabulary, "word", "left_semi")
-        frequency = read.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-        weight = F.round(F.ln(1 + total / F.col("df")) * _WEIGHT_UNIT).cast("bigint")
+        total = known.where(F.col("word").isNull()).select(*by, F.col("df").cast("double").alias("total"))
+        found = asked.join(known, "word")
+        found = found.join(total, list(by)) if by else found.withColumn("total", total.select("total").scalar())
+        weight = F.round(F.ln(1 + F.col("total") / F.col("df")) * _WEIGHT_UNIT).cast("bigint")
         return (
-            asked.join(frequency, "word")
-            .select("qid", F.struct("word", weight.alias("weight")).alias("w"))
-            .groupBy("qid")
+            found.select(*by, "qid", F.struct("word", weight.alias("weight")).alias("w"))
+            .groupBy(*by, "qid")
             .agg(F.map_from_entries(F.collect_list("w")).alias("weights"))
         )
 
-    def score(self, pairs: DataFrame, questions: DataFrame, passages: DataFrame) -> DataFrame:
-        weighted = pairs.join(self.weights(questions, passages), "qid", "left")
-        shared = F.array_intersect(F.map_keys("weights"), tx.words(F.col("passage")))
+    @staticmethod
+    def prepare(passages: DataFrame) -> DataFrame:
+        """Passages with their words, so that these are cut once and not per pair."""
+        return passages.withColumn(_WORDS, tx.words(F.col("passage")))
+
+    def score(self, pairs: DataFrame, questions: DataFrame, passages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        pairs = pairs if _WORDS in pairs.columns else self.prepare(pairs)
+        weighted = pairs.join(self.weights(questions, passages, by), [*by, "qid"], "left")
+        shared = F.array_intersect(F.map_keys("weights"), F.col(_WORDS))
         none = F.lit(0).cast("bigint")
         total = F.aggregate(shared, none, lambda s, w: s + F.col("weights")[w])
         score = F.coalesce(total, none) / F.lit(float(_WEIGHT_UNIT))
-        return weighted.withColumn("rerank_score", score).drop("weights")
+        return weighted.withColumn("rerank_score", score).drop("weights", _WORDS)
 
 
 @dataclass(frozen=True)
@@ -71,7 +91,7 @@ class PairScorer:
     task_rows: int = settings.TASK_ROWS
     batch: int = settings.ENCODE_BATCH
 
-    def score(self, pairs: DataFrame, questions: DataFrame, passages: DataFrame) -> DataFrame:
+    def score(self, pairs: DataFrame, questions: DataFrame, passages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         factory, size = self.factory, self.batch
         schema = T.StructType([*pairs.schema.fields, T.StructField("rerank_score", T.DoubleType())])
 
@@ -88,26 +108,26 @@ class PairScorer:
                         [*batch.columns, scores], [*batch.schema.names, "rerank_score"]
                     )
 
-        return spread(pairs, self.task_rows, "qid", "passage_id").mapInArrow(run, schema)
+        return spread(pairs, self.task_rows, *by, "qid", "passage_id").mapInArrow(run, schema)
 
 
 def rerank(
-    pairs: DataFrame, questions: DataFrame, passages: DataFrame, scorer, k: int | None = None
+    pairs: DataFrame, questions: DataFrame, passages: DataFrame, scorer, k: int | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
     """Order each question's candidates by pair score, ties by candidate rank.
 
     Input: qid, passage_id, score, rank, question, passage. `rank` becomes the
     new rank and `candidate_rank` keeps the old one. Without a scorer the
     vector order stays. A question has as many rows as candidates were asked
-    for, so its window is bounded by that parameter.
+    for, so its window is bounded by that parameter. `by` names columns that keep several indexes apart.
     """
     if scorer is None:
         ranked = pairs.withColumn("candidate_rank", F.col("rank")).withColumn(
             "rerank_score", F.lit(None).cast("double")
         )
         return ranked if k is None else ranked.where(F.col("rank") <= k)
-    scored = scorer.score(pairs.withColumnRenamed("rank", "candidate_rank"), questions, passages)
-    order = Window.partitionBy("qid").orderBy(F.desc("rerank_score"), "candidate_rank")
+    scored = scorer.score(pairs.withColumnRenamed("rank", "candidate_rank"), questions, passages, by)
+    order = Window.partitionBy(*by, "qid").orderBy(F.desc("rerank_score"), "candidate_rank")
     ranked = scored.withColumn("rank", F.row_number().over(order))
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
@@ -126,15 +146,24 @@ def retrieve(
     candidates: int = settings.CANDIDATES,
     k: int | None = settings.RERANK_TOP,
     vectors: DataFrame | None = None,
+    runs: Sequence[int] = (),
 ) -> DataFrame:
     """Encode, search, fetch and rerank for all questions.
 
     `questions`: qid, question. `index`: passage_id, passage, embedding. `vectors`: what
-    `encode_questions` gave, for several searches with the same questions.
+    `encode_questions` gave, for several searches with the same questions. `runs`: see `search`;
+    all runs are searched and ranked together, each on its own.
     """
     asked = questions.select("qid", "question")
+    by = ["run"] if runs else []
     if vectors is None:
         vectors = encode_questions(questions, encoder)
-    hits = search(vectors, index, candidates)
-    pairs = fetch_passages(hits, index).join(asked, "qid")
-    return rerank(pairs, asked, index, scorer, k)
+    hits = search(vectors, index, candidates, runs=runs)
+    keys, extra = [*by, "passage_id"], []
+    passages = index.select(*keys, "passage")
+    if hasattr(scorer, "prepare"):
+        # Only passages that are candidates of some question are prepared, and each of them once.
+        passages = scorer.prepare(passages.join(hits.select(*keys).distinct(), keys, "left_semi"))
+        extra = [c for c in passages.columns if c not in (*keys, "passage")]
+    pairs = fetch_passages(hits, passages, *extra, by=by).join(asked, "qid")
+    return rerank(pairs, asked, index, scorer, k, by)

@@ -2,35 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-from itertools import islice
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import settings
-from ..runtime import staged, staging_path
-from .numbering import assign_positions
+from ..runtime import staged
 
 # A block of questions has at most so many bytes of float32 vectors, and at most
 # as many rows as let a task hold four times `n` hits for each.
 BLOCK_BYTES = 8 * 2**20
 HELD_HITS = 1_000_000
-# Blocks searched by one job; their vectors are on the driver at a time.
-WAVE = 8
+# A slice of the index, held by one task, has about so many bytes of float32 vectors.
+SLICE_BYTES = 128 * 2**20
 _TILE_CELLS = 4_000_000
 # Survivors per question and tile above which the floor is worth raising.
 _MANY = 8
-# Cells of the vectors whose scores set the first floor, and rows of a result batch.
-_SAMPLE_CELLS = 2**20
+# Rows of a result batch.
 _SLICE = 50_000
 # Products below the smallest normal float32 lose their digits.
 _TINY = 1e-37
-_HITS = "qid long, passage_id long, score double"
-_RANKED = _HITS + ", rank int"
+_VECTOR, _QUESTION = 0, 1
+_HITS = "part int, qid long, passage_id long, score double"
 
 
 def _lengths(vectors: np.ndarray) -> np.ndarray:
@@ -130,67 +125,68 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float32).reshape(-1, dim)
 
 
-def _task_best(index: DataFrame, shipped: Broadcast, n: int, dim: int) -> DataFrame:
-    """Each task's own best `n` for every question of one block."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, matrix, least = shipped.value
-        best = _Best(matrix, n, least)
-        for batch in batches:
-            if batch.num_rows:
-                best.add(batch.column(0).to_numpy(), _matrix(batch.column(1), dim))
-        found = best.result()
-        for start in range(0, len(found[0]) if found else 0, _SLICE):
-            q, ids, scores = (c[start : start + _SLICE] for c in found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qids[q]), pa.array(ids), pa.array(scores)],
-                ["qid", "passage_id", "score"],
-            )
-
-    vectors = index.select("passage_id", "embedding").where(F.col("embedding").isNotNull())
-    return vectors.mapInArrow(scan, _HITS)
-
-
-def _merge(hits: DataFrame, n: int) -> DataFrame:
-    best_first = Window.partitionBy("qid").orderBy(F.desc("score"), "passage_id")
-    return hits.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= n)
-
-
-def _sample(index: DataFrame, n: int, dim: int) -> np.ndarray:
-    """Some vectors of the index, read from its first partitions only."""
-    vectors = index.select("embedding").where(F.col("embedding").isNotNull())
-    rows = vectors.take(max(n, min(20 * n, _SAMPLE_CELLS // dim)))
-    return np.array([r["embedding"] for r in rows], dtype=np.float32).reshape(-1, dim)
-
-
-def _floor(questions: np.ndarray, sample: np.ndarray, n: int) -> np.ndarray:
-    """Per question a score that its n-th best hit reaches.
-
-    Any n real hits prove such a bound, so the n-th best of a few vectors
-    prunes what tasks emit without losing a result.
-    """
-    best = _Best(questions, n, np.full(len(questions), -np.inf))
-    if len(sample):
-        best.add(np.arange(len(sample)), sample)
-        best.result()
-    return best.floor if len(sample) >= n else np.full(len(questions), -np.inf)
-
-
 def block_rows(n: int, dim: int) -> int:
-    """Questions of a block: bounded bytes on the driver, bounded hits in a task."""
+    """Questions of a block: bounded bytes of vectors, bounded hits in a task."""
     return max(1, min(BLOCK_BYTES // (4 * dim), HELD_HITS // (4 * n)))
 
 
-def _blocks(questions: DataFrame, rows: int) -> Iterator[pa.Table]:
-    """Question blocks of a bounded size, each read from its own folder."""
-    numbered = assign_positions(questions, ["qid"], "pos")
-    blocked = numbered.select("qid", "embedding", F.floor(F.col("pos") / rows).cast("long").alias("block"))
-    path = staging_path(questions.sparkSession, "question-blocks")
-    blocked.write.partitionBy("block").parquet(path)
-    table = questions.sparkSession.read.schema(blocked.schema).parquet(path)
-    last = table.agg(F.max("block")).first()[0]
-    for block in range(0 if last is None else last + 1):
-        yield table.where(F.col("block") == block).select("qid", "embedding").toArrow()
+def _nested(batches: Iterator[pa.RecordBatch], n: int, rows: int | None) -> Iterator[pa.RecordBatch]:
+    """Best `n` of one slice for every question: the slice's vectors come first, then the questions, block by block."""
+    ids: list[np.ndarray] = []
+    vectors: list[np.ndarray] = []
+    part, dim = None, 0
+    for batch in batches:
+        kinds = batch.column("kind").to_numpy()
+        cut = int(np.searchsorted(kinds, _QUESTION))
+        if cut:
+            part = batch.column("part")[0].as_py()
+            dim = dim or len(batch.column("embedding")[0])
+            ids.append(batch.column("id").slice(0, cut).to_numpy())
+            vectors.append(_matrix(batch.column("embedding").slice(0, cut), dim))
+        if cut == batch.num_rows or not ids:
+            continue
+        if len(ids) > 1:
+            ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
+        size = rows or block_rows(n, dim)
+        for start in range(cut, batch.num_rows, size):
+            block = batch.slice(start, min(size, batch.num_rows - start))
+            questions = _matrix(block.column("embedding"), dim)
+            best = _Best(questions, n, np.full(len(questions), -np.inf))
+            best.add(ids[0], vectors[0])
+            qids = block.column("id").to_numpy()
+            q, found, scores = best.result()
+            for a in range(0, len(q), _SLICE):
+                some = slice(a, a + _SLICE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(q[some]), part, np.int32)), pa.array(qids[q[some]]), pa.array(found[some]), pa.array(scores[some])],
+                    ["part", "qid", "passage_id", "score"],
+                )
+
+
+def _dealt(questions: DataFrame, index: DataFrame, slices: int, runs: Sequence[int]) -> DataFrame:
+    """(part, kind, id, embedding): a part has one slice of the index, of one run if there are runs, and all questions."""
+    held = index.where(F.col("embedding").isNotNull())
+    part = F.pmod(F.xxhash64("passage_id"), F.lit(slices)).cast("int")
+    if runs:
+        place = F.element_at(F.create_map(*[F.lit(x) for k, run in enumerate(runs) for x in (run, k)]), F.col("run"))
+        held, part = held.where(F.col("run").isin(*runs)), (place * slices + part).cast("int")
+    parts = slices * max(1, len(runs))
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    both = held.select(part.alias("part"), F.lit(_VECTOR).alias("kind"), F.col("passage_id").alias("id"), "embedding").unionByName(
+        questions.where(F.col("embedding").isNotNull()).select(
+            every.alias("part"), F.lit(_QUESTION).alias("kind"), F.col("qid").alias("id"), "embedding"
+        )
+    )
+    return both.repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
+
+
+def index_slices(index: DataFrame, runs: Sequence[int] = ()) -> int:
+    """Slices that `index` is dealt out to: as many as keep one bounded, and no fewer than there are cores."""
+    first = index.select(F.size("embedding").alias("n")).where("n > 0").first()
+    if first is None:
+        return 1
+    size = index.count() * 4 * first["n"] // max(1, len(runs))
+    return max(index.sparkSession.sparkContext.defaultParallelism // max(1, len(runs)), -(-size // SLICE_BYTES), 1)
 
 
 def search(
@@ -198,35 +194,28 @@ def search(
     index: DataFrame,
     n: int = settings.CANDIDATES,
     rows: int | None = None,
+    runs: Sequence[int] = (),
 ) -> DataFrame:
     """Best `n` passages per question: qid, passage_id, score, rank from 1.
 
     `questions` has unique qid and embedding, `index` passage_id and embedding.
     Scores are inner products in double, and ranks follow from them unrounded; ties are
-    ordered by passage_id; fewer than `n` vectors give fewer rows.
-    A job ships a few bounded blocks of questions (of `rows` rows, or as many as
-    `block_rows` allows) and scans the index where it lies: vectors
-    are never shuffled and no question-passage pair leaves a task unless it is among
-    the task's best and not below what a sample of the index proves. The result being a
-    table, a join with it is planned by its true size: a few hits are broadcast to the
-    passages instead of all passages being shuffled to the hits.
+    ordered by passage_id; fewer than `n` vectors give fewer rows. With `runs`, the index
+    has a column run, every question is asked in each of these runs, and so is the result.
+
+    A nested search in one job, however many questions there are: the index is read once and dealt out
+    to slices that a task can hold; the questions are sent to every slice, where they are
+    read in blocks (of `rows` rows, or as many as `block_rows` allows). A slice's best `n` of each question
+    meet in a window that limits them in every task first. Nothing of either side is on the
+    driver. The result being a table, a join with it is planned by its true size: a few hits are
+    broadcast to the passages instead of all passages being shuffled to the hits.
     """
-    spark = index.sparkSession
-    questions = staged(questions.select("qid", "embedding").where(F.col("embedding").isNotNull()), "questions")
-    dim = questions.agg(F.max(F.size("embedding"))).first()[0]
-    if not dim:
-        return spark.createDataFrame([], _RANKED)
-    path = staging_path(spark, "hits")
-    sample = _sample(index, n, dim)
-    blocks = _blocks(questions, rows or block_rows(n, dim))
-    while wave := list(islice(blocks, WAVE)):
-        shipped = []
-        for block in wave:
-            matrix = _matrix(block.column("embedding").combine_chunks(), dim)
-            sent = (block.column("qid").to_numpy(), matrix, _floor(matrix, sample, n))
-            shipped.append(spark.sparkContext.broadcast(sent))
-        found = [_task_best(index, s, n, dim) for s in shipped]
-        _merge(reduce(DataFrame.unionByName, found), n).write.mode("append").parquet(path)
-        for s in shipped:
-            s.destroy()
-    return spark.read.schema(_RANKED).parquet(path)
+    slices = index_slices(index, runs)
+    hits = _dealt(questions, index, slices, runs).mapInArrow(lambda batches: _nested(batches, n, rows), _HITS)
+    keys = ["qid"]
+    if runs:
+        run = F.element_at(F.array(*[F.lit(r) for r in runs]), F.floor(F.col("part") / slices).cast("int") + 1)
+        hits, keys = hits.withColumn("run", run), ["run", "qid"]
+    best_first = Window.partitionBy(*keys).orderBy(F.desc("score"), "passage_id")
+    ranked = hits.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= n)
+    return staged(ranked.select(*keys, "passage_id", "score", "rank"), "hits")

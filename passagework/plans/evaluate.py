@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,7 +10,7 @@ from .. import settings
 from ..operators import metrics
 from ..operators.generate import generate
 from ..operators.prompt import with_passages
-from ..operators.rerank import encode_questions, retrieve
+from ..operators.rerank import IdfOverlapScorer, encode_questions, retrieve
 from ..operators.vote import vote
 from ..runtime import staged
 from ..sources import artifacts, examples as ex
@@ -153,23 +152,35 @@ def sweep_recall(
     ks: Sequence[int] = settings.RECALL_AT,
 ) -> DataFrame:
     """Recall@K and corpus size per chunk setting."""
-    index = sweep_index(pages, sweep, encoder)
+    return recall_per_run(questions, sweep_index(pages, sweep, encoder), sweep, encoder, scorer, candidates, ks)
+
+
+def recall_per_run(
+    questions: DataFrame,
+    index: DataFrame,
+    sweep: Sequence[settings.Chunking],
+    encoder,
+    scorer=None,
+    candidates: int = settings.CANDIDATES,
+    ks: Sequence[int] = settings.RECALL_AT,
+) -> DataFrame:
+    """Recall@K and corpus size of each run of an index as `sweep_index` makes it.
+
+    One search, one ranking and one aggregation for all runs, with `run` as a part of every key. A scorer that
+    counts words does so per run.
+    """
+    runs = range(1, len(sweep) + 1)
+    if isinstance(scorer, IdfOverlapScorer):
+        scorer = IdfOverlapScorer.on(index, "run")
+    top = max(ks)
     vectors = encode_questions(questions, encoder)
+    ranked = retrieve(questions, index, encoder, scorer, max(candidates, top), top, vectors, runs)
+    first = metrics.first_hits(ranked, questions, "run")
+    chosen = F.array(*[
+        F.struct(F.lit(run).alias("run"), F.lit(c.tokens).alias("chunk_tokens"), F.lit(c.overlap).alias("chunk_overlap"))
+        for run, c in zip(runs, sweep)
+    ])
+    every = questions.select("qid", F.inline(chosen))
+    recalls = metrics.recall_of(every.join(first, ["qid", "run"], "left"), ks, "run", "chunk_tokens", "chunk_overlap")
     size = index.groupBy("run").agg(F.count(F.lit(1)).alias("passages"))
-    per_run = []
-    for run, chunking in enumerate(sweep, 1):
-        ranked = ranked_for_recall(
-            questions, index.where(F.col("run") == run), encoder, scorer, candidates, ks, vectors
-        )
-        first = metrics.first_hits(ranked, questions)
-        per_run.append(
-            questions.select("qid").join(first, "qid", "left").select(
-                F.lit(run).alias("run"),
-                F.lit(chunking.tokens).alias("chunk_tokens"),
-                F.lit(chunking.overlap).alias("chunk_overlap"),
-                "first_hit",
-            )
-        )
-    first = reduce(DataFrame.unionByName, per_run)
-    recalls = metrics.recall_of(first, ks, "run", "chunk_tokens", "chunk_overlap")
     return recalls.join(size, "run")

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from passagework.operators.encode import HashingEncoder
 from passagework.operators.pages import chunk_pages, dedup_passages
 from passagework.operators.rerank import IdfOverlapScorer, retrieve
-from passagework.operators.search import search
+from passagework import settings
+from passagework.operators.search import _dealt, _nested, search
 from passagework.operators.vote import vote
 from passagework.plans import corpus, evaluate
+from passagework.runtime import staged
 from workload import inputs, queries
 
 
@@ -49,10 +51,34 @@ def test_retrieval_never_shuffles_the_corpus_for_few_hits(spark, sf_dir, index):
     assert re.search(r"BroadcastHashJoin \[passage_id", text), text
 
 
-def test_search_reads_two_columns(spark, index):
-    vectors = index.select("passage_id", "embedding").where(F.col("embedding").isNotNull())
-    assert re.search(r"ReadSchema: struct<[^>]*embedding:array<float>", plan(vectors))
-    assert "passage:string" not in plan(vectors)
+def test_search_scans_the_index_once_for_all_blocks(spark, index):
+    """Twenty blocks of questions, one scan of two columns, nothing broadcast."""
+    asked = staged(index.select(F.col("passage_id").alias("qid"), "embedding"), "asked")
+    block = asked.count() // 20
+    dealt = _dealt(asked, index, 8, ())
+    hits = dealt.mapInArrow(lambda batches: _nested(batches, 5, block), "part int, qid long, passage_id long, score double")
+    text = plan(hits)
+    scans = re.findall(r"FileScan parquet.*", text)
+    assert len(scans) == 2 and "Broadcast" not in text
+    assert sum("passage_id" in s for s in scans) == 1 and "passage:string" not in text
+
+
+def test_weights_come_from_the_table_of_frequencies(spark, sf_dir, index):
+    """The passages are read to be shown and compared, and not once more to count their words."""
+    questions = inputs.questions(spark, sf_dir)
+    text = plan(retrieve(questions, index, HashingEncoder(64), IdfOverlapScorer.on(index)))
+    reads = [s for s in re.findall(r"FileScan parquet.*", text) if "passage:string" in s]
+    assert len(reads) == 1 and "df:bigint" in text
+
+
+def test_runs_share_every_step(spark, sf_dir):
+    """A sweep plans one search result, one ranking and one aggregation, however many runs there are."""
+    chunkings = [settings.Chunking(40, 10), settings.Chunking(60, 20), settings.Chunking(80, 30)]
+    index = corpus.sweep_index(inputs.pages(spark, sf_dir), chunkings, HashingEncoder(64))
+    text = checked(plan(evaluate.recall_per_run(
+        inputs.questions(spark, sf_dir), index, chunkings, HashingEncoder(64), IdfOverlapScorer())))
+    assert "Union" not in text
+    assert len([s for s in re.findall(r"FileScan parquet.*", text) if "passage:string" in s]) == 1
 
 
 def test_vote_has_no_window_and_two_partial_aggregates(spark, sf_dir):

@@ -15,11 +15,15 @@ def duck(sf_dir):
     return compare.connect(sf_dir)
 
 
+# Random projections are beyond SQL: tests/test_lsh.py holds them against the exact search.
+WITHOUT_SQL = {"topk_lsh"}
+
+
 def test_each_query_has_a_counterpart():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
     assert compare.differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) is None
 

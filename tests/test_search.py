@@ -57,10 +57,33 @@ def test_blocks_follow_the_byte_limit(spark, monkeypatch):
     questions, vectors = (rng.normal(size=(n, 8)).astype(np.float32) for n in (40, 60))
     asked = table(spark, "qid", questions)
     assert module.block_rows(4, 8) == 9
-    assert [b.num_rows for b in module._blocks(asked, 9)] == [9, 9, 9, 9, 4]
     assert rows_of(search(asked, table(spark, "passage_id", vectors), 4)) == brute(questions, vectors, 4)
 
 
+def test_slices_follow_the_byte_limit(spark, monkeypatch):
+    from passagework.operators import search as module
+
+    rng = np.random.default_rng(17)
+    questions, vectors = (rng.normal(size=(n, 8)).astype(np.float32) for n in (30, 200))
+    index = table(spark, "passage_id", vectors)
+    assert module.index_slices(index) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(module, "SLICE_BYTES", 4 * 8 * 10)
+    assert module.index_slices(index) == 20
+    assert rows_of(search(table(spark, "qid", questions), index, 7, rows=4)) == brute(questions, vectors, 7)
+
+
+def test_runs_are_searched_together(spark):
+    rng = np.random.default_rng(19)
+    questions = rng.normal(size=(12, 6)).astype(np.float32)
+    corpora = {run: rng.normal(size=(20 * run, 6)).astype(np.float32) for run in (1, 2, 4)}
+    rows = [(run, i, [float(x) for x in v]) for run, m in corpora.items() for i, v in enumerate(m)]
+    index = spark.createDataFrame(rows, f"run int, passage_id long, embedding {VECTORS}")
+    got = search(table(spark, "qid", questions), index, 25, runs=[4, 2, 3])
+    for run in (4, 2):
+        assert rows_of(got.where(F.col("run") == run)) == brute(questions, corpora[run], 25)
+    assert {r["run"] for r in got.select("run").distinct().collect()} == {2, 4}
+
+
 def test_near_ties_are_ranked_in_double(spark):
     """Scores that float32 sums cannot tell apart, at length 768."""
     rng = np.random.default_rng(8)
@@ -101,7 +124,7 @@ def test_task_memory_at_many_places():
     rows = module.block_rows(1000, 64)
     questions, vectors = (rng.normal(size=(n, 64)).astype(np.float32) for n in (rows, 20_000))
     tracemalloc.start()
-    best = module._Best(questions, 1000, module._floor(questions, vectors[:16_000], 1000))
+    best = module._Best(questions, 1000, np.full(rows, -np.inf))
     best.add(np.arange(len(vectors)), vectors)
     found = best.result()
     _, peak = tracemalloc.get_traced_memory()

@@ -17,6 +17,7 @@ from passagework.operators.pages import (
     unnest_pages,
     unpack_order,
 )
+from passagework.operators.lsh import ProjectionTables
 from passagework.operators.rerank import IdfOverlapScorer, PairScorer, retrieve
 from passagework.operators.search import search
 from passagework.operators.vote import vote
@@ -28,7 +29,6 @@ from passagework.streaming.ingest import ingest_passages, read_landing, stream_s
 from . import inputs, models
 
 ENCODER = HashingEncoder(256)
-SCORER = IdfOverlapScorer()
 GENERATOR = ExtractiveGenerator()
 VALIDATION_ROWS = 300
 SHARD_ROWS = 50
@@ -43,6 +43,12 @@ def _index(spark, sf_dir):
     return corpus.build_index(inputs.pages(spark, sf_dir), ENCODER)
 
 
+def _scored_index(spark, sf_dir):
+    """Index, encoder and the scorer with the index's word frequencies."""
+    index = _index(spark, sf_dir)
+    return index, ENCODER, IdfOverlapScorer.on(index)
+
+
 def _six(column):
     return F.round(column, 6)
 
@@ -186,8 +192,15 @@ def nearest_centroids(spark, sf_dir):
     return _rounded(search(vectors.withColumnRenamed("passage_id", "qid"), centroids, 100))
 
 
+def nearest_by_tables(spark, sf_dir):
+    """Approximate search: every 50th passage against all passages."""
+    tables, index = ProjectionTables(), _index(spark, sf_dir)
+    asked = index.where(F.col("passage_id") % 50 == 0).select(F.col("passage_id").alias("qid"), "embedding")
+    return _rounded(tables.search(asked, tables.index(index), 10)).select("qid", "passage_id", "score", "rank")
+
+
 def retrieved(spark, sf_dir):
-    found = retrieve(inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER)
+    found = retrieve(inputs.questions(spark, sf_dir), *_scored_index(spark, sf_dir))
     return _rounded(found).select(
         "qid", "rank", "candidate_rank", "passage_id", "score", "rerank_score"
     )
@@ -210,7 +223,7 @@ def retrieved_by_vector(spark, sf_dir):
 
 def reranked_candidates(spark, sf_dir):
     found = retrieve(
-        inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER, 50, None
+        inputs.questions(spark, sf_dir), *_scored_index(spark, sf_dir), 50, None
     )
     return found.select("qid", "candidate_rank", "rank", "rerank_score")
 
@@ -220,26 +233,26 @@ def reranked_candidates(spark, sf_dir):
 
 def recall_at_k(spark, sf_dir):
     return evaluate.evaluate_recall(
-        inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER
+        inputs.questions(spark, sf_dir), *_scored_index(spark, sf_dir)
     ).select("k", _six("recall").alias("recall"), "questions")
 
 
 def recall_by_split(spark, sf_dir):
     asked = ex.split_by_position(inputs.questions(spark, sf_dir), ["qid"], 15)
     return evaluate.evaluate_recall(
-        asked, _index(spark, sf_dir), ENCODER, SCORER, by=["split"]
+        asked, *_scored_index(spark, sf_dir), by=["split"]
     ).select("split", "k", _six("recall").alias("recall"), "questions")
 
 
 def recall_with_without_rerank(spark, sf_dir):
     return evaluate.compare_rerank(
-        inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER
+        inputs.questions(spark, sf_dir), *_scored_index(spark, sf_dir)
     ).select("variant", "k", _six("recall").alias("recall"), "questions")
 
 
 def chunk_sweep(spark, sf_dir):
     return evaluate.sweep_recall(
-        inputs.questions(spark, sf_dir), inputs.pages(spark, sf_dir), SWEEP, ENCODER, SCORER
+        inputs.questions(spark, sf_dir), inputs.pages(spark, sf_dir), SWEEP, ENCODER, IdfOverlapScorer()
     ).select(
         "run", "chunk_tokens", "chunk_overlap", "passages", "k",
         _six("recall").alias("recall"), "questions",
@@ -287,8 +300,9 @@ def best_of_aliases(spark, sf_dir):
 
 
 def _evaluated(spark, sf_dir, **options):
+    index, _, scorer = _scored_index(spark, sf_dir)
     return evaluate.evaluate_answers(
-        inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, GENERATOR, SCORER,
+        inputs.questions(spark, sf_dir), index, ENCODER, GENERATOR, scorer,
         k=3, **options,
     )
 
@@ -323,7 +337,7 @@ def rag_eval_consensus(spark, sf_dir):
 
 def _asked(spark, sf_dir, k):
     questions = inputs.questions(spark, sf_dir)
-    ranked = retrieve(questions, _index(spark, sf_dir), ENCODER, SCORER, k=k)
+    ranked = retrieve(questions, *_scored_index(spark, sf_dir), k=k)
     return prompt.with_passages(questions, ranked)
 
 
@@ -370,8 +384,9 @@ def model_answers_chat(spark, sf_dir):
 
 
 def answer_consensus(spark, sf_dir):
+    index, _, scorer = _scored_index(spark, sf_dir)
     return evaluate.answer(
-        inputs.questions(spark, sf_dir), _index(spark, sf_dir), ENCODER, GENERATOR, SCORER,
+        inputs.questions(spark, sf_dir), index, ENCODER, GENERATOR, scorer,
         consensus=True, n_samples=5,
     ).select("qid", "answer")
 
@@ -478,14 +493,15 @@ def passages_from_shards(spark, sf_dir):
 
 def recall_from_shards(spark, sf_dir):
     found = evaluate.run_recall(
-        spark, _example_shards(spark, sf_dir), _index(spark, sf_dir), ENCODER, SCORER
+        spark, _example_shards(spark, sf_dir), *_scored_index(spark, sf_dir)
     )
     return found.select("split", "k", _six("recall").alias("recall"), "questions")
 
 
 def answers_from_shards(spark, sf_dir):
+    index, _, scorer = _scored_index(spark, sf_dir)
     found = evaluate.run_answers(
-        spark, _example_shards(spark, sf_dir), _index(spark, sf_dir), ENCODER, GENERATOR, SCORER,
+        spark, _example_shards(spark, sf_dir), index, ENCODER, GENERATOR, scorer,
         save_path=staging_path(spark, "log"),
     )
     return found.select(
@@ -605,6 +621,7 @@ QUERIES = {
     "topk_inner_product": nearest,
     "topk_blocks": nearest_blocks,
     "topk_underfull": nearest_centroids,
+    "topk_lsh": nearest_by_tables,
     "retrieve": retrieved,
     "retrieve_vector_only": retrieved_by_vector,
     "rerank_overlap": reranked_candidates,
