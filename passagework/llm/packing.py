@@ -1,10 +1,10 @@
-"""Packing of token sequences: best fit per group, then local search that empties bins."""
+"""Packing of token sequences: local search that fills bins by moves and exchanges until others are empty."""
 
 from __future__ import annotations
 
 import functools
 import os
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,18 +15,17 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..runtime import staged
 from .batches import map_portions
-from .subword import MEMORY, single_blanks
+from .subword import MEMORY, BlankPieces, byte_letters
 
 # Pieces that are packed together by one task. A group leaves about one underfull bin.
 GROUP = 20_000
-# Exchanges that local search may try for each bin of a group.
-TRIES = 40
-# What an exchange may leave of a gap.
-_NEARLY = 16
+_PORTION = 2 << 20
+# Pieces that are encoded as one text.
+_TOGETHER = 50_000
 
 
 class IdCache:
-    """Ids of whole texts by the tokenizers library, which sees each blank-cut piece once."""
+    """Ids of whole texts by the tokenizers library, which sees each distinct blank-cut piece of a portion at most once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this process one core
@@ -35,28 +34,51 @@ class IdCache:
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
-        self._memory: dict[str, bytes] = {}
+        blank = byte_letters()[ord(" ")]
+        size = self._library.get_vocab_size()
+        self._begins = np.array([(self._library.id_to_token(i) or "").startswith(blank) for i in range(size)])
+        self._memory: dict[bytes, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _fresh(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces, each of which begins with its only blank: they are encoded as one text and cut at such tokens."""
+        out: list[bytes] = []
+        for begin in range(0, len(pieces), _TOGETHER):
+            some = pieces[begin : begin + _TOGETHER]
+            ids, = self._ids([b"".join(some).decode()])
+            cuts = np.append(np.flatnonzero(self._begins[ids]), len(ids)).tolist()
+            if len(cuts) != len(some) + 1:
+                raise ValueError("a token of this vocabulary crosses a blank")
+            data = ids.tobytes()
+            out.extend(data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:]))
+        return out
+
+    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
+        cut = BlankPieces(texts)
         memory = self._memory
-        cut = [t.split(" ") if single_blanks(t) else None for t in texts]
-        missing = list({p for pieces in cut if pieces for p in pieces[1:] if p not in memory})
-        fresh = dict(zip(missing, self._ids([" " + p for p in missing])))
-        if len(memory) + len(fresh) <= MEMORY:
-            memory |= fresh
-        whole = iter(self._ids([t if p is None else p[0] for t, p in zip(texts, cut)]))
-        for pieces, first in zip(cut, whole):
-            if pieces is None:
-                yield first
+        found = [*map(memory.get, cut.pieces)]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        fresh = self._fresh([cut.pieces[i] for i in missing])
+        for i, ids in zip(missing, fresh):
+            found[i] = ids
+        if len(memory) + len(missing) <= MEMORY:
+            memory.update(zip((cut.pieces[i] for i in missing), fresh))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        starts = np.cumsum(lengths) - lengths
+        firsts = iter(self._ids(cut.firsts))
+        for codes in cut.rows():
+            if codes is None:
+                yield next(firsts)
                 continue
-            found = list(map(memory.get, pieces[1:]))
-            if None in found:
-                found = [fresh[p] if b is None else b for b, p in zip(found, pieces[1:])]
-            yield first + b"".join(found)
+            own = lengths[codes]
+            ends = np.cumsum(own)
+            total = int(ends[-1]) if len(ends) else 0
+            at = np.arange(total) + np.repeat(starts[codes] - ends + own, own)
+            yield np.concatenate([next(firsts), flat[at]])
 
 
 @functools.lru_cache(maxsize=2)
@@ -76,14 +98,14 @@ def cut_pieces(
     never cross a single blank.
     """
     kind = docs.schema[key].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def work(batch: pa.RecordBatch):
         rows, pieces, starts, ids = [], [], [], []
         texts = [t or "" for t in batch.column("text").to_pylist()]
         for row, found in enumerate(_cache(path).texts(texts)):
-            data = found + end
-            n = len(data) // 4
+            n = len(found) + 1
+            data = np.concatenate([found, end]).tobytes()
             cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
             for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 rows.append(row)
@@ -103,159 +125,125 @@ def cut_pieces(
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = f"key {kind}, piece int, start long, length long, ids binary"
-    return map_portions(rows, "text", work, schema).withColumnRenamed("key", key)
-
-
-class _Bins:
-    """Bins with their items, findable by gap and by (gap, length of an item in it)."""
-
-    def __init__(self, capacity: int):
-        self.capacity = capacity
-        self.items: list[list[int]] = []
-        self.gap: list[int] = []
-        self.of_gap: dict[int, set[int]] = defaultdict(set)
-        self.holding: dict[tuple[int, int], set[int]] = defaultdict(set)
-        self.gaps = 0  # bit g is set if some bin has gap g
-
-    def _index(self, b: int, lengths: list[int]) -> None:
-        g = self.gap[b]
-        if g:
-            self.of_gap[g].add(b)
-            self.gaps |= 1 << g
-            for i in self.items[b]:
-                self.holding[g, lengths[i]].add(b)
-
-    def _unindex(self, b: int, lengths: list[int]) -> None:
-        g = self.gap[b]
-        if g:
-            self.of_gap[g].discard(b)
-            if not self.of_gap[g]:
-                self.gaps &= ~(1 << g)
-            for i in self.items[b]:
-                self.holding[g, lengths[i]].discard(b)
-
-    def best(self, length: int) -> int | None:
-        """A bin with the smallest gap that takes `length`."""
-        rest = self.gaps >> length
-        if not rest:
-            return None
-        return next(iter(self.of_gap[length + (rest & -rest).bit_length() - 1]))
-
-
-def _best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Best fit over falling lengths."""
-    gaps, stacks = 0, defaultdict(list)
-    items: list[list[int]] = []
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        n = lengths[i]
-        rest = gaps >> n
-        if rest:
-            g = n + (rest & -rest).bit_length() - 1
-            b = stacks[g].pop()
-            if not stacks[g]:
-                gaps &= ~(1 << g)
-            items[b].append(i)
-        else:
-            g, b = capacity, len(items)
-            items.append([i])
-        if g > n:
-            stacks[g - n].append(b)
-            gaps |= 1 << (g - n)
-    return items
+    return map_portions(rows, "text", work, schema, _PORTION).withColumnRenamed("key", key)
 
 
-def pack_lengths(lengths: list[int], capacity: int, tries: int = TRIES) -> list[list[int]]:
-    """Bins of positions in `lengths`, each of a total of `capacity` at most.
+class _Open:
+    """The underfull bins, findable by gap, by the length of an item and by the length of two items in one bin.
 
-    Best fit over falling lengths, then `improve`.
+    Each index goes from a number to the bins that have it; a bit mask tells which numbers there are.
     """
-    return improve(_best_fit(lengths, capacity), lengths, capacity, tries)
+
+    def __init__(self, items: list[list[int]], lengths: list[int], capacity: int):
+        self.items = [list(b) for b in items]
+        self.lengths = lengths
+        self.gap = [capacity - sum(lengths[i] for i in b) for b in self.items]
+        self.indexes: list[dict[int, dict[int, None]]] = [defaultdict(dict) for _ in range(3)]
+        self.masks = [0, 0, 0]
+        for b in range(len(self.items)):
+            if self.gap[b]:
+                self.enter(b)
+
+    def _numbers(self, b: int) -> tuple[set[int], set[int], set[int]]:
+        often = Counter(self.lengths[i] for i in self.items[b])
+        some = sorted(often)
+        pairs = {x + y for k, x in enumerate(some) for y in some[:k]} | {2 * x for x in some if often[x] > 1}
+        return {self.gap[b]}, set(some), pairs
+
+    def enter(self, b: int) -> None:
+        for k, numbers in enumerate(self._numbers(b)):
+            for n in numbers:
+                self.indexes[k][n][b] = None
+                self.masks[k] |= 1 << n
+
+    def leave(self, b: int) -> None:
+        for k, numbers in enumerate(self._numbers(b)):
+            for n in numbers:
+                found = self.indexes[k][n]
+                del found[b]
+                if not found:
+                    self.masks[k] &= ~(1 << n)
+
+    def fullest(self) -> int | None:
+        least = self.masks[0]
+        return next(iter(self.indexes[0][(least & -least).bit_length() - 1])) if least else None
+
+    def exchange(self, a: int) -> tuple[int, int, int] | None:
+        """What fills bin `a` most: (length that leaves it or 0, length that comes, items that come)."""
+        best, gain = None, 0
+        for out in sorted({0} | {self.lengths[i] for i in self.items[a]}):
+            room = (1 << out + self.gap[a] + 1) - 1
+            for k in (2, 1):
+                come = (self.masks[k] & room).bit_length() - 1
+                if come - out > gain:
+                    best, gain = (out, come, k), come - out
+        return best
+
+    def apply(self, a: int, out: int, come: int, k: int) -> None:
+        b = next(iter(self.indexes[k][come]))
+        self.leave(b)
+        mine, theirs, lengths = self.items[a], self.items[b], self.lengths
+        taken = _of_length(theirs, lengths, come) if k == 1 else _of_two_lengths(theirs, lengths, come)
+        given = _of_length(mine, lengths, out) if out else []
+        self.items[a] = [i for i in mine if i not in given] + taken
+        self.items[b] = [i for i in theirs if i not in taken] + given
+        self.gap[a] -= come - out
+        self.gap[b] += come - out
+        if self.items[b]:
+            self.enter(b)
+
+
+def _of_length(items: list[int], lengths: list[int], n: int) -> list[int]:
+    return [next(i for i in items if lengths[i] == n)]
+
+
+def _of_two_lengths(items: list[int], lengths: list[int], total: int) -> list[int]:
+    seen: dict[int, int] = {}
+    for i in items:
+        if total - lengths[i] in seen:
+            return [seen[total - lengths[i]], i]
+        seen[lengths[i]] = i
+    raise KeyError(total)
 
 
-def improve(
-    items: list[list[int]], lengths: list[int], capacity: int, tries: int = TRIES
-) -> list[list[int]]:
-    """Fewer bins by local search: one after the other, the emptiest bin gives its items away.
+def improve(items: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """Fewer bins by local search between underfull ones.
 
-    An item moves to the bin that it fills best; where none has room, one or two items of the
-    bin are exchanged for a shorter one of a fuller bin, one that fills it up or nearly so. Each
-    such step increases the sum of squared fills, so the search ends; it also ends when no
-    exchange is left or after `tries` steps for each bin.
+    The fullest of them takes what fills it most: an item moves in, or it is exchanged for a shorter one, or
+    two items of one bin are exchanged for one. The other bin is not fuller, so each step increases
+    the sum of squared fills and the search ends. A bin that is full or that no step fills further is done; a bin
+    that has given its last item is gone. There is no other bound on steps or partners.
     """
-    bins = _Bins(capacity)
-    bins.items = [list(b) for b in items]
-    bins.gap = [capacity - sum(lengths[i] for i in b) for b in bins.items]
-    for b in range(len(bins.items)):
-        bins._index(b, lengths)
-    left = tries * len(bins.items)
-    for donor in sorted(range(len(bins.items)), key=lambda b: -bins.gap[b]):
-        if not bins.gap[donor] or left <= 0:
-            break
-        left = _empty(bins, donor, lengths, left)
-        if bins.items[donor]:
-            bins._index(donor, lengths)
-            if sum(g for b, g in enumerate(bins.gap) if bins.items[b]) < capacity:
-                break  # the lower bound is reached
+    bins = _Open(items, lengths, capacity)
+    while (a := bins.fullest()) is not None:
+        bins.leave(a)
+        while bins.gap[a] and (step := bins.exchange(a)):
+            bins.apply(a, *step)
     return [b for b in bins.items if b]
 
 
-def _empty(bins: _Bins, donor: int, lengths: list[int], left: int) -> int:
-    """Give the items of `donor` to fuller bins, as far as moves and exchanges go."""
-    bins._unindex(donor, lengths)
-    mine = bins.items[donor]
-    while mine and left > 0:
-        left -= 1
-        moved = False
-        for i in sorted(mine, key=lambda i: -lengths[i]):
-            b = bins.best(lengths[i])
-            if b is not None and bins.gap[b] <= bins.gap[donor]:
-                _give(bins, donor, b, [i], None, lengths)
-                moved = True
-                break
-        if not moved and not _exchange(bins, donor, lengths):
-            break
-    return left
-
-
-def _exchange(bins: _Bins, donor: int, lengths: list[int]) -> bool:
-    mine = bins.items[donor]
-    offers: dict[int, list[int]] = {}
-    few = sorted(mine, key=lambda i: -lengths[i])[:16]
-    for a, i in enumerate(few):
-        offers.setdefault(lengths[i], [i])
-        for j in few[a + 1 :]:
-            offers.setdefault(lengths[i] + lengths[j], [i, j])
-    gaps = [g for g in range(bins.gaps.bit_length() - 1, 0, -1) if bins.gaps >> g & 1 and g <= bins.gap[donor]]
-    for g in gaps:  # the largest gap that an exchange closes
-        for total, items in offers.items():
-            if total > g and (found := bins.holding.get((g, total - g))):
-                _give(bins, donor, next(iter(found)), items, total - g, lengths)
-                return True
-    single = [(lengths[i], [i]) for i in few[:4]]
-    for g in gaps:  # or nearly closes
-        for fill in range(g - 1, max(0, g - _NEARLY), -1):
-            for total, items in single:
-                if total > fill and (found := bins.holding.get((g, total - fill))):
-                    _give(bins, donor, next(iter(found)), items, total - fill, lengths)
-                    return True
-    return False
-
-
-def _give(bins: _Bins, donor: int, b: int, items: list[int], back: int | None, lengths: list[int]) -> None:
-    """Move `items` from `donor` to `b`; `back` is the length of an item that comes back."""
-    bins._unindex(b, lengths)
-    mine, theirs = bins.items[donor], bins.items[b]
-    returned = [] if back is None else [next(i for i in theirs if lengths[i] == back)]
-    for i in items:
-        mine.remove(i)
-    for i in returned:
-        theirs.remove(i)
-    theirs.extend(items)
-    mine.extend(returned)
-    change = sum(lengths[i] for i in items) - (back or 0)
-    bins.gap[b] -= change
-    bins.gap[donor] += change
-    bins._index(b, lengths)
+def _next_fit(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Bins filled one after the other in the order given."""
+    items, room = [], 0
+    for i, n in enumerate(lengths):
+        if n > room:
+            items.append([])
+            room = capacity
+        items[-1].append(i)
+        room -= n
+    return items
+
+
+def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Bins of positions in `lengths`, each of a total of `capacity` at most.
+
+    Local search from two plain starts: every item in a bin of its own, where moves lead; and unless that
+    reaches the least number there can be, next fit, where exchanges do. The better result counts.
+    """
+    found = improve([[i] for i in range(len(lengths))], lengths, capacity)
+    if len(found) > -(-sum(lengths) // capacity):
+        found = min(found, improve(_next_fit(lengths, capacity), lengths, capacity), key=len)
+    return found
 
 
 def pack(pieces: DataFrame, capacity: int = 1024, length: str = "length", group: int = GROUP) -> DataFrame:
