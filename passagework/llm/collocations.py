@@ -10,22 +10,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import staged
-from .batches import map_portions
+from .batches import map_portions, portions
 from .words import bit_set, in_bits, longer, mixed, word_codes, word_hashes, word_places
 
 LONGEST = 5
 THRESHOLD = 100
 TOP = 2000
 # A summary's error may be this part of the threshold; it has so many times the counters that mass / threshold asks for.
-SHARPNESS = 4
+SHARPNESS = 8
 # Counters of one summary (8 bytes each) that the number of hash partitions aims at.
-COUNTERS = 1 << 19
+COUNTERS = 1 << 18
 # Bits of the sets of frequent words and of possible phrases (1 and 16 MB): each task gets them whole.
 WORD_BITS = 1 << 23
 PHRASE_BITS = 1 << 27
 # Parts of each language that are ranked on their own before the last ranking.
 _RANK_PARTS = 64
 _PORTION = 4 << 20
+# Phrases that a task counts together before it hands them on.
+_HELD = 150_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BREAKS = np.zeros(256, bool)
 _BREAKS[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -207,34 +209,72 @@ def _possible(rows: DataFrame, words, parts: int, capacity: int, longest: int, t
     return dealt.mapInArrow(merge, "place long")
 
 
-def _exact_counts(rows: DataFrame, words, phrases, parts: int, longest: int) -> DataFrame:
-    """(lang, phrase, size, n): exact counts of all phrases that the bit set of possible ones lets pass."""
+def _exact_counts(rows: DataFrame, words, phrases, parts: int, longest: int, threshold: int) -> DataFrame:
+    """(lang, phrase, size, n): phrases met `threshold` times, counted exactly where the bit set of possible ones lets them pass.
 
-    def work(batch: pa.RecordBatch):
+    Counts are added up in a task first and then per hash partition, like the summaries. A partition has
+    a bounded number of occurrences beside those of very frequent phrases, so its phrases fit a task even
+    if the bit set lets all pass.
+    """
+
+    def count(batch: pa.RecordBatch, found: dict[tuple[int, str, str], int]) -> None:
         frequent, possible = np.frombuffer(words.value, np.uint8), np.frombuffer(phrases.value, np.uint8)
         bits = 8 * len(possible)
-        langs, texts, sizes, counts = [], [], [], []
         for lang, pieces in _by_lang(batch):
             codes, several = pieces.codes, len(pieces.vocabulary)
             for n, at, hashes in pieces.phrases(longest, frequent):
                 part, key = (hashes >> np.uint64(32)) % np.uint64(parts), hashes & np.uint64(0xFFFFFFFF)
-                at = at[in_bits(possible, _place(part, key, bits))]
+                passed = in_bits(possible, _place(part, key, bits))
+                at, part = at[passed], part[passed]
                 # Equal phrases get equal names, word after word, so that no hash decides on equality.
                 names = codes[at]
                 for k in range(1, n):
                     names = np.unique(names * several + codes[at + k], return_inverse=True)[1]
                 _, first, often = np.unique(names, return_index=True, return_counts=True)
-                texts += [pieces.text(i, n).decode() for i in at[first].tolist()]
-                counts += often.tolist()
-                sizes += [n] * len(often)
-                langs += [lang] * len(often)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(texts, pa.string()), pa.array(sizes, pa.int32()), pa.array(counts, pa.int64())],
-            ["lang", "phrase", "size", "n"],
-        )
+                for i, own, m in zip(at[first].tolist(), part[first].tolist(), often.tolist()):
+                    phrase = own, lang, pieces.text(i, n).decode()
+                    found[phrase] = found.get(phrase, 0) + m
+
+    def packed(found: dict[tuple[int, str, str], int]) -> pa.RecordBatch:
+        """One row for each partition, with lists of its phrases."""
+        order = sorted(found)
+        own = np.array([p for p, _, _ in order], np.int64)
+        cuts = np.append(np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else [], len(own)).astype(np.int32)
+        columns = [[x for _, x, _ in order], [x for _, _, x in order], [found[x] for x in order]]
+        lists = [pa.ListArray.from_arrays(cuts, pa.array(c, t)) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array(own[cuts[:-1]]), *lists], ["part", "lang", "phrase", "n"])
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, str, str], int] = {}
+        for batch in batches:
+            for some in portions(batch, "text", _PORTION):
+                count(some, found)
+                if len(found) > _HELD:
+                    yield packed(found)
+                    found = {}
+        yield packed(found)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, {}
+
+        def finish() -> pa.RecordBatch:
+            kept = [(lang, phrase, phrase.count(" ") + 1, n) for (lang, phrase), n in total.items() if n >= threshold]
+            columns = zip(*kept) if kept else ((), (), (), ())
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["lang", "phrase", "size", "n"])
+
+        for batch in batches:
+            for i, own in enumerate(batch.column("part").to_pylist()):
+                if own != part:
+                    yield finish()
+                    part, total = own, {}
+                for lang, phrase, n in zip(*(batch.column(c)[i].as_py() for c in ("lang", "phrase", "n"))):
+                    total[lang, phrase] = total.get((lang, phrase), 0) + n
+        yield finish()
 
-    counted = map_portions(rows, "text", work, "lang string, phrase string, size int, n long", _PORTION)
-    return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    lists = rows.mapInArrow(local, "part long, lang array<string>, phrase array<string>, n array<long>")
+    dealt = lists.repartition(parts, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(merge, "lang string, phrase string, size int, n long")
 
 
 def frequent_phrases(
@@ -266,7 +306,7 @@ def frequent_phrases(
     capacity = -(-wanted // parts)
     possible = _possible(rows, words, parts, capacity, longest, threshold, phrase_bits)
     marks = spark.sparkContext.broadcast(bit_set(possible, "place", phrase_bits))
-    exact = _exact_counts(rows, words, marks, parts, longest).where(F.col("n") >= threshold)
+    exact = _exact_counts(rows, words, marks, parts, longest, threshold)
     return staged(single.unionByName(exact), "phrases"), totals
 
 
