@@ -51,8 +51,9 @@ def chunk_sweep(
     pages: DataFrame,
     sweep: Sequence[settings.Chunking],
     tokenizer: tx.Tokenizer = tx.BLANK_TOKENIZER,
+    numbers: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Chunks for several settings at once; `run` numbers them from 1.
+    """Chunks for several settings at once; `run` numbers them from 1, or as `numbers` says.
 
     A page is read and tokenised once and then cut per setting.
     """
@@ -63,7 +64,7 @@ def chunk_sweep(
             F.lit(c.overlap).alias("chunk_overlap"),
             F.lit(c.step).alias("_step"),
         )
-        for run, c in enumerate(sweep, 1)
+        for run, c in zip(numbers or range(1, len(sweep) + 1), sweep)
     ])
     per_run = _tokenized(pages, tokenizer).select("*", F.inline(runs))
     return _cut(per_run, F.col("chunk_tokens"), F.col("_step"), tokenizer).drop("_step")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .. import settings
+from .. import schemas, settings
 from ..functions import text as tx
 from ..operators.encode import encode
 from ..operators.numbering import assign_positions
@@ -107,6 +107,30 @@ def sweep_index(
     return pages.sparkSession.read.schema(built.schema).parquet(path)
 
 
+def ensure_sweep(
+    pages: DataFrame, sweep: Sequence[settings.Chunking], encoder, root: str, encoder_name: str
+) -> DataFrame:
+    """Index of several chunk settings under `root`, of which only runs without a valid mark are built.
+
+    A run has a partition of its own, which its write replaces and no other does, and a mark beside the table that is
+    written last. The mark tells the run's settings and the fingerprint of the pages, so a sweep that ended
+    halfway goes on where it stopped, and changed pages or settings make their runs anew.
+    """
+    spark = pages.sparkSession
+    path = artifacts.sweep_path(root, encoder_name)
+    source = artifacts.fingerprint(pages)
+    wanted = {run: f"{c.tokens}-{c.overlap}-{source}" for run, c in enumerate(sweep, 1)}
+    missing = [run for run, mark in wanted.items() if artifacts.read_run_mark(spark, path, run) != mark]
+    if missing:
+        chunks = chunk_sweep(pages, [sweep[run - 1] for run in missing], numbers=missing)
+        built = _ids_per_run(number_and_encode(dedup_passages(chunks, *_RUN), encoder, "run"))
+        artifacts.write_runs(built.select(*schemas.RUN_INDEX.names), path)
+        for run in missing:
+            artifacts.write_run_mark(spark, path, run, wanted[run])
+    table = spark.read.schema(schemas.RUN_INDEX).parquet(path)
+    return table.where(F.col("run").isin(list(wanted)))
+
+
 def pages_of_shards(
     spark: SparkSession,
     path: str,
@@ -118,6 +142,6 @@ def pages_of_shards(
     Splits that are not there add nothing; `max_shards` keeps the first shards
     of each split. Fails if no row is left.
     """
-    sharded = ex.first_shards(ex.read_shards(spark, path, splits), max_shards)
+    sharded = ex.first_shards(ex.read_shards(spark, path, splits), max_shards, ex.read_catalogue(spark, path, splits))
     examples = ex.in_source_order(ex.require_rows(sharded, path), splits)
     return unnest_pages(examples)

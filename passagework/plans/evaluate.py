@@ -14,7 +14,7 @@ from ..operators.rerank import IdfOverlapScorer, encode_questions, retrieve
 from ..operators.vote import vote
 from ..runtime import staged
 from ..sources import artifacts, examples as ex
-from .corpus import sweep_index
+from .corpus import ensure_sweep, pages_of_shards, sweep_index
 
 
 def ranked_for_recall(
@@ -113,7 +113,7 @@ def run_recall(
     splits: Sequence[str] = settings.SPLITS,
 ) -> DataFrame:
     """Recall@K on the first `sample_limit` examples of each split of a sharded table."""
-    first = ex.head_per_split(ex.read_shards(spark, shards, splits), sample_limit)
+    first = ex.head_per_split(ex.read_shards(spark, shards, splits), sample_limit, ex.read_catalogue(spark, shards, splits))
     asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), splits))
     return evaluate_recall(staged(asked, "asked"), index, encoder, scorer, candidates, ks, ["split"])
 
@@ -131,7 +131,7 @@ def run_answers(
     consensus: bool = False,
 ) -> DataFrame:
     """Mean exact match and F1 on the first test examples; the log is saved on request."""
-    first = ex.head(ex.read_shards(spark, shards, ["test"]), max_questions)
+    first = ex.head(ex.read_shards(spark, shards, ["test"]), max_questions, ex.read_catalogue(spark, shards, ["test"]))
     asked = ex.as_questions(ex.in_source_order(ex.require_rows(first, shards), ["test"]))
     log = evaluate_answers(
         staged(asked.drop("split"), "asked"), index, encoder, generator, scorer, k=k, consensus=consensus
@@ -184,3 +184,21 @@ def recall_per_run(
     recalls = metrics.recall_of(every.join(first, ["qid", "run"], "left"), ks, "run", "chunk_tokens", "chunk_overlap")
     size = index.groupBy("run").agg(F.count(F.lit(1)).alias("passages"))
     return recalls.join(size, "run")
+
+
+def sweep_shards(
+    spark: SparkSession,
+    shards: str,
+    root: str,
+    questions: DataFrame,
+    sweep: Sequence[settings.Chunking],
+    encoder,
+    encoder_name: str,
+    scorer=None,
+    splits: Sequence[str] = ("train", "validation"),
+    max_shards: int | None = 2,
+) -> DataFrame:
+    """Recall@K per chunk setting over the first shards of some splits, with an index under `root` that later sweeps reuse."""
+    pages = staged(pages_of_shards(spark, shards, splits, max_shards), "pages")
+    index = ensure_sweep(pages, sweep, encoder, root, encoder_name)
+    return recall_per_run(questions, index, sweep, encoder, scorer)

@@ -39,6 +39,13 @@ INDEX = T.StructType([
     T.StructField("embedding", T.ArrayType(T.FloatType())),
 ])
 
+RUN_INDEX = T.StructType([
+    *INDEX.fields,
+    T.StructField("chunk_tokens", T.IntegerType()),
+    T.StructField("chunk_overlap", T.IntegerType()),
+    T.StructField("run", T.IntegerType()),
+])
+
 EVAL_LOG = T.StructType([
     T.StructField("question", T.StringType()),
     T.StructField("gold", T.StringType()),

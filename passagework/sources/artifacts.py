@@ -55,6 +55,30 @@ def index_path(
     return f"{root}/index/{_settings(chunking, tokenizer_name)}/encoder={encoder_name}"
 
 
+def sweep_path(root: str, encoder_name: str) -> str:
+    return f"{root}/sweep/encoder={encoder_name}"
+
+
+def _run_mark(path: str, run: int) -> str:
+    # Names that begin with an underscore are no part of the table at `path`.
+    return f"{path}/_runs/run-{run}"
+
+
+def write_runs(index: DataFrame, path: str) -> None:
+    """Replace the partitions of the runs in `index`, and no others."""
+    index.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+
+
+def write_run_mark(spark: SparkSession, path: str, run: int, mark: str) -> None:
+    spark.range(1).select(F.lit(mark).alias("mark")).write.mode("overwrite").parquet(_run_mark(path, run))
+
+
+def read_run_mark(spark: SparkSession, path: str, run: int) -> str | None:
+    """What vouches for a run of the table at `path`; None if its write did not end."""
+    mark = _run_mark(path, run)
+    return spark.read.schema("mark string").parquet(mark).first()["mark"] if is_complete(spark, mark) else None
+
+
 def read_passages(spark: SparkSession, path: str) -> DataFrame:
     """Passage table; a missing path fails at once."""
     return spark.read.schema(schemas.PASSAGES).parquet(path)

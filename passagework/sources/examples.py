@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import schemas, settings
 from ..operators.numbering import assign_positions
+from ..runtime import staged
 from . import artifacts
 
 _SHARD_DIGITS = 10
@@ -23,6 +24,23 @@ def read_examples(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.schema(schemas.EXAMPLES).format(fmt).load(path)
 
 
+def read_json_examples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Examples of a folder of JSON lines, and the lines that are none (damaged), as a written table of both.
+
+    Lines are parsed with the fixed schema in one pass over the files; a line that it does not fit is kept as
+    it is instead of ending the job or turning into nulls. Fails if two examples have the same `ord`
+    or one has none, since all later order rests on it.
+    """
+    schema = T.StructType([*schemas.EXAMPLES.fields, T.StructField("damaged", T.StringType())])
+    lines = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "damaged").json(path)
+    table = staged(lines, "examples")
+    examples = table.where(F.col("damaged").isNull()).drop("damaged")
+    twice = examples.groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col("ord").isNull())
+    if not twice.isEmpty():
+        raise ValueError(f"rows without an ord of their own: {path}")
+    return examples, table.where(F.col("damaged").isNotNull()).select("damaged")
+
+
 def _positioned(df: DataFrame, order: Sequence[str], position: str | None) -> DataFrame:
     if position is not None:
         return df.withColumn("pos", F.col(position))
@@ -91,9 +109,9 @@ def ensure_shards(
 ) -> DataFrame:
     """Write the splits that are missing and return the sharded table.
 
-    A split is there if its marker is, a table of its row count that is written last; a split
+    A split is there if its marker is, the catalogue of its shards that is written last; a split
     that ended halfway, or that was never begun, is written anew, whatever the others are. A
-    split without rows is there with a count of 0.
+    split without rows is there with an empty catalogue.
     """
     missing = [s for s in settings.SPLITS if not artifacts.is_complete(spark, _marker(path, s))]
     sources = {}
@@ -105,8 +123,8 @@ def ensure_shards(
     for split in missing:
         target = f"{path}/split={split}"
         with_shards(sources[split].drop("split"), rows).write.mode("overwrite").parquet(target)
-        count = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows"))
-        count.write.mode("overwrite").parquet(_marker(path, split))
+        sizes = spark.read.parquet(target).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
+        sizes.write.mode("overwrite").parquet(_marker(path, split))
     return read_shards(spark, path)
 
 
@@ -121,6 +139,26 @@ def source_order() -> list:
     return [F.col("split"), shard_name(), F.col("pos")]
 
 
+def catalogue(df: DataFrame) -> DataFrame:
+    """(split, shard, rows) of a sharded table, counted from its data."""
+    return df.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def read_catalogue(spark: SparkSession, path: str, splits: Sequence[str] = settings.SPLITS) -> DataFrame:
+    """(split, shard, rows) as `ensure_shards` left it beside the data: nothing of the shards is read.
+
+    Only splits that were written without a catalogue are counted.
+    """
+    known = [s for s in splits if artifacts.is_complete(spark, _marker(path, s))]
+    parts = [
+        spark.read.schema("shard int, rows long").parquet(_marker(path, s)).select(F.lit(s).alias("split"), "shard", "rows")
+        for s in known
+    ]
+    if rest := [s for s in splits if s not in known]:
+        parts.append(catalogue(read_shards(spark, path, rest)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _leading_names(sizes: DataFrame, per_split: int) -> DataFrame:
     """The first `per_split` rows of (split, shard, ...) per split in name order.
 
@@ -132,44 +170,46 @@ def _leading_names(sizes: DataFrame, per_split: int) -> DataFrame:
 
 
 def _only(df: DataFrame, shards: DataFrame) -> DataFrame:
-    """Rows of the given few shards, as a filter that skips all other row groups."""
-    kept: dict[str, list[int]] = {}
-    for row in shards.select("split", "shard").collect():
-        kept.setdefault(row["split"], []).append(row["shard"])
-    wanted = [(F.col("split") == s) & F.col("shard").isin(n) for s, n in kept.items()]
-    return df.where(reduce(or_, wanted)) if wanted else df.where(F.lit(False))
+    """Rows of the given shards by a semi join; the range of their numbers in each split is a filter that the scan pushes down."""
+    spans = shards.groupBy("split").agg(F.min("shard").alias("low"), F.max("shard").alias("high")).collect()
+    inside = [(F.col("split") == r["split"]) & F.col("shard").between(r["low"], r["high"]) for r in spans]
+    if not inside:
+        return df.where(F.lit(False))
+    return df.where(reduce(or_, inside)).join(shards.select("split", "shard"), ["split", "shard"], "left_semi")
 
 
-def _leading_shards(df: DataFrame, rows: int) -> DataFrame:
-    """Shards that hold the first `rows` rows of each split.
+def _leading_shards(df: DataFrame, rows: int, sizes: DataFrame | None = None) -> DataFrame:
+    """Shards that hold the first `rows` rows of each split, by running sums over their sizes.
 
-    Sizes come from file footers. A shard holds a row at least, so `rows`
-    names per split are enough to add up, and no more come to the driver.
+    A shard of the catalogue holds a row at least, so `rows` names per split are enough to add up.
     """
-    sizes = df.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy("split").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
-    named = _leading_names(sizes, rows).withColumn("_before", before)
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    named = _leading_names(catalogue(df) if sizes is None else sizes, rows).withColumn("_before", before)
     return _only(df, named.where(F.col("_before") < rows))
 
 
-def head(df: DataFrame, rows: int) -> DataFrame:
-    """First `rows` examples of a sharded table, across its shards in name order."""
-    return _leading_shards(df, rows).orderBy(*source_order()).limit(rows)
+def head(df: DataFrame, rows: int, sizes: DataFrame | None = None) -> DataFrame:
+    """First `rows` examples of a sharded table, across its shards in name order.
+
+    `sizes` is the table's catalogue; without it the shards are counted.
+    """
+    return _leading_shards(df, rows, sizes).orderBy(*source_order()).limit(rows)
 
 
-def head_per_split(df: DataFrame, rows: int) -> DataFrame:
+def head_per_split(df: DataFrame, rows: int, sizes: DataFrame | None = None) -> DataFrame:
     """First `rows` examples of every split."""
     ranked = Window.partitionBy("split").orderBy(shard_name(), F.col("pos"))
-    numbered = _leading_shards(df, rows).withColumn("_n", F.row_number().over(ranked))
+    numbered = _leading_shards(df, rows, sizes).withColumn("_n", F.row_number().over(ranked))
     return numbered.where(F.col("_n") <= rows).drop("_n")
 
 
-def first_shards(df: DataFrame, per_split: int | None) -> DataFrame:
+def first_shards(df: DataFrame, per_split: int | None, sizes: DataFrame | None = None) -> DataFrame:
     """Keep the first `per_split` shards of each split in name order; None or 0 keeps all."""
     if not per_split:
         return df
-    return _only(df, _leading_names(df.select("split", "shard").distinct(), per_split))
+    names = df.select("split", "shard").distinct() if sizes is None else sizes.select("split", "shard")
+    return _only(df, _leading_names(names, per_split))
 
 
 def _text_rank(shard: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import settings
@@ -34,18 +35,30 @@ def ingest_passages(
 ) -> DataFrame:
     """Chunk a stream of pages and append the passages not seen before.
 
-    State holds one 256-bit digest per distinct passage instead of its text
-    and grows with the corpus; long-lived streams want the RocksDB state store.
+    What was seen is a table of 256-bit digests beside the passages, joined anti by each micro-batch: the
+    stream itself keeps no state. A batch writes passages and digests into folders of its own number and looks
+    only at those of smaller numbers, so running it again after a failure gives the same rows once.
     Which copy survives is not defined here, so rows carry no order. Returns
     the written table after all files that were present have been read.
     """
-    chunks = chunk_pages(pages, chunking).select(
-        "passage", F.unhex(F.sha2("passage", 256)).alias("digest")
-    )
-    fresh = chunks.dropDuplicates(["digest"]).select("passage")
-    _drain(fresh.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
+    schema = T.StructType([T.StructField("passage", T.StringType()), T.StructField("digest", T.BinaryType())])
+    stored = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+
+    def append(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(["digest"])
+        if epoch:
+            seen = spark.read.schema(stored).parquet(out).where(F.col("epoch") < epoch).select("digest")
+            fresh = fresh.join(seen, "digest", "left_anti")
+        fresh.select(*schema.names).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    chunks = chunk_pages(pages, chunking).select("passage", F.unhex(F.sha2("passage", 256)).alias("digest"))
+    _drain(chunks.writeStream.foreachBatch(append), checkpoint)
     spark = pages.sparkSession
-    return spark.read.schema("passage string").parquet(out)
+    try:
+        return spark.read.schema(stored).parquet(out).select("passage")
+    except AnalysisException:  # no batch yet
+        return spark.createDataFrame([], "passage string")
 
 
 def stream_shards(

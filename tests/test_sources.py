@@ -6,8 +6,10 @@ from pyspark.sql import functions as F, types as T
 
 from passagework import schemas, settings
 from passagework.operators import profile
+from passagework.operators.encode import HashingEncoder
+from passagework.plans import corpus
 from passagework.runtime import shared_folder, staging_path
-from passagework.sources import examples as ex
+from passagework.sources import artifacts, examples as ex
 from passagework.sources.tables import read_table
 from passagework.streaming.ingest import ingest_passages, read_landing, stream_shards
 
@@ -99,11 +101,10 @@ def test_head_follows_shard_names_as_text(spark, shards):
 
 
 def test_head_reads_the_leading_shards_only(spark, shards):
-    rows = ex._leading_shards(ex.read_shards(spark, shards), 11).select(F.input_file_name().alias("f"))
-    folders = {r["f"].split("/")[-2] for r in rows.collect()}
+    splits = {r["split"] for r in ex._leading_shards(ex.read_shards(spark, shards), 11).collect()}
     plan = ex.head(ex.read_shards(spark, shards, ["train"]), 11)._jdf.queryExecution().executedPlan().toString()
     assert "shard" in plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
-    assert folders == {f"split={s}" for s in ("train", "validation", "test")}
+    assert splits == {"train", "validation", "test"}
 
 
 @pytest.mark.parametrize("limit,kept", [(2, {0, 1}), (3, {0, 1, 10}), (0, set(range(13))), (None, set(range(13)))])
@@ -152,6 +153,94 @@ def test_examples_as_json_and_parquet(spark):
         assert back.schema == schemas.EXAMPLES and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
 
 
+def test_damaged_lines_are_kept_apart(spark):
+    path = staging_path(spark, "test")
+    lines = ['{"ord": 1, "question": "q"}', '{"ord": 2, "quest', "no json at all", '{"ord": "x"}', '{"ord": 3, "extra": [1]}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    examples, damaged = ex.read_json_examples(spark, path)
+    assert sorted(r["ord"] for r in examples.collect()) == [1, 3] and examples.schema == schemas.EXAMPLES
+    assert sorted(r["damaged"] for r in damaged.collect()) == sorted(lines[1:4])
+    spark.createDataFrame([('{"ord": 3}',)], "value string").write.mode("append").text(path)
+    with pytest.raises(ValueError, match="ord of their own"):
+        ex.read_json_examples(spark, path)
+
+
+def test_first_shards_are_found_without_reading_shards(spark):
+    path = staging_path(spark, "test")
+    rows = spark.range(300).select(F.col("id").alias("ord"))
+    sharded = ex.ensure_shards(spark, path, rows, rows, ["ord"], 100, 7)
+    sizes = ex.read_catalogue(spark, path)
+    assert {tuple(r) for r in sizes.collect()} == {tuple(r) for r in ex.catalogue(sharded).collect()}
+    for got, want in (
+        (ex.head(sharded.where("split = 'test'"), 40, sizes.where("split = 'test'")), ex.head(sharded.where("split = 'test'"), 40)),
+        (ex.head_per_split(sharded, 23, sizes), ex.head_per_split(sharded, 23)),
+        (ex.first_shards(sharded, 3, sizes), ex.first_shards(sharded, 3)),
+    ):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    text = ex.first_shards(sharded, 3, sizes)._jdf.queryExecution().executedPlan().toString()
+    # The data are scanned once, with the shards' range pushed down; the rest are catalogues.
+    assert sum("GreaterThanOrEqual(shard" in x for x in text.split("\n") if "FileScan" in x) == 1
+    assert sum("pos" in x for x in text.split("\n") if "FileScan" in x) == 1
+
+
+def test_sweep_builds_only_what_has_no_mark(spark, monkeypatch):
+    pages = spark.range(30).select(
+        F.col("id").alias("example_ord"), F.lit(0).alias("page_pos"), F.lit("t").alias("title"),
+        F.concat_ws(" ", *[F.concat(F.lit(f"w{i}x"), F.col("id") % 11) for i in range(12)]).alias("text"),
+    )
+    root, sweep = staging_path(spark, "sweep"), [settings.Chunking(5, 1), settings.Chunking(7, 2), settings.Chunking(12, 0)]
+    built = []
+    original = corpus.chunk_sweep
+
+    def spied(pages, sweep, *args, numbers=None):
+        if numbers:
+            built.append(list(numbers))
+        return original(pages, sweep, *args, numbers=numbers)
+
+    monkeypatch.setattr(corpus, "chunk_sweep", spied)
+    encoder = HashingEncoder(8)
+
+    def rows(df):
+        return sorted((r["run"], r["passage_id"], r["passage"], tuple(r["embedding"])) for r in df.collect())
+
+    first = rows(corpus.ensure_sweep(pages, sweep, encoder, root, "h8"))
+    assert rows(corpus.ensure_sweep(pages, sweep, encoder, root, "h8")) == first
+    path = artifacts.sweep_path(root, "h8")
+    artifacts.write_run_mark(spark, path, 2, "half")
+    assert rows(corpus.ensure_sweep(pages, sweep, encoder, root, "h8")) == first
+    assert {r[0] for r in rows(corpus.ensure_sweep(pages, sweep[:2], encoder, root, "h8"))} == {1, 2}
+    changed = pages.where("example_ord < 20")
+    corpus.ensure_sweep(changed, sweep[:1], encoder, root, "h8")
+    assert built == [[1, 2, 3], [2], [1]]
+    assert rows(corpus.ensure_sweep(changed, sweep, encoder, root, "h8")) == rows(
+        corpus.sweep_index(changed, sweep, encoder).select("run", "passage_id", "passage", "embedding"))
+
+
+def test_replayed_batch_gives_the_same_passages(spark):
+    """Batches over one landing folder, then again from an older checkpoint; no state is kept by the stream."""
+    import os
+    import tempfile
+
+    path, root = staging_path(spark, "landing"), tempfile.mkdtemp(prefix="stream-")
+    pages = spark.range(120).select(F.lit("t").alias("title"), F.concat(F.lit("w"), F.col("id") % 29).alias("text"))
+    pages.repartition(3).write.parquet(path)
+
+    def ingest():
+        stream = read_landing(spark, path, pages.schema, files_per_batch=1, glob="*.parquet")
+        return sorted(r["passage"] for r in ingest_passages(stream, f"{root}/out", f"{root}/check").collect())
+
+    want = sorted(f"t: w{i}" for i in range(29))
+    assert ingest() == want
+    assert not os.path.exists(f"{root}/check/state")
+    # The last batch was written, but the checkpoint does not know that it ended.
+    os.remove(f"{root}/check/commits/2")
+    if os.path.exists(f"{root}/check/commits/.2.crc"):
+        os.remove(f"{root}/check/commits/.2.crc")
+    assert ingest() == want
+    spark.createDataFrame([("t", "new"), ("t", "w3")], "title string, text string").coalesce(1).write.mode("append").parquet(path)
+    assert ingest() == sorted([*want, "t: new"])
+
+
 def test_tables_are_read_where_they_lie(spark, sf_dir):
     df = read_table(spark, f"{sf_dir}/documents.parquet")
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

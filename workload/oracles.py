@@ -276,9 +276,11 @@ def _head(condition: str) -> str:
   JOIN documents d ON d.doc_id = s.ord)"""
 
 
-def _shard_pages(condition: str) -> tuple[str, ...]:
-    """`chunks` and `kept` of the pages inside the chosen shards."""
-    size, step = settings.CHUNK_TOKENS, settings.CHUNK_TOKENS - settings.CHUNK_OVERLAP
+def _shard_pages(
+    condition: str, size: int = settings.CHUNK_TOKENS, overlap: int = settings.CHUNK_OVERLAP
+) -> tuple[str, ...]:
+    """`chunks`, `kept` and `passages` of the pages inside the chosen shards."""
+    step = size - overlap
     return (
         _EXAMPLES,
         f"""ordered AS (
@@ -341,15 +343,23 @@ def _sweep() -> str:
     return " UNION ALL ".join(parts)
 
 
-def _sweep_recall() -> str:
+def _from_documents(size: int, overlap: int) -> tuple[str, ...]:
+    return _chunks(size, overlap), _DEDUP, _PASSAGES
+
+
+def _from_two_shards(size: int, overlap: int) -> tuple[str, ...]:
+    return _shard_pages(_TWO_SHARDS, size, overlap)
+
+
+def _sweep_recall(source=_from_documents) -> str:
     parts = []
     for run, (size, overlap) in enumerate(settings.SWEEP, 1):
+        chunked = source(size, overlap)
         body = _with(
-            _chunks(size, overlap), _DEDUP, _PASSAGES, _PASSAGE_VECTORS, _QUESTIONS,
-            _QUESTION_VECTORS, _hits(100), _WEIGHTS,
+            *chunked, _PASSAGE_VECTORS, _QUESTIONS, _QUESTION_VECTORS, _hits(100), _WEIGHTS,
         ) + _recall("ranked")
         parts.append(f"""SELECT {run}::INTEGER AS run, {size}::INTEGER AS chunk_tokens, {overlap}::INTEGER AS chunk_overlap,
-    (SELECT count(*) FROM ({_with(_chunks(size, overlap))} SELECT DISTINCT passage FROM chunks)) AS passages,
+    (SELECT count(*) FROM ({_with(*chunked)} SELECT DISTINCT passage FROM chunks)) AS passages,
     k, recall, questions FROM ({body})""")
     return " UNION ALL ".join(parts)
 
@@ -521,6 +531,11 @@ QUALIFY row_number() OVER (PARTITION BY split ORDER BY 'shard_' || shard, pos) <
     + _PAYLOAD.format("""SELECT * FROM sharded
 QUALIFY dense_rank() OVER (PARTITION BY split ORDER BY 'shard_' || shard) <= 2"""),
     "index_from_shards": _with(*_shard_pages(_TWO_SHARDS), _PASSAGE_VECTORS) + _COMPONENTS,
+    "sweep_from_shards": _sweep_recall(_from_two_shards),
+    "read_examples": f"""
+SELECT doc_id AS ord, text AS question, source AS value, len({_LINES})::INTEGER AS aliases,
+  len({_LINES})::INTEGER + 1 AS titles, (SELECT count(*) FROM documents WHERE doc_id % 7 = 0) AS damaged_lines
+FROM documents WHERE doc_id % 7 <> 0""",
     "passages_from_shards": _with(*_shard_pages("true")) + "SELECT passage_id, passage FROM passages",
     "recall_from_shards": _with(
         *_CORPUS, _PASSAGE_VECTORS, _EXAMPLES, _head("true"), _QUESTION_VECTORS, _hits(100), _WEIGHTS

@@ -450,6 +450,21 @@ def source_order(spark, sf_dir):
     return placed.select("split", "shard", "pos", "place")
 
 
+def read_examples(spark, sf_dir):
+    """Examples back from JSON lines, one in seven of which has lost its end."""
+    path = staging_path(spark, "json")
+    rows = inputs.examples(spark, sf_dir)
+    line = F.to_json(F.struct(*rows.columns))
+    cut = F.when(F.col("ord") % 7 == 0, F.left(line, F.length(line) - 1)).otherwise(line)
+    rows.select(cut.alias("value")).write.text(path)
+    examples, damaged = ex.read_json_examples(spark, path)
+    return examples.select(
+        "ord", "question", F.col("answer.value").alias("value"), F.size("answer.aliases").alias("aliases"),
+        F.size("entity_pages.title").alias("titles"),
+        damaged.agg(F.count(F.lit(1))).scalar().alias("damaged_lines"),
+    )
+
+
 def head_sample(spark, sf_dir):
     train = ex.read_shards(spark, _written(spark, sf_dir), ["train"])
     return ex.head(train, settings.EVAL_ROWS).select(*_SHARD_COLUMNS)
@@ -463,11 +478,15 @@ def _written(spark, sf_dir):
 
 
 def head_per_split(spark, sf_dir):
-    return ex.head_per_split(_sharded(spark, sf_dir), settings.EVAL_ROWS).select(*_SHARD_COLUMNS)
+    path = staging_path(spark, "shards")
+    sharded = _sharded(spark, sf_dir, path)
+    return ex.head_per_split(sharded, settings.EVAL_ROWS, ex.read_catalogue(spark, path)).select(*_SHARD_COLUMNS)
 
 
 def shard_limit(spark, sf_dir):
-    return ex.first_shards(_sharded(spark, sf_dir), 2).select(*_SHARD_COLUMNS)
+    path = staging_path(spark, "shards")
+    sharded = _sharded(spark, sf_dir, path)
+    return ex.first_shards(sharded, 2, ex.read_catalogue(spark, path)).select(*_SHARD_COLUMNS)
 
 
 def _example_shards(spark, sf_dir):
@@ -486,6 +505,20 @@ def index_from_shards(spark, sf_dir):
     return _components(corpus.build_index(pages, ENCODER))
 
 
+def sweep_from_shards(spark, sf_dir):
+    """A sweep that goes on after one that had ended without its second run."""
+    shards, root = _example_shards(spark, sf_dir), staging_path(spark, "artifacts")
+    pages = corpus.pages_of_shards(spark, shards, ("train", "validation"), 2)
+    corpus.ensure_sweep(pages, SWEEP, ENCODER, root, "hash256")
+    artifacts.write_run_mark(spark, artifacts.sweep_path(root, "hash256"), 2, "not done")
+    found = evaluate.sweep_shards(
+        spark, shards, root, inputs.questions(spark, sf_dir), SWEEP, ENCODER, "hash256", IdfOverlapScorer()
+    )
+    return found.select(
+        "run", "chunk_tokens", "chunk_overlap", "passages", "k", _six("recall").alias("recall"), "questions"
+    )
+
+
 def passages_from_shards(spark, sf_dir):
     pages = corpus.pages_of_shards(spark, _example_shards(spark, sf_dir))
     return corpus.build_passages(pages)
@@ -650,6 +683,8 @@ QUERIES = {
     "head_per_split": head_per_split,
     "shard_limit": shard_limit,
     "index_from_shards": index_from_shards,
+    "sweep_from_shards": sweep_from_shards,
+    "read_examples": read_examples,
     "passages_from_shards": passages_from_shards,
     "recall_from_shards": recall_from_shards,
     "answers_from_shards": answers_from_shards,
