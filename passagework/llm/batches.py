@@ -24,6 +24,20 @@ def portions(batch: pa.RecordBatch, column: str, most: int = PORTION_BYTES) -> I
         yield batch.slice(begin)
 
 
+def under_plain_names(
+    docs: DataFrame, work: Callable[..., DataFrame], **columns: str,
+) -> DataFrame:
+    """What `work` makes of `docs`, all of whose columns have numbered names meanwhile, so that none clashes with names used inside.
+
+    `columns` are arguments of `work` that name columns; one that names none is passed as None. The
+    result must have the same columns in the same order.
+    """
+    names = [f"_column_{i}" for i in range(len(docs.columns))]
+    plain = dict(zip(docs.columns, names))
+    done = work(docs.toDF(*names), **{k: plain.get(v) for k, v in columns.items()})
+    return done.select(*names).toDF(*docs.columns)
+
+
 def map_portions(
     df: DataFrame, column: str, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType,
     most: int = PORTION_BYTES,

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import staged
-from .batches import map_portions
+from .batches import map_portions, under_plain_names
 from .components import components
 
 WORDS = 5
@@ -394,8 +394,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """`docs` with one row of each class of `join_texts`: that of the smallest key, a null one last.
 
     Of several such rows with different texts the one whose text has the smallest hash stays, of
-    repeated rows one. Texts without words are equal texts of one class only if equal byte by byte.
+    repeated rows one. All columns stay, whatever their names. Texts without words are equal texts of one class only if equal byte by byte.
     """
+    return under_plain_names(docs, _keep_one, key=key, text=text)
+
+
+def _keep_one(docs: DataFrame, key: str, text: str) -> DataFrame:
     _, result = _classes(docs, key, text, WORDS, SIMILARITY, RECALL, DEPTH, SMALL, BLOCK)
     kept = result.where("keeper").select(F.col("tid").alias("_tid"), F.col("first").alias("_first"))
     marked = docs.withColumn("_text_id", text_id(F.col(text)))

@@ -4,20 +4,25 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import staged
-from .batches import map_portions, portions
+from .batches import map_portions, portions, under_plain_names
 
 THRESHOLD = 2
-# Shorter lines are only compared as a whole: two edits would make many of them equal.
+# Code points from which on a line may differ by all edits of the threshold; below that by fewer, in proportion.
 SHORTEST = 20
+# Code points of all lines that are verified together, padding included.
+_CELLS = 1 << 21
 # Lines of a list that are compared with each other in one task; twice as many if the list has more.
 BLOCK = 512
 _PORTION = 1 << 20
+# Lines from this length on are compared one pair at a time, without what they have in common at their ends but for so many code points.
+_LONG, _KEPT = 8192, 64
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -60,6 +65,11 @@ def segments(lengths: np.ndarray, threshold: int):
         yield i * short + extra, short + (i >= parts - longer)
 
 
+def allowed(lengths: np.ndarray, threshold: int, shortest: int) -> np.ndarray:
+    """Edits by which two lines may differ of which the longer one has this length."""
+    return np.minimum(threshold, lengths * threshold // shortest)
+
+
 def segment_keys(lines: Lines, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, key, probe): under which keys each line is found, and under which it looks for others.
 
@@ -72,7 +82,7 @@ def segment_keys(lines: Lines, threshold: int) -> tuple[np.ndarray, np.ndarray,
     row, keys, probes = [], [], []
 
     def add(which, begins, sizes, of_length, i, probe):
-        mark = (of_length.astype(np.uint64) << np.uint64(8)) + np.uint64(i)
+        mark = (of_length.astype(np.uint64) << np.uint64(16)) + np.uint64(threshold << 8 | i)
         row.append(which)
         keys.append(_mix(lines.hashes(lines.begins[which] + begins, sizes) ^ _mix(mark)))
         probes.append(np.full(len(which), probe))
@@ -141,6 +151,41 @@ def within(left: list[str], right: list[str], threshold: int) -> np.ndarray:
     return ok & (distance <= threshold)
 
 
+def within_long(a: str, b: str, threshold: int) -> bool:
+    """`within` for one pair of long lines: which characters are equal is worked out for all columns at once."""
+    n, m = len(a), len(b)
+    if abs(n - m) > threshold:
+        return False
+    pad = 2 * threshold + 2
+    top = pad + threshold
+    x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
+    rows = np.full(max(n, m) + 2 * pad, 0xFFFFFFFF, np.uint32)
+    rows[pad : pad + n] = x
+    equals = np.zeros(m, np.int64)
+    for k in range(top + 1):  # bit k of column j is row j + threshold - (top - k)
+        begin = threshold - top + k + pad
+        equals |= (rows[begin : begin + m] == y).astype(np.int64) << k
+    full, diagonal = (1 << (top + 1)) - 1, 1 << top
+    plus, minus = ((1 << (threshold + 1)) - 1) << (top - threshold), 0
+    distance, floor = threshold, diagonal >> 1
+    for j, equal in enumerate(equals.tolist()):
+        zero = ((((equal & plus) + plus) ^ plus) | equal | minus) & full
+        across_plus = (minus | ~(zero | plus)) & full
+        across_minus = zero & plus
+        if j + threshold < n:
+            distance += not zero & diagonal
+            # Only the last columns, 2 * threshold at most, may lower it again.
+            if distance > 3 * threshold:
+                return False
+        else:
+            distance += (across_plus & floor != 0) - (across_minus & floor != 0)
+            floor >>= 1
+        down = zero >> 1
+        plus = (across_minus | ~(down | across_plus)) & full
+        minus = down & across_plus
+    return distance <= threshold
+
+
 def _row_id(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -158,60 +203,90 @@ def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _keys(docs: DataFrame, text: str, threshold: int, shortest: int) -> DataFrame:
-    """(key, name, probe) of all lines of `shortest` code points or more."""
+    """(key, name, probe) of all lines that may be near another one.
+
+    A pair is sought with as many edits as its longer line allows, so lines have the keys of one or two such numbers.
+    """
+    # From this length on, pairs may differ by 1, 2, ... edits.
+    begins = [-(-edits * shortest // threshold) for edits in range(1, threshold + 1)]
 
     def work(batch: pa.RecordBatch):
         found: dict[str, None] = {}
         for t in batch.column("text").to_pylist():
             for x in t.split("\n"):
-                if len(x) >= shortest and x.strip(" "):
+                if begins and len(x) >= begins[0] - 1 and x.strip(" "):
                     found[x] = None
-        if not found:
-            return
-        lines = list(found)
-        names = pa.array([hashlib.md5(x.encode()).digest() for x in lines], pa.binary())
-        row, keys, probes = segment_keys(Lines(lines), threshold)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.view(np.int64)), names.take(pa.array(row)), pa.array(probes)], ["key", "name", "probe"]
-        )
+        for edits, begin in enumerate(begins, 1):
+            end = begins[edits] if edits < threshold else 1 << 62
+            lines = [x for x in found if begin - edits <= len(x) < end]
+            if not lines:
+                continue
+            names = pa.array([hashlib.md5(x.encode()).digest() for x in lines], pa.binary())
+            row, keys, probes = segment_keys(Lines(lines), edits)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), names.take(pa.array(row)), pa.array(probes)], ["key", "name", "probe"]
+            )
 
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
     return map_portions(docs.select(plain.alias("text")), "text", work, "key long, name binary, probe boolean", _PORTION)
 
 
-def _late(groups: list[dict[str, list]], threshold: int) -> set[bytes]:
-    """Names of lines that are within `threshold` edits of an earlier line of their group.
+def _near(pairs: list[tuple[str, str, bytes, int]]) -> Iterator[bytes]:
+    """Names of the pairs (line, line, name, edits) that are near enough."""
+    yield from (p[2] for p in pairs if len(p[0]) >= _LONG and within_long(*_bare(p[0], p[1]), p[3]))
+    # Pairs of about one length together, and of long ones few, so that padding is bounded.
+    pairs = sorted((p for p in pairs if len(p[0]) < _LONG), key=lambda p: (p[3], len(p[0])))
+    begin = 0
+    for end in range(1, len(pairs) + 1):
+        if end < len(pairs) and pairs[end][3] == pairs[begin][3] and (end + 1 - begin) * len(pairs[end][0]) <= _CELLS:
+            continue
+        part = pairs[begin:end]
+        good = within([p[0] for p in part], [p[1] for p in part], part[0][3])
+        yield from (p[2] for p, near in zip(part, good) if near)
+        begin = end
+
+
+def _bare(a: str, b: str) -> tuple[str, str]:
+    """Both lines without the beginning and the end that they have in common, which costs no edit; a little of it stays."""
+    most = min(len(a), len(b))
+    x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b))
+    unequal = np.flatnonzero(x[:most] != y[:most])
+    front = max(0, int(unequal[0] if len(unequal) else most) - _KEPT)
+    rest = most - front
+    unequal = np.flatnonzero(x[len(x) - rest :][::-1] != y[len(y) - rest :][::-1])
+    back = max(0, int(unequal[0] if len(unequal) else rest) - _KEPT)
+    return a[front : len(a) - back], b[front : len(b) - back]
+
+
+def _late(groups: list[dict[str, list]], threshold: int, shortest: int = SHORTEST) -> set[bytes]:
+    """Names of lines that are near an earlier line of their group.
 
     A group's lines come in order of their first places. Each one is compared with those
     before it, a few at a time and many lines at once, until one is near enough.
     """
-    open_: list[tuple[dict[str, list], int, np.ndarray]] = []
+    open_: list[tuple[dict[str, list], int, np.ndarray, np.ndarray]] = []
     for group in groups:
         sizes = np.array([len(x) for x in group["content"]])
         probe, side = np.array(group["probe"]), np.array(group["side"])
         for j in range(1, len(sizes)):
-            fits = (np.abs(sizes[:j] - sizes[j]) <= threshold) & ~(probe[:j] & probe[j])
+            edits = allowed(np.maximum(sizes[:j], sizes[j]), threshold, shortest)
+            fits = (np.abs(sizes[:j] - sizes[j]) <= edits) & (edits > 0) & ~(probe[:j] & probe[j])
             fits &= (side[:j] != side[j]) | (side[j] == 0)
             earlier = np.flatnonzero(fits)
             if len(earlier):
-                open_.append((group, j, earlier))
+                open_.append((group, j, earlier, edits))
     late: set[bytes] = set()
     at, width = 0, 2
     while open_:
         pairs = [
-            (group["content"][i], group["content"][j], group["name"][j])
-            for group, j, earlier in open_
+            (group["content"][i], group["content"][j], group["name"][j], int(edits[i]))
+            for group, j, earlier, edits in open_
             for i in earlier[at : at + width]
             if group["name"][i] != group["name"][j]
         ]
-        # Pairs of about one length together, so that a long one doesn't widen the columns of all.
-        pairs.sort(key=lambda p: len(p[0]))
-        for start in range(0, len(pairs), 512):
-            part = pairs[start : start + 512]
-            near = within([p[0] for p in part], [p[1] for p in part], threshold)
-            late.update(p[2] for p, good in zip(part, near) if good)
+        late.update(_near(pairs))
         at, width = at + width, width * 4
-        open_ = [(g, j, e) for g, j, e in open_ if at < len(e) and g["name"][j] not in late]
+        open_ = [x for x in open_ if at < len(x[2]) and x[0]["name"][x[1]] not in late]
     return late
 
 
@@ -219,7 +294,7 @@ def late_lines(
     docs: DataFrame, lines: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,
     shortest: int = SHORTEST, block: int = BLOCK,
 ) -> DataFrame:
-    """Names of `lines` that have a different line within `threshold` edits at an earlier first place.
+    """Names of `lines` that have a different line near them (see `dedup_lines`) at an earlier first place.
 
     Lines are cut into threshold + 1 segments and listed under each; a line probes the lists of
     its own and all shorter lengths in reach. Lists without two lines are dropped where they
@@ -260,7 +335,7 @@ def late_lines(
         held = 0
 
         def flush():
-            found = _late(groups, threshold)
+            found = _late(groups, threshold, shortest)
             return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary())], ["name"])
 
         for batch in batches:
@@ -312,13 +387,18 @@ def dedup_lines(
     """`docs` with the text of lines that stand nowhere earlier, and without the others.
 
     A line that is not blank goes if an equal line stands earlier: in a document of a smaller key, or
-    further up in its own. It also goes if it has `shortest` code points or more and a line
-    within `threshold` edits stood anywhere before its own first place. Judged on the input:
+    further up in its own. It also goes if a line near it stood anywhere before its own first place: within
+    `threshold` edits if the longer one of the two has `shortest` code points or more, within fewer in
+    proportion below that (with 2 and 20: one edit from 10 code points on, none below). Judged on the input:
     a line may go for one that goes itself. Blank lines stay. All rows and columns are kept; if there is a
     column n_chars it is brought up to date. Null texts stay null, empty ones empty; a null key comes
     before all others; rows of equal key are ordered by a hash of their text, and a
     repeated row counts once and is treated like its double.
     """
+    return under_plain_names(docs, partial(_dedup_lines, threshold, shortest), key=key, text=text, n_chars="n_chars")
+
+
+def _dedup_lines(threshold: int, shortest: int, docs: DataFrame, key: str, text: str, n_chars: str | None) -> DataFrame:
     gone = removed_lines(docs, key, text, threshold, shortest)
     gone = gone.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.concat("exact", "near").alias("_gone"))
     gone = gone.where(F.size("_gone") > 0)
@@ -336,7 +416,7 @@ def dedup_lines(
         yield pa.RecordBatch.from_arrays(arrays, columns)
 
     kept = map_portions(joined.select(*(F.col(f"`{c}`") for c in columns), "_gone"), text, work, docs.schema)
-    return kept.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else kept
+    return kept.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType)) if n_chars else kept
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import staged
-from .batches import map_portions
+from .batches import map_portions, under_plain_names
 
 LENGTH = 100
 # Length of the strings whose smallest hash in a window decides where equal windows meet.
@@ -533,6 +533,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
 
     All rows and columns are kept; a column n_chars is brought up to date; null texts stay null.
     """
+    return under_plain_names(docs, partial(_dedup, length), key=key, text=text, n_chars="n_chars")
+
+
+def _dedup(length: int, docs: DataFrame, key: str, text: str, n_chars: str | None) -> DataFrame:
     columns = docs.columns
     joined = _with_spans(docs, key, text, length).select(*(F.col(f"`{c}`") for c in columns), "_found")
 
@@ -555,4 +559,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
         yield pa.RecordBatch.from_arrays(arrays, columns)
 
     kept = map_portions(joined, text, work, docs.schema)
-    return kept.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else kept
+    return kept.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType)) if n_chars else kept

@@ -196,8 +196,9 @@ def brute_lines(rows, threshold=2, shortest=20):
                 places[i, t].append((n, line))
                 first.setdefault(line, (i, n))
     late = set()
-    for a, b in combinations([x for x in first if len(x) >= shortest], 2):
-        if abs(len(a) - len(b)) <= threshold and line_dedup.within([a], [b], threshold)[0]:
+    for a, b in combinations(first, 2):
+        edits = min(threshold, max(len(a), len(b)) * threshold // shortest)
+        if edits and abs(len(a) - len(b)) <= edits and line_dedup.within([a], [b], edits)[0]:
             late.add(a if first[b] < first[a] else b)
     return {
         d: (len(p), [n for n, x in p if first[x] != (d[0], n)], [n for n, x in p if first[x] == (d[0], n) and x in late])
@@ -228,7 +229,7 @@ def test_odd_lines(spark):
 
 def test_near_and_hot_lines(spark):
     rng = random.Random(8)
-    base = ["".join(rng.choices("abcdefgh é", k=rng.randint(18, 50))) for _ in range(30)]
+    base = ["".join(rng.choices("abcdefgh é", k=rng.randint(7, 50))) for _ in range(40)]
     hot = "a line that stands in every single document"
     rows = [
         (i, "\n".join([hot, changed(rng, rng.choice(base), rng.randint(0, 4)), "", "x", "".join(rng.choices("qwertz ", k=30))]))
@@ -243,6 +244,58 @@ def test_near_and_hot_lines(spark):
         assert r.text == "\n".join(x for n, x in enumerate(t.split("\n")) if n not in {*exact, *near})
 
 
+def test_short_lines_may_differ_less(spark):
+    rows = [
+        (1, "eighteen points he"), (2, "eighteen points here"),  # two edits, the longer one has 20
+        (3, "nineteen points too"), (4, "nineteen pointz tooo"), (5, "nineteen poinz tooo"),
+        (6, "ten points"), (7, "ten pointz"), (8, "nine long"), (9, "nine lang"), (10, "nine longs"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.line_report(docs).collect()
+    check_lines(rows, got)
+    assert {r.doc_id for r in got if r.n_near} == {2, 4, 5, 7, 10}
+
+
+@pytest.mark.parametrize("threshold", [1, 2, 3])
+def test_one_pair_equals_many(threshold):
+    rng = random.Random(threshold)
+    left = ["".join(rng.choices("abé", k=rng.randint(3, 90))) for _ in range(600)]
+    right = [changed(rng, x, rng.randint(0, threshold + 2)) for x in left]
+    both = [(a, b) for a, b in zip(left, right) if min(len(a), len(b)) > threshold]
+    many = line_dedup.within(*zip(*both), threshold)
+    assert [line_dedup.within_long(a, b, threshold) for a, b in both] == many.tolist()
+    assert [line_dedup.within_long(*line_dedup._bare("x" * 300 + a + "yz" * 99, "x" * 300 + b + "yz" * 99), threshold) for a, b in both] == [
+        line_dedup.within(["x" * 300 + a + "yz" * 99], ["x" * 300 + b + "yz" * 99], threshold)[0] for a, b in both]
+
+
+def test_very_long_lines(spark):
+    rng = random.Random(4)
+    line = "".join(rng.choices("abcdefgh ", k=500_000))
+    edited = line[:1000] + "X" + line[1001:400_000] + line[400_001:]
+    far = line[:1000] + "X" + line[1001:400_000] + "YZ" + line[400_002:]
+    rows = [(1, line), (2, edited), (3, far), (4, "short\n" + line[::-1])]
+    got = {r.doc_id: r.n_near for r in line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0}  # the third is two edits from the second
+
+
+NAMES = (
+    "_gone", "_hash", "_tid", "_first", "_found", "_ident", "_text_id", "_ordinal", "_doc", "_row", "doc", "row", "name", "lines",
+    "key", "spans", "tid", "keeper", "first", "content", "gram", "size", "start", "c0", "c1",
+)
+
+
+@pytest.mark.parametrize("stage", [line_dedup.dedup_lines, jaccard.keep_one, suffix_dedup.dedup])
+def test_columns_of_names_used_inside(spark, stage):
+    text = "one and the same text of many words that is given twice, the second time with others in front of it\nand a second line of it"
+    rows = [(1, text, *range(len(NAMES))), (2, text, *range(len(NAMES))), (3, "others in front: " + text, *range(len(NAMES))), (4, None, *range(len(NAMES)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` long" for n in NAMES))
+    got = stage(docs)
+    assert got.schema == docs.schema
+    plain = stage(docs.select("doc_id", "text"))
+    assert sorted((r[:2] for r in got.collect()), key=repr) == sorted((tuple(r) for r in plain.collect()), key=repr)
+    assert all(r[2:] == tuple(range(len(NAMES))) for r in got.collect())
+
+
 def test_registered_lines(spark, sf_dir):
     check_lines(rows_of(spark.read.parquet(f"{sf_dir}/documents.parquet")), queries.op8_line_dedup(spark, sf_dir).collect())
 
