@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import staged
 
-SUPPORT = 0.005
-# Fewer labelled pages than this are no evidence, however few there are in all.
-PAGES = 20
+# Labelled bad pages that a rule needs, however many pages there are.
+SUPPORT = 20
 CONFIDENCE = 0.8
 _BLOCK = "!block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,12 +85,12 @@ def tokens_of(url: Column) -> Column:
 
 
 def mine(
-    labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, least: int = PAGES,
+    labelled: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE,
 ) -> DataFrame:
     """Rules (tokens, support, confidence) that call for a block, from rows (url, bad).
 
-    FP-growth over the tokens of each URL and its label: sets of at least `support` of all labelled
-    URLs and of `least` of them, of which at least `confidence` are bad. A rule that contains
+    FP-growth over the tokens of each URL and its label: sets that `support` bad URLs or more hold, whatever
+    the number of all, of whose URLs at least `confidence` are bad. A rule that contains
     another one is left out.
     URLs that are null or have no token teach nothing; an empty table gives no rule.
     """
@@ -99,11 +98,11 @@ def mine(
     baskets = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select(
         F.when(F.col("bad"), F.concat(tokens, F.array(F.lit(_BLOCK)))).otherwise(tokens).alias("items")
     ).where(F.size("items") > 0)
-    needed = min(1.0, max(support, least / max(1, baskets.count())))
+    # A little less than the share of `support` URLs, so that rounding does not ask for one more.
+    needed = min(1.0, max(support - 0.5, 0.5) / max(1, baskets.count()))
     model = FPGrowth(itemsCol="items", minSupport=needed, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.where(F.element_at("consequent", 1) == _BLOCK)
     rules = staged(rules.select(F.sort_array("antecedent").alias("tokens"), "support", "confidence"), "url-rules")
-    # How many rules there are is bounded by the support, not by the pages.
     wider = rules.alias("a").join(
         rules.alias("b"),
         (F.size("b.tokens") < F.size("a.tokens")) & (F.size(F.array_except("b.tokens", "a.tokens")) == 0),
@@ -132,7 +131,7 @@ def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(
     pages: DataFrame, labelled: DataFrame, rules: tuple[UrlRule, ...] = RULES, key: str = "page_id", url: str = "url",
-    support: float = SUPPORT, confidence: float = CONFIDENCE,
+    support: int = SUPPORT, confidence: float = CONFIDENCE,
 ) -> DataFrame:
     """key, host, path, rule and verdict of each page's URL.
 

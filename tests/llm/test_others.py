@@ -1,6 +1,8 @@
 """Quality rules, nearest neighbours, URL rules, fingerprints and the pipeline."""
 
 import hashlib
+import random
+import unicodedata
 import zlib
 from itertools import combinations
 
@@ -37,6 +39,36 @@ def test_quality_without_use(spark):
     assert quality.classify(none(spark), odd_labels).collect() == []
 
 
+def plain_statistics(t):
+    words = [w for w in t.replace("\n", " ").split(" ") if w]
+    lines = [x for x in t.split("\n") if x]
+    n, w, k = len(t), max(1, len(words)), max(1, len(lines))
+    return {
+        "chars": n, "words": len(words), "word_length": n / w, "distinct_words": len(set(words)) / w,
+        "lines": len(lines), "line_length": n / k, "distinct_lines": len(set(lines)) / k,
+        "upper": sum(unicodedata.category(c) == "Lu" for c in t) / max(1, n),
+        "symbols": sum(c in quality._SYMBOLS for c in t) / max(1, n), "digits": sum(c in "0123456789" for c in t) / max(1, n),
+        "stops": sum(c in quality._STOPS for c in t) / w,
+    }
+
+
+def test_scores_recomputed_from_the_rules(spark, sf_dir):
+    """Statistics, rules and the logistic sum, once more by loops over the texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~quality.in_fold(F.col("doc_id")))
+    model = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    assert model.weights and all(model.weights.values())
+    scored = {r.doc_id: r.score for r in queries.op1_quality_classifier(spark, sf_dir).collect()}
+    for i, t in rows_of(docs):
+        values, total = plain_statistics(t or ""), model.intercept
+        for rule, weight in model.weights.items():
+            if all((values[name] <= bound) == upper for name, upper, bound in rule.bounds):
+                total += weight
+        assert scored[i] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+    # Every rule is a path of a tree that was fitted: no statistic has two bounds of one side.
+    assert all(len({(n, u) for n, u, _ in r.bounds}) == len(r.bounds) <= 2 * quality.DEPTH for r in model.weights)
+
+
 def test_quality_keeps_columns(spark):
     docs = odd_docs(spark)
     model = quality.RuleModel({quality.Rule((("words", False, 3.0),)): 2.0}, -1.0)
@@ -158,14 +190,14 @@ def test_mined_rules(spark):
     rows = [(i, f"https://b{i % 7}.example.org/{'casino' if i % 3 == 0 else 'news'}/{i}?ref=1") for i in range(600)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
     labelled = pages.where("page_id < 500").withColumn("bad", F.col("url").contains("casino") & (F.col("page_id") % 7 < 3)).select("url", "bad")
-    mined = {tuple(r.tokens): r for r in url_rules.mine(labelled, 0.01, 0.9).collect()}
+    mined = {tuple(r.tokens): r for r in url_rules.mine(labelled, 20, 0.9).collect()}
     # Brute force over all sets of tokens.
     tokens = [(set(r.t), r.bad) for r in labelled.select(url_rules.tokens_of(F.col("url")).alias("t"), "bad").collect()]
     good = {}
     for size in (1, 2, 3, 4):
         for items in combinations(sorted({t for s, _ in tokens for t in s}), size):
             held = [bad for s, bad in tokens if s.issuperset(items)]
-            if sum(held) >= max(20, 0.01 * len(tokens)) and sum(held) >= 0.9 * len(held):
+            if sum(held) >= 20 and sum(held) >= 0.9 * len(held):
                 if not any(set(g) < set(items) for g in good):
                     good[items] = sum(held) / len(held)
     assert mined.keys() == good.keys()
@@ -173,6 +205,17 @@ def test_mined_rules(spark):
     assert blocked == {i for i, u in rows if "casino" in u and i % 7 < 3}
 
 
+@pytest.mark.parametrize("n", [1000, 6000, 50_000])
+def test_the_same_pages_make_a_rule_at_every_size(spark, n):
+    rows = spark.range(n).select(
+        F.when(F.col("id") < 20, F.concat(F.lit("http://bad.example/"), F.col("id")))
+        .otherwise(F.concat(F.lit("http://h"), F.col("id") % 97, F.lit(".example/"), F.col("id"))).alias("url"),
+        (F.col("id") < 20).alias("bad"),
+    )
+    assert ["h:bad"] in [r.tokens for r in url_rules.mine(rows).collect()]
+    assert url_rules.mine(rows.where("url <> 'http://bad.example/7'")).count() == 0
+
+
 # Fingerprints
 
 def check_fingerprints(rows, got):
@@ -216,6 +259,54 @@ def test_interior_names_ignore_offset():
     assert len(np.intersect1d(a, b)) >= 0.97 * len(a)
 
 
+def plain_sketch(data):
+    """Phrase names by loops over one text, with Python's own numbers."""
+    low = (1 << 64) - 1
+    odd = 0x9E3779B97F4A7C15
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & low
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & low
+        return x ^ x >> 31
+
+    names, taken = list(data), set()
+    for level in range(1, 6):
+        runs = []
+        for x in names:
+            if runs and runs[-1][0] == x:
+                runs[-1][1] += 1
+            else:
+                runs.append([x, 1])
+        if level == 1:
+            weights = [mix(x + 256) if n == 1 else mix(x + (n << 8)) for x, n in runs]
+        else:
+            weights = [mix(x ^ mix(n)) for x, n in runs]
+        label = [x for x, _ in runs]
+        for _ in range(3 if level == 1 else 4):
+            tossed = []
+            for i, x in enumerate(label):
+                differ = x ^ (label[i - 1] if i else x ^ 1)
+                place = (differ & -differ).bit_length() - 1
+                tossed.append(2 * place + (x >> place & 1))
+            label = tossed
+        cuts = [0] + [i for i in range(1, len(label) - 1) if label[i - 1] < label[i] >= label[i + 1]] + [len(label)]
+        names = []
+        for a, b in zip(cuts, cuts[1:]):
+            hashed = sum(w * pow(odd, k + 1, 1 << 64) for k, w in enumerate(weights[a:b])) & low
+            names.append(mix(hashed + (b - a) & low))
+        if level > 1:
+            taken.update(x >> 32 for x in names)
+    return sorted(taken)[:128]
+
+
+def test_parsing_by_a_plain_loop():
+    rnd = random.Random(7)
+    texts = ["a", "aa", "ab", "aaaa" * 50, "abab" * 40, "é ü 中文 😀 " * 9] + [
+        "".join(rnd.choices("abcdefgh  ,.\n", k=rnd.randrange(1, 3000))) for _ in range(40)]
+    data = [t.encode() for t in texts] + [b""]
+    assert [x.tolist() for x in fingerprints.sketches(data)] == [plain_sketch(d) if d else [] for d in data]
+
+
 # Pipeline
 
 def test_pipeline(spark, sf_dir):
