@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .batches import portions
 
@@ -209,6 +209,10 @@ def damaged(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     )
 
 
+def _in_order() -> list[Column]:
+    return [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text"), F.col("copy")]
+
+
 def repair(turns: DataFrame) -> DataFrame:
     """One row for each `conv` of `turns` (conv, turn, role, text, copy, gone): counts, cheapest edits and digest.
 
@@ -226,7 +230,7 @@ def repair(turns: DataFrame) -> DataFrame:
     kind = turns.schema["conv"].dataType.simpleString()
     # A row that is gone must not make another one a duplicate, and needs no text.
     rows = with_faults(turns).withColumn("text", F.when(~F.col("gone"), F.col("text")))
-    dealt = rows.repartition("conv").sortWithinPartitions("conv", F.col("turn").asc_nulls_first(), "role", "text", "copy")
+    dealt = rows.repartition("conv").sortWithinPartitions("conv", *_in_order())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held, done = None, None, []
@@ -257,3 +261,29 @@ def repair(turns: DataFrame) -> DataFrame:
     names = ["conv", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
     counts = ", ".join(f"{c} long" for c in names[1:7])
     return dealt.select(*order).mapInArrow(run, f"conv {kind}, {counts}, audit string, repaired_sha256 string")
+
+
+def repaired_turns(turns: DataFrame, found: DataFrame) -> DataFrame:
+    """(conv, place, role, text): the turns of all repaired conversations, from place 1.
+
+    `found` is what `repair` gave for `turns`. Each letter but an insertion takes the next row in order, so
+    rows and letters are joined by number; new roles follow from the place in the dialogue.
+    """
+    rows = turns.where(~F.col("gone")).select(
+        F.col("conv").alias("of"), "role", "text", F.row_number().over(Window.partitionBy("conv").orderBy(*_in_order())).alias("nth")
+    )
+    so_far = Window.partitionBy("conv").orderBy("step")
+    letters = found.where("audit <> ''").select("conv", F.posexplode(F.split("audit", "")).alias("step", "letter")).where("letter <> ''")
+    placed = letters.withColumns({
+        "takes": F.count_if(F.col("letter") != "I").over(so_far), "place": F.count_if(F.col("letter") != "D").over(so_far),
+    }).where("letter <> 'D'")
+    joined = placed.join(
+        rows, F.col("conv").eqNullSafe(F.col("of")) & (F.col("takes") == F.col("nth")) & (F.col("letter") != "I"), "left"
+    )
+    system = F.max(((F.col("place") == 1) & (F.col("letter") == "K") & F.startswith("role", F.lit("s"))).cast("int")).over(Window.partitionBy("conv"))
+    asks = (F.col("place") - system) % 2 == 1
+    return joined.select(
+        "conv", "place",
+        F.when(F.col("letter") == "K", F.col("role")).when(asks, "user").otherwise("assistant").alias("role"),
+        F.when(F.col("letter") == "I", "").otherwise(F.col("text")).alias("text"),
+    )

@@ -128,7 +128,13 @@ def test_odd_conversations(spark):
     rows.append((lonely, 0, "user", "all gone."))
     names = "conv_id long, turn long, role string, text string, conv long, copy long, gone long, fault long, harm long"
     table = spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows], names).repartition(6)
-    result = conversations.repair(conversations.damaged(table))
+    turns = conversations.damaged(table)
+    result = conversations.repair(turns)
     assert got(result) == expected(rows)
+    lines = {}
+    for r in conversations.repaired_turns(turns, result).orderBy("place").collect():
+        lines.setdefault(r["conv"], []).append(f"{r['role']}:{r['text']}")
+    for r in result.collect():
+        assert hashlib.sha256("\n".join(lines.get(r["conv"], [])).encode()).hexdigest() == r["repaired_sha256"]
     assert (lonely, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) in got(result)
     assert conversations.repair(conversations.damaged(table.where("false"))).collect() == []
