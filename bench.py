@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
+from passagework import runtime
 from workload.queries import QUERIES
 
 HEADLINE = (
@@ -35,6 +37,7 @@ HEADLINE = (
 
 
 def main() -> None:
+    runtime.use_in_local_mode(lambda: tempfile.mkdtemp(prefix="passagework-"))
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE

@@ -3,28 +3,30 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-@functools.lru_cache(maxsize=None)
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="passagework-")
+_local: dict[str, Callable[[], str]] = {}
+
+
+def use_in_local_mode(make_folder: Callable[[], str]) -> None:
+    """Where intermediate tables go in local mode if the session names no folder; asked for once, when first needed."""
+    _local["make"] = functools.cache(make_folder)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach; a private one only in local mode."""
+    """The folder named by the session, which every executor can reach; there is no other on a cluster."""
     named = spark.conf.get(CHECKPOINT_KEY, None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    return _local_folder(context.applicationId)
+    if "make" in _local and spark.sparkContext.master.startswith("local["):
+        return _local["make"]()
+    raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

@@ -251,6 +251,24 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == named.rstrip("/") if named else shared_folder(spark)
 
 
+def test_no_folder_is_made_up(monkeypatch):
+    from passagework import runtime
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    made = []
+    monkeypatch.setattr(runtime, "_local", {})
+    with pytest.raises(RuntimeError):
+        shared_folder(Session("local[2]"))
+    runtime.use_in_local_mode(lambda: made.append(1) or "/some/folder")
+    assert shared_folder(Session("local[2]")) == shared_folder(Session("local[8]")) == "/some/folder" and made == [1]
+    with pytest.raises(RuntimeError):
+        shared_folder(Session("spark://host:7077"))
+
+
 def test_staged_tables_can_be_dropped():
     import os
     import subprocess

@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
-from passagework import settings
-from passagework.functions.text import NO_TITLE
-from passagework.operators.prompt import CLOSING, instruction
+# Fixed values of the workload, told here once more and not taken from the code under test.
+CHUNK_TOKENS, CHUNK_OVERLAP = 240, 60
+SWEEP = ((160, 40), (200, 50), (240, 60))
+LOG_PREFIX_CHARS = 200
+PREVIEW_CHARS = 50
+MAX_PROMPT_TOKENS = 2048
+NO_TITLE = "No Title"
+# The instruction texts.
+CLOSING = "Give only the final answer as a short phrase (no explanation, no full sentence)."
+_SYSTEM = (
+    "You are a question answering assistant for a trivia dataset. "
+    "Use the information in the passages to answer the question. "
+    "Prefer short, factual answers. "
+)
+
+
+def instruction(vote: bool) -> str:
+    if vote:
+        return _SYSTEM + "If the passages do not clearly contain the answer, you may answer based on your own knowledge."
+    return _SYSTEM + "If the passages do not clearly contain the answer, answer it based on your own knowledge. "
+
 
 _BLANKS = r"[ \t\n\r]+"
 _BREAKS = r"[ \t\n\r!-/:-@\[-`{-~]+"
@@ -77,7 +95,7 @@ def _with(*parts: str) -> str:
 # Shared parts ---------------------------------------------------------------
 
 
-def _chunks(size: int = settings.CHUNK_TOKENS, overlap: int = settings.CHUNK_OVERLAP) -> str:
+def _chunks(size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> str:
     step = max(1, size - overlap)
     return f"""pages AS (
   SELECT doc_id, coalesce(nullif(source, ''), '{NO_TITLE}') AS title, {_tokens('text')} AS toks
@@ -277,7 +295,7 @@ def _head(condition: str) -> str:
 
 
 def _shard_pages(
-    condition: str, size: int = settings.CHUNK_TOKENS, overlap: int = settings.CHUNK_OVERLAP
+    condition: str, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP
 ) -> tuple[str, ...]:
     """`chunks`, `kept` and `passages` of the pages inside the chosen shards."""
     step = size - overlap
@@ -321,7 +339,7 @@ _COLUMNS = (
 )
 
 
-def _clip(text: str, limit: int = settings.PREVIEW_CHARS) -> str:
+def _clip(text: str, limit: int = PREVIEW_CHARS) -> str:
     return f"CASE WHEN length({text}) > {limit} THEN left({text}, {limit}) || '...' ELSE {text} END"
 
 
@@ -337,7 +355,7 @@ SELECT item, count(*) AS n FROM ({items}) GROUP BY item ORDER BY n DESC, min(pla
 
 def _sweep() -> str:
     parts = []
-    for run, (size, overlap) in enumerate(settings.SWEEP, 1):
+    for run, (size, overlap) in enumerate(SWEEP, 1):
         parts.append(f"""SELECT {run}::INTEGER AS run, {size}::INTEGER AS chunk_tokens, {overlap}::INTEGER AS chunk_overlap,
     passage_id, passage FROM ({_with(_chunks(size, overlap), _DEDUP, _PASSAGES)} SELECT * FROM passages)""")
     return " UNION ALL ".join(parts)
@@ -353,7 +371,7 @@ def _from_two_shards(size: int, overlap: int) -> tuple[str, ...]:
 
 def _sweep_recall(source=_from_documents) -> str:
     parts = []
-    for run, (size, overlap) in enumerate(settings.SWEEP, 1):
+    for run, (size, overlap) in enumerate(SWEEP, 1):
         chunked = source(size, overlap)
         body = _with(
             *chunked, _PASSAGE_VECTORS, _QUESTIONS, _QUESTION_VECTORS, _hits(100), _WEIGHTS,
@@ -489,7 +507,7 @@ FROM asked""",
         *_RERANKED, *_sentences(3, 1), _log("samples")
     )
     + f"""SELECT question, gold, predicted, exact_match, round(f1, 6) AS f1, to_json(golds)::VARCHAR AS aliases,
-  array_to_string(list_transform(passages, lambda p: left(p, {settings.LOG_PREFIX_CHARS})), '|') AS retrieved FROM log""",
+  array_to_string(list_transform(passages, lambda p: left(p, {LOG_PREFIX_CHARS})), '|') AS retrieved FROM log""",
     "rag_eval": _with(*_RERANKED, *_sentences(3, 1), _log("samples"))
     + "SELECT round(avg(exact_match), 6) AS exact_match, round(avg(f1), 6) AS f1, count(*) AS questions FROM log",
     "rag_eval_consensus": _with(*_RERANKED, *_sentences(3, 3), _vote("asked"), _log("voted"))
@@ -502,8 +520,8 @@ FROM asked""",
   {_text(instruction(True))} || '\n\n' || {_USER} AS many FROM asked)""",
     )
     + rf"""SELECT qid,
-  array_to_string(regexp_extract_all(one, '\s*\S+')[1:{settings.MAX_PROMPT_TOKENS}], '') AS prompt,
-  array_to_string(regexp_extract_all(many, '\s*\S+')[1:{settings.MAX_PROMPT_TOKENS}], '') AS vote_prompt FROM whole""",
+  array_to_string(regexp_extract_all(one, '\s*\S+')[1:{MAX_PROMPT_TOKENS}], '') AS prompt,
+  array_to_string(regexp_extract_all(many, '\s*\S+')[1:{MAX_PROMPT_TOKENS}], '') AS vote_prompt FROM whole""",
     "chat_messages": _with(*_RERANKED, _asked(5))
     + f"""SELECT qid, 0::INTEGER AS pos, 'system' AS role, {_text(instruction(False))} AS content FROM asked
 UNION ALL SELECT qid, 1::INTEGER, 'user', {_USER} FROM asked""",
@@ -584,7 +602,7 @@ FROM documents""",
 SELECT doc_id, {_clip('text')} AS text, {_clip('lang')} AS lang, {_clip('source')} AS source, n_chars
 FROM documents ORDER BY doc_id LIMIT 3""",
     "preview_passages": f"""
-SELECT doc_id, replace(left(text, {settings.LOG_PREFIX_CHARS}), chr(10), ' ') AS preview FROM documents""",
+SELECT doc_id, replace(left(text, {LOG_PREFIX_CHARS}), chr(10), ' ') AS preview FROM documents""",
     "stream_ingest_dedup": _with(_chunks()) + "SELECT DISTINCT passage FROM chunks",
     "stream_shards": """
 SELECT doc_id, pos, (pos // 50)::INTEGER AS shard, lang, source, text
