@@ -1,17 +1,24 @@
 """Splits, shards, streams and profiles."""
 
+import os
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
-from passagework import schemas, settings
+from passagework import runtime, schemas, settings
 from passagework.operators import profile
 from passagework.operators.encode import HashingEncoder
+from passagework.operators.generate import ModelGenerator
+from passagework.operators.lsh import ProjectionTables
 from passagework.plans import corpus
 from passagework.runtime import shared_folder, staging_path
 from passagework.sources import artifacts, examples as ex
 from passagework.sources.tables import read_table
 from passagework.streaming.ingest import ingest_passages, read_landing, stream_shards
+from workload import queries
 
 
 def rows_table(spark, n, factor=7):
@@ -289,6 +296,27 @@ assert not os.listdir(f"{folder}/passagework")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=200)
 
 
+def test_folder_maker_stays_on_the_driver():
+    """Operators go into tasks by value, with all that their module names."""
+    assert "make" in runtime._local
+    assert isinstance(pickle.loads(cloudpickle.dumps(ModelGenerator(len))), ModelGenerator)
+    assert isinstance(pickle.loads(cloudpickle.dumps(ProjectionTables())), ProjectionTables)
+
+
+def test_streams_of_a_table_in_one_file_or_many(spark):
+    path = staging_path(spark, "tables")
+    rows = [(i, f"w{i % 7}", "en", "web", 2) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    table.repartition(3).write.parquet(f"{path}/many/documents.parquet")
+    table.write.parquet(f"{path}/many/labels.parquet")
+    os.mkdir(f"{path}/one")
+    table.toPandas().to_parquet(f"{path}/one/documents.parquet")
+    for folder in ("many", "one"):
+        placed = queries.QUERIES["stream_shards"](spark, f"{path}/{folder}").collect()
+        assert sorted((r["doc_id"], r["pos"], r["shard"]) for r in placed) == [(i, i, i // 50) for i in range(60)]
+        assert queries.QUERIES["stream_ingest_dedup"](spark, f"{path}/{folder}").count() == 7
+
+
 def test_stream_dedup_and_shards_over_several_batches(spark):
     path = staging_path(spark, "landing")
     pages = spark.range(200).select(
