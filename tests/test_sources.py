@@ -296,6 +296,22 @@ assert not os.listdir(f"{folder}/passagework")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=200)
 
 
+def test_shards_are_written_once_and_nothing_beside_them(spark):
+    """Equal and null keys get places of their own, and only keys are written before the shards."""
+    keys = [None, None, *[i // 2 for i in range(5000)]]
+    rows = spark.createDataFrame([(k, "x" * 50 + str(i)) for i, k in enumerate(keys)], "ord long, text string").repartition(4)
+    before = set(os.listdir(os.path.dirname(staging_path(spark, "x")))) if os.path.isdir(os.path.dirname(staging_path(spark, "x"))) else set()
+    path = staging_path(spark, "shards")
+    table = ex.ensure_shards(spark, path, rows, rows, ["ord"], 7, 100)
+    for split, n in (("validation", 7), ("train", 4995), ("test", 5002)):
+        got = sorted((r["pos"], r["shard"], -1 if r["ord"] is None else r["ord"]) for r in table.where(F.col("split") == split).collect())
+        assert [g[0] for g in got] == list(range(n)) and all(g[1] == g[0] // 100 for g in got)
+        assert [g[2] for g in got] == sorted(g[2] for g in got)
+    folder = os.path.dirname(path)
+    for name in set(os.listdir(folder)) - before - {os.path.basename(path)}:
+        assert "text" not in spark.read.parquet(f"{folder}/{name}").columns, name
+
+
 def test_folder_maker_stays_on_the_driver():
     """Operators go into tasks by value, with all that their module names."""
     assert "make" in runtime._local
