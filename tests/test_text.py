@@ -165,3 +165,18 @@ def test_alias_and_context_tests(spark):
     df = spark.createDataFrame([("a b", ["x", "A\n B c"]), ("", ["x"]), ("q", []), ("q", None)], "n string, p array<string>")
     got = [r[0] for r in df.select(an.grounded(F.col("n"), F.col("p"))).collect()]
     assert got == [True, False, False, False]
+
+
+def test_model_tokenizer_gets_bounded_pieces(spark):
+    """A batch of long texts does not become objects all at once; the output is that of single texts."""
+    def factory():
+        def to_ids(texts):
+            assert len(texts) == 1 or sum(map(len, texts)) <= 800_000
+            return [[ord(c) for c in t] for t in texts]
+
+        return to_ids, lambda ids: ["".join(map(chr, row)) for row in ids]
+
+    tokenizer = tx.model_tokenizer(factory, "bounded")
+    rows = spark.createDataFrame([(i, None if i == 3 else "ab" * (i % 5) * 30_000) for i in range(20)], "i long, t string").coalesce(1)
+    got = rows.withColumn("ids", tokenizer.encode(F.col("t"))).select("i", F.size("ids").alias("n"), tokenizer.decode(F.col("ids")).alias("back"), "t")
+    assert all(r["n"] == len(r["t"] or "") and r["back"] == (r["t"] or "") for r in got.collect()) and got.count() == 20
