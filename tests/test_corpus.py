@@ -214,3 +214,14 @@ def test_sweep_index_has_a_folder_per_run(spark):
     index = corpus.sweep_index(pages, sweep, HashingEncoder(8), path)
     assert index.where("run = 2").count() == 2 and index.count() == 4
     assert artifacts.read_index(spark, f"{path}/run=1").count() == 2
+
+
+def test_vectors_do_not_depend_on_the_piece(spark):
+    """A batch of many texts is turned to vectors piece by piece; each row has those it has alone."""
+    rows = spark.range(3000).select("id", F.concat(F.lit("w"), F.col("id") % 7, F.lit(" x"), F.col("id") % 3).alias("t")).coalesce(1)
+    vectors = HashingEncoder(16).encode(rows, "t")
+
+    assert vectors.count() == 3000
+    got = {r["id"]: r["embedding"] for r in vectors.collect()}
+    alone = {r["id"]: r["embedding"] for r in HashingEncoder(16).encode(rows.where("id < 21"), "t").collect()}
+    assert all(got[i] == alone[i % 21] for i in got)
